@@ -148,3 +148,32 @@ def series_stats(df: DataFrame, id_cols: str | Sequence[str] = ID, time_col: str
     if value_col:
         aggs += [F.min_by(value_col, time_col).alias("_y_first"), F.max_by(value_col, time_col).alias("_y_last")]
     return df.groupBy(*keys).agg(*aggs)
+
+
+def prefix_sums(df: DataFrame, values: dict[str, Column], id_cols: str | Sequence[str] = ID,
+                pos_col: str = POS, block_rows: int = DEFAULT_BLOCK_ROWS, lag: int = 0) -> DataFrame:
+    """Running sums ``out_t = sum_{j <= t - lag} v_j`` for each ``out: v`` (expanding frames).
+
+    Block totals, an exclusive prefix over the (small) block table, and a running sum
+    inside the block.  ``lag`` > 0 shifts the frame end back (``rowsBetween(-inf, -lag)``)
+    by evaluating the sums at position ``t - lag`` and moving them forward with a halo
+    window of ``lag`` rows."""
+    keys = _keys(id_cols)
+    L = int(block_rows)
+    x = df.withColumn("_pb", F.floor(F.col(pos_col) / L))
+    for i, v in enumerate(values.values()):
+        x = x.withColumn(f"_pv{i}", v)
+    blocks = x.groupBy(*keys, "_pb").agg(*[F.sum(f"_pv{i}").alias(f"_pt{i}") for i in range(len(values))])
+    before = Window.partitionBy(*keys).orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, "_pb", *[F.coalesce(F.sum(f"_pt{i}").over(before), F.lit(0)).alias(f"_pc{i}")
+                                           for i in range(len(values))])
+    run = Window.partitionBy(*keys, "_pb").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, 0)
+    tmp = {name if lag == 0 else f"_ps{i}": F.col(f"_pc{i}") + F.sum(f"_pv{i}").over(run)
+           for i, name in enumerate(values)}
+    y = x.join(blocks, [*keys, "_pb"]).withColumns(tmp)
+    y = y.drop("_pb", *[f"_pv{i}" for i in range(len(values))], *[f"_pc{i}" for i in range(len(values))])
+    if lag == 0:
+        return y
+    names = list(values)
+    return halo_window(y, lag, 0, lambda w: {n: F.lag(f"_ps{i}", lag).over(w) for i, n in enumerate(names)},
+                       keys, pos_col, block_rows).drop(*[f"_ps{i}" for i in range(len(names))])
