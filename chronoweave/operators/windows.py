@@ -18,6 +18,11 @@ from chronoweave.plans.series import (DEFAULT_BLOCK_ROWS, POS, _keys, decay_scan
                                       prefix_sums, with_positions)
 
 
+def tag(a: float) -> str:
+    """Parameter text usable in a column name: 0.1 -> ``0_1``."""
+    return f"{a:g}".replace(".", "_").replace("-", "m")
+
+
 def _positioned(df: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
     if POS in df.columns:
         return df, False
@@ -62,11 +67,26 @@ def augment_pct_change(df: DataFrame, value_cols: str | Sequence[str] = Y, perio
 
 ROLL_FUNCS: dict[str, Callable[[str], Column]] = {
     "mean": lambda c: F.avg(c), "sum": lambda c: F.sum(c), "std": lambda c: F.stddev_samp(c),
-    "min": lambda c: F.min(c), "max": lambda c: F.max(c), "median": lambda c: F.median(c),
-    "count": lambda c: F.count(c),
+    "min": lambda c: F.min(c), "max": lambda c: F.max(c), "count": lambda c: F.count(c),
 }
 
 
+def _array_median(a: Column) -> Column:
+    """Median of a numeric array (mean of the two middle values when the size is even)."""
+    s = F.array_sort(F.filter(a, lambda v: v.isNotNull()))
+    n = F.size(s)
+    mid = F.element_at(s, (F.floor((n + 1) / 2)).cast("int"))
+    mid2 = F.element_at(s, (F.floor(n / 2) + 1).cast("int"))
+    return F.when(n == 0, F.lit(None)).when(n % 2 == 1, mid).otherwise((mid + mid2) / 2)
+
+
+def _roll(fn: str, c: str, fw: WindowSpec) -> Column:
+    # median has no frame-aware window form; the frame is bounded, so sort its values
+    if fn == "median":
+        return _array_median(F.collect_list(c).over(fw))
+    return ROLL_FUNCS[fn](c).over(fw)
+
+
 def frame_bounds(window: int, center: bool, shift: int = 0) -> tuple[int, int]:
     """ROWS frame ``[lo, hi]`` of a trailing or centred window (pandas: even centred windows
     reach ``w//2`` back and ``(w-1)//2`` ahead), shifted back by ``shift`` rows."""
@@ -97,9 +117,9 @@ def augment_rolling(df: DataFrame, value_cols: str | Sequence[str] = Y, window:
             for w in wins:
                 lo, hi = frames[w]
                 fw = ws.rowsBetween(lo, hi)
-                n = F.count(F.lit(1)).over(fw)
+                n = F.count(c).over(fw)  # valid values, as pandas min_periods
                 for fn in funcs:
-                    v = ROLL_FUNCS[fn](c).over(fw)
+                    v = _roll(fn, c, fw)
                     if not partial:
                         v = F.when(n == w, v)
                     if digits is not None:
@@ -137,7 +157,7 @@ def augment_ewm(df: DataFrame, value_col: str = Y, alphas: Sequence[float] = (0.
     x, added = _positioned(df, keys)
     for a in alphas:
         beta = 1.0 - a
-        name = f"{value_col}_ewm_mean_alpha_{a:g}"
+        name = f"{value_col}_ewm_mean_alpha_{tag(a)}"
         x = decay_scan(x, F.col(value_col), beta, "_num", keys, block_rows=block_rows)
         den = (F.lit(1.0) - F.pow(F.lit(beta), F.col(POS) + 1)) / F.lit(1.0 - beta)
         v = F.col("_num") / den
@@ -174,7 +194,7 @@ def lag_transforms(df: DataFrame, value_col: str = Y, lag: int = 1, rolling: Seq
         x = x.withColumn(f"expanding_mean_lag{lag}", rnd(F.try_divide(F.col("_es"), F.nullif(F.col("_en"), F.lit(0))))).drop("_es", "_en")
     for a in ewm_alphas:
         x = smoothed_level(x, value_col, a, "_lvl", keys, block_rows)
-        name = f"exponentially_weighted_mean_lag{lag}_alpha{a:g}"
+        name = f"exponentially_weighted_mean_lag{lag}_alpha{tag(a)}"
         x = halo_window(x, lag, 0, lambda w: {name: F.lag("_lvl", lag).over(w)}, keys, block_rows=block_rows).drop("_lvl")
         x = x.withColumn(name, rnd(F.col(name)))
     return _finish(x, added)
