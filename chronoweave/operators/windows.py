@@ -155,13 +155,13 @@ def augment_ewm(df: DataFrame, value_col: str = Y, alphas: Sequence[float] = (0.
     ``sum_j (1-a)^(t-j) y_j / sum_j (1-a)^(t-j)`` (the denominator is closed form)."""
     keys = _keys(id_cols)
     x, added = _positioned(df, keys)
-    for a in alphas:
+    specs = {f"_num{i}": (F.col(value_col), 1.0 - a) for i, a in enumerate(alphas)}
+    x = decay_scan(x, specs, id_cols=keys, block_rows=block_rows)
+    for i, a in enumerate(alphas):
         beta = 1.0 - a
-        name = f"{value_col}_ewm_mean_alpha_{tag(a)}"
-        x = decay_scan(x, F.col(value_col), beta, "_num", keys, block_rows=block_rows)
         den = (F.lit(1.0) - F.pow(F.lit(beta), F.col(POS) + 1)) / F.lit(1.0 - beta)
-        v = F.col("_num") / den
-        x = x.withColumn(name, F.round(v, digits) if digits is not None else v).drop("_num")
+        v = F.col(f"_num{i}") / den
+        x = x.withColumn(f"{value_col}_ewm_mean_alpha_{tag(a)}", F.round(v, digits) if digits is not None else v).drop(f"_num{i}")
     return _finish(x, added)
 
 

@@ -80,39 +80,54 @@ def halo_window(df: DataFrame, back: int, ahead: int, build: Callable[[WindowSpe
     return x.withColumns(build(w)).where(F.col("_blk") == F.col("_own")).drop("_blk", "_own")
 
 
-def decay_scan(df: DataFrame, value: Column, beta: float, out: str,
-               id_cols: str | Sequence[str] = ID, pos_col: str = POS,
+def decay_scan(df: DataFrame, value: Column | dict[str, tuple[Column, float]], beta: float | None = None,
+               out: str | None = None, id_cols: str | Sequence[str] = ID, pos_col: str = POS,
                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``out_t = sum_{j<=t} beta^(t-j) * value_j`` along each series, 0 <= beta < 1.
 
+    Several scans share one pass when ``value`` is a dict ``out -> (value, beta)``.
     Inside a block the sum is ``beta^off_t * cumsum(beta^-off_j * v_j)``; the block length
-    is capped so ``beta^-off`` stays below e^300.  The state entering block c is
-    ``sum_k beta^(kL) * T_(c-k)`` over the previous blocks' sums ``T``; blocks whose
+    is capped so ``beta^-off`` stays below e^300 for every beta.  The state entering block
+    c is ``sum_k beta^(kL) * T_(c-k)`` over the previous blocks' sums ``T``; blocks whose
     weight is below 1e-36 of the newest are left out (they cannot change a double).
     """
     keys = _keys(id_cols)
-    if beta <= 0.0:
-        return df.withColumn(out, value)
-    lnb = -math.log(beta)
-    L = max(1, min(int(block_rows), int(300.0 / lnb)))
-    k_max = 1 + math.ceil(83.0 / (L * lnb))
-    blk = F.floor(F.col(pos_col) / L)
-    x = (df.withColumn("_sb", blk)
-           .withColumn("_so", F.col(pos_col) - F.col("_sb") * L)
-           .withColumn("_sw", F.pow(F.lit(beta), -F.col("_so")) * value))
-    blocks = x.groupBy(*keys, "_sb").agg(F.sum("_sw").alias("_sT"))
+    specs = value if isinstance(value, dict) else {out: (value, beta)}
+    specs = {o: (v, float(b)) for o, (v, b) in specs.items()}
+    x = df
+    for o, (v, b) in list(specs.items()):
+        if b <= 0.0:
+            x = x.withColumn(o, v)
+            del specs[o]
+    if not specs:
+        return x
+    lnbs = {o: -math.log(b) for o, (_, b) in specs.items()}
+    L = max(1, min(int(block_rows), min(int(300.0 / l) for l in lnbs.values())))
+    x = (x.withColumn("_sb", F.floor(F.col(pos_col) / L))
+          .withColumn("_so", F.col(pos_col) - F.col("_sb") * L))
+    names = list(specs)
+    for i, o in enumerate(names):
+        v, b = specs[o]
+        x = x.withColumn(f"_sw{i}", F.pow(F.lit(b), -F.col("_so")) * v)
+    blocks = x.groupBy(*keys, "_sb").agg(*[F.sum(f"_sw{i}").alias(f"_sT{i}") for i in range(len(names))])
     wb = Window.partitionBy(*keys).orderBy("_sb")
-    carry = F.lit(0.0)
-    for k in range(1, k_max + 1):
-        f = beta ** (k * L)
-        if f == 0.0:
-            break
-        carry = carry + F.lit(f) * F.coalesce(F.lag("_sT", k).over(wb), F.lit(0.0))
-    blocks = blocks.select(*keys, "_sb", carry.alias("_sS"))
+    carries = []
+    for i, o in enumerate(names):
+        b = specs[o][1]
+        k_max = 1 + math.ceil(83.0 / (L * lnbs[o]))
+        carry = F.lit(0.0)
+        for k in range(1, k_max + 1):
+            f = b ** (k * L)
+            if f == 0.0:
+                break
+            carry = carry + F.lit(f) * F.coalesce(F.lag(f"_sT{i}", k).over(wb), F.lit(0.0))
+        carries.append(carry.alias(f"_sS{i}"))
+    blocks = blocks.select(*keys, "_sb", *carries)
     run = Window.partitionBy(*keys, "_sb").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, 0)
-    return (x.join(blocks, [*keys, "_sb"])
-             .withColumn(out, F.pow(F.lit(beta), F.col("_so")) * (F.col("_sS") + F.sum("_sw").over(run)))
-             .drop("_sb", "_so", "_sw", "_sS"))
+    y = x.join(blocks, [*keys, "_sb"]).withColumns({
+        o: F.pow(F.lit(specs[o][1]), F.col("_so")) * (F.col(f"_sS{i}") + F.sum(f"_sw{i}").over(run))
+        for i, o in enumerate(names)})
+    return y.drop("_sb", "_so", *[f"_sw{i}" for i in range(len(names))], *[f"_sS{i}" for i in range(len(names))])
 
 
 def carry_last(df: DataFrame, value_col: str, out: str, forward: bool = True,
