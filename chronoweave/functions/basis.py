@@ -45,28 +45,30 @@ def augment_fourier(df: DataFrame, time_col: str = "ds", periods: Sequence[float
     return df.withColumns(cols)
 
 
-def _bspline_columns(x: Column, knots: Column, n_knots: int, degree: int) -> list[Column]:
-    """All ``n_knots - degree - 1`` B-spline basis functions of ``degree`` at ``x``.
-
-    ``knots`` is an array column (1-based ``element_at``).  Intervals are half-open except
-    that the right boundary belongs to the last non-empty interval."""
-    t = [F.element_at(knots, i + 1) for i in range(n_knots)]
-    right = t[-1]
-    base = []
+def _bspline_levels(df: DataFrame, x: Column, knots: Column, n_knots: int, degree: int) -> tuple[DataFrame, list[str]]:
+    """Add the B-spline basis of ``degree`` at ``x`` level by level (each Cox-de Boor
+    level is a set of named columns built from the previous level, keeping expressions
+    small).  ``knots`` is an array column (1-based ``element_at``).  Intervals are
+    half-open except that the right boundary belongs to the last non-empty interval.
+    Returns the frame and the ``n_knots - degree - 1`` basis column names."""
+    df = df.withColumn("_bx", x).withColumn("_bk", knots)
+    t = [F.element_at(F.col("_bk"), i + 1) for i in range(n_knots)]
+    xc, right = F.col("_bx"), t[-1]
+    cols = {}
     for i in range(n_knots - 1):
-        inside = (x >= t[i]) & (x < t[i + 1])
-        # right boundary: last interval with positive length that ends at the boundary
-        at_end = (x == right) & (t[i + 1] == right) & (t[i] < right)
-        base.append(F.when(inside | at_end, F.lit(1.0)).otherwise(F.lit(0.0)))
-    cur = base
+        inside = (xc >= t[i]) & (xc < t[i + 1])
+        at_end = (xc == right) & (t[i + 1] == right) & (t[i] < right)
+        cols[f"_b0_{i}"] = F.when(inside | at_end, F.lit(1.0)).otherwise(F.lit(0.0))
+    df = df.withColumns(cols)
     for p in range(1, degree + 1):
-        nxt = []
+        cols = {}
         for i in range(n_knots - p - 1):
-            a = F.try_divide(x - t[i], t[i + p] - t[i])
-            b = F.try_divide(t[i + p + 1] - x, t[i + p + 1] - t[i + 1])
-            nxt.append(F.coalesce(a * cur[i], F.lit(0.0)) + F.coalesce(b * cur[i + 1], F.lit(0.0)))
-        cur = nxt
-    return cur
+            a = F.try_divide(xc - t[i], t[i + p] - t[i])
+            b = F.try_divide(t[i + p + 1] - xc, t[i + p + 1] - t[i + 1])
+            cols[f"_b{p}_{i}"] = (F.coalesce(a * F.col(f"_b{p-1}_{i}"), F.lit(0.0)) +
+                                 F.coalesce(b * F.col(f"_b{p-1}_{i+1}"), F.lit(0.0)))
+        df = df.withColumns(cols).drop(*[f"_b{p-1}_{i}" for i in range(n_knots - p)])
+    return df.drop("_bx", "_bk"), [f"_b{degree}_{i}" for i in range(n_knots - degree - 1)]
 
 
 def bspline_knots(df: DataFrame, col: str, df_: int = 5, degree: int = 3) -> tuple[Column, int]:
@@ -86,11 +88,11 @@ def augment_bsplines(df: DataFrame, column_name: str = "ds_index_num", df_: int
                      digits: int | None = None) -> DataFrame:
     """``bspline_<i>_degree_<d>`` for i = 1..df (basis without the intercept column)."""
     knots, n = bspline_knots(df, column_name, df_, degree)
-    cols = _bspline_columns(F.col(column_name).cast("double"), knots, n, degree)[1:]
+    x, names = _bspline_levels(df, F.col(column_name).cast("double"), knots, n, degree)
     out = {}
-    for i, c in enumerate(cols, start=1):
-        out[f"bspline_{i}_degree_{degree}"] = F.round(c, digits) if digits is not None else c
-    return df.withColumns(out)
+    for i, c in enumerate(names[1:], start=1):
+        out[f"bspline_{i}_degree_{degree}"] = F.round(c, digits) if digits is not None else F.col(c)
+    return x.withColumns(out).drop(*names)
 
 
 def augment_natural_spline(df: DataFrame, column_name: str = "ds_index_num", deg_free: int = 2,
