@@ -60,7 +60,8 @@ def r_metrics(scored: DataFrame, scale: DataFrame, by: Sequence[str] = (ID, MODE
         F.round(F.try_divide(F.avg(F.abs(e)), F.first("scale_mae")), digits).alias("mase"),
         F.round(F.avg(F.try_divide(F.abs(e), (F.abs(F.col(Y)) + F.abs(F.col(YHAT))) / 2)) * 100, digits).alias("smape"),
         F.round(F.sqrt(F.avg(e * e)), digits).alias("rmse"),
-        F.round(F.pow(F.corr(Y, YHAT), 2), digits).alias("rsq"),
+        # squared correlation from moments: a constant forecast gives NULL, not an error
+        F.round(F.try_divide(F.pow(F.covar_pop(Y, YHAT), 2), F.var_pop(Y) * F.var_pop(YHAT)), digits).alias("rsq"),
     )
 
 
