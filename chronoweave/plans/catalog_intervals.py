@@ -52,20 +52,20 @@ select unique_id, model,
   max(case when rk = least(n, ceil((n + 1) * 0.8)) then a end) as q80, max(case when rk = least(n, ceil((n + 1) * 0.95)) then a end) as q95
 from (select unique_id, model, abs(y_hat - y) as a, row_number() over (partition by unique_id, model order by abs(y_hat - y)) as rk,
              count(*) over (partition by unique_id, model) as n from res) group by 1, 2""") + """
-select fc.unique_id, fc.ds, fc.model, fc.y_hat, round(y_hat - q80, 6) as lo_80, round(y_hat + q80, 6) as hi_80,
+select fc.unique_id, fc.ds, fc.model, round(fc.y_hat, 6) as y_hat, round(y_hat - q80, 6) as lo_80, round(y_hat + q80, 6) as hi_80,
        round(y_hat - q95, 6) as lo_95, round(y_hat + q95, 6) as hi_95 from fc left join q using (unique_id, model)""", ids=("L03",))
 def l03(spark, sf):
     tr, te, fc = holdout_fc(spark, sf)
-    return intervals.split_conformal(metrics.score_frame(fc, te), fc, (80, 95))
+    return r6(intervals.split_conformal(metrics.score_frame(fc, te), fc, (80, 95)))
 
 
 @register("L04_normal_interval", split_sql(**HOLD_RES, s="select unique_id, model, stddev_samp(y - y_hat) as sd from res group by 1, 2") + f"""
-select fc.unique_id, fc.ds, fc.model, fc.y_hat, round(y_hat - {intervals.NORMAL_Z[80]!r} * sd, 6) as lo_80,
+select fc.unique_id, fc.ds, fc.model, round(fc.y_hat, 6) as y_hat, round(y_hat - {intervals.NORMAL_Z[80]!r} * sd, 6) as lo_80,
        round(y_hat + {intervals.NORMAL_Z[80]!r} * sd, 6) as hi_80, round(y_hat - {intervals.NORMAL_Z[95]!r} * sd, 6) as lo_95,
        round(y_hat + {intervals.NORMAL_Z[95]!r} * sd, 6) as hi_95 from fc left join s using (unique_id, model)""", ids=("L04",))
 def l04(spark, sf):
     tr, te, fc = holdout_fc(spark, sf)
-    return intervals.normal_interval(metrics.score_frame(fc, te), fc, (80, 95))
+    return r6(intervals.normal_interval(metrics.score_frame(fc, te), fc, (80, 95)))
 
 
 @register("L06_interval_coverage", cte(**CV) + """,

@@ -44,8 +44,9 @@ def split_sql(**more):
     return cte(**SPLIT, **more)
 
 
-def fc_sql(model: str, value: str, src: str = "hz", join: str = "") -> str:
-    return f"select {src}.unique_id, {src}.ds, '{model}' as model, round({value}, 6) as y_hat from {src} {join}"
+def fc_sql(model: str, value: str, src: str = "hz", join: str = "", rnd: bool = True) -> str:
+    v = f"round({value}, 6)" if rnd else value
+    return f"select {src}.unique_id, {src}.ds, '{model}' as model, {v} as y_hat from {src} {join}"
 
 
 # ---- benchmarks -------------------------------------------------------------------
@@ -265,15 +266,15 @@ def k06(spark, sf):
 def holdout_fc(spark, sf):
     tr, te = holdout(spark, sf)
     fc = baselines.naive(tr, H).unionByName(baselines.seasonal_naive(tr, H, 7)).unionByName(baselines.window_average(tr, H, 7))
-    return tr, te, r6(fc)
+    return tr, te, fc
 
 
 HOLD = dict(
     src="select unique_id, 6 - r as ph, y as v from rr where r < 7",
     w="select unique_id, avg(y) as v from rr where r < 7 group by 1",
-    fc=fc_sql("Naive", "last_y", join="join tt using (unique_id)") + " union all " +
-       fc_sql("SeasonalNaive", "v", join="join src on src.unique_id = hz.unique_id and src.ph = (hz.s - 1) % 7") + " union all " +
-       fc_sql("WindowAverage", "v", join="join w using (unique_id)"),
+    fc=fc_sql("Naive", "last_y", join="join tt using (unique_id)", rnd=False) + " union all " +
+       fc_sql("SeasonalNaive", "v", join="join src on src.unique_id = hz.unique_id and src.ph = (hz.s - 1) % 7", rnd=False) +
+       " union all " + fc_sql("WindowAverage", "v", join="join w using (unique_id)", rnd=False),
     sc="select fc.*, te.y from fc join te using (unique_id, ds)",
 )
 
@@ -325,7 +326,7 @@ def k13(spark, sf):
 
 @register("K13_best_model_forecast", split_sql(**HOLD) + ", " + PM + """,
 b as (select unique_id, model from (select *, rank() over (partition by unique_id order by round(rmse, 9)) as rk from pm) where rk = 1)
-select fc.unique_id, fc.ds, fc.model, fc.y_hat from fc join b using (unique_id, model)""", ids=("K13", "O05"))
+select fc.unique_id, fc.ds, fc.model, round(fc.y_hat, 6) as y_hat from fc join b using (unique_id, model)""", ids=("K13", "O05"))
 def k13f(spark, sf):
     tr, te, fc = holdout_fc(spark, sf)
     best = metrics.best_model(metrics.point_metrics(metrics.score_frame(fc, te), digits=9), "rmse", by=[ID])
