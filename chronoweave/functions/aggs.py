@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sketch accuracy for quantiles: relative rank error 1e-6, exact while a group holds
-# fewer than a million rows.  The sketch is mergeable, so quantiles are partial
+# Sketch accuracy for quantiles: relative rank error 1e-4, exact while a group holds
+# fewer than 10,000 rows.  The sketch is mergeable, so quantiles are partial
 # aggregates and a hot group never has to sit in one task.
-QUANTILE_ACCURACY = 1_000_000
+QUANTILE_ACCURACY = 10_000
 
 
 def quantile(c: str | Column, q: float | list[float]) -> Column:

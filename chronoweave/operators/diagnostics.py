@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.aggs import quantile
 from chronoweave.panel import DS, ID, Y
-from chronoweave.plans.series import DEFAULT_BLOCK_ROWS, POS, _keys, halo_window, with_positions
+from chronoweave.plans.series import DEFAULT_BLOCK_ROWS, POS, _keys, halo_window, positioned, with_positions
 
 
 def series_diagnostics(df: DataFrame, id_cols: str | Sequence[str] = ID, unit: str = "DAY") -> DataFrame:
@@ -40,12 +40,12 @@ def _centered(df: DataFrame, keys: list[str], value_col: str, out: str) -> DataF
     return df.join(m, keys).withColumn(out, F.col(value_col) - F.col("_mean")).drop("_mean")
 
 
-def acf(df: DataFrame, value_col: str = Y, max_lag: int = 28, id_cols: str | Sequence[str] = ID,
+def acf(df: DataFrame, value_col: str = Y, max_lag: int = 28, freq: str | None = None, id_cols: str | Sequence[str] = ID,
         block_rows: int = DEFAULT_BLOCK_ROWS, digits: int = 6) -> DataFrame:
     """``acf_k = sum(c_t c_(t-k)) / sum(c_t^2)`` (c = y - mean) for k = 0..max_lag,
     with the white-noise bound 1.96/sqrt(n): long ``(id, lag, acf, bound)``."""
     keys = _keys(id_cols)
-    x = _centered(with_positions(df.where(F.col(value_col).isNotNull()), keys), keys, value_col, "_c")
+    x = _centered(positioned(df.where(F.col(value_col).isNotNull()), keys, freq)[0], keys, value_col, "_c")
     x = halo_window(x, max_lag, 0, lambda w: {f"_l{k}": F.lag("_c", k).over(w) for k in range(1, max_lag + 1)},
                     keys, block_rows=block_rows)
     sums = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("_c") * F.col("_c")).alias("_s0"),
@@ -90,13 +90,13 @@ def pacf(acf_df: DataFrame, id_cols: str | Sequence[str] = ID) -> DataFrame:
     return acf_df.groupBy(*keys).applyInPandas(dl, schema)
 
 
-def ccf(df: DataFrame, target: str, regressors: Sequence[str], max_lag: int = 14, id_cols: str | Sequence[str] = ID,
+def ccf(df: DataFrame, target: str, regressors: Sequence[str], max_lag: int = 14, freq: str | None = None, id_cols: str | Sequence[str] = ID,
         block_rows: int = DEFAULT_BLOCK_ROWS, digits: int = 6) -> DataFrame:
     """Cross-correlation of the target with lagged regressors,
     ``sum((y_t - y_bar)(x_(t-k) - x_bar)) / sqrt(sum((y-y_bar)^2) sum((x-x_bar)^2))``:
     long ``(id, regressor, lag, ccf)``."""
     keys = _keys(id_cols)
-    x = with_positions(df.where(F.col(target).isNotNull()), keys)
+    x = positioned(df.where(F.col(target).isNotNull()), keys, freq)[0]
     x = _centered(x, keys, target, "_cy")
     for r in regressors:
         x = _centered(x, keys, r, f"_cx_{r}")
@@ -115,13 +115,13 @@ def ccf(df: DataFrame, target: str, regressors: Sequence[str], max_lag: int = 14
         *keys, "_e.regressor", "_e.lag", F.round("_e.v", digits).alias("ccf"))
 
 
-def classical_decomposition(df: DataFrame, value_col: str = Y, period: int = 7, id_cols: str | Sequence[str] = ID,
+def classical_decomposition(df: DataFrame, value_col: str = Y, period: int = 7, freq: str | None = None, id_cols: str | Sequence[str] = ID,
                             block_rows: int = DEFAULT_BLOCK_ROWS, digits: int = 6) -> DataFrame:
     """Additive classical decomposition.  Trend = centred moving average of length
     ``period`` (a 2 x period MA when even), seasonal = per-phase mean of the detrended
     series re-centred to sum to zero, remainder = y - trend - seasonal."""
     keys = _keys(id_cols)
-    x = with_positions(df, keys)
+    x = positioned(df, keys, freq)[0]
     half = period // 2
     if period % 2 == 1:
         build = lambda w: {"trend": F.when(F.count(value_col).over(w.rowsBetween(-half, half)) == period,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.panel import DS, ID, Y
-from chronoweave.plans.series import DEFAULT_BLOCK_ROWS, POS, _keys, carry_last, with_positions
+from chronoweave.plans.series import DEFAULT_BLOCK_ROWS, POS, _keys, carry_last, positioned, with_positions
 
 
 def fill_value(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -20,10 +20,10 @@ def fill_value(df: DataFrame, values: dict[str, object]) -> DataFrame:
 
 
 def fill_direction(df: DataFrame, value_col: str = Y, direction: str = "forward",
-                   id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                   freq: str | None = None, id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Forward (``ffill``) or backward (``bfill``) fill; ``"both"`` = ffill then bfill."""
     keys = _keys(id_cols)
-    x = with_positions(df, keys)
+    x, _ = positioned(df, keys, freq)
     if direction in ("forward", "both"):
         x = carry_last(x, value_col, "_f", True, keys, block_rows=block_rows).withColumn(value_col, F.col("_f")).drop("_f")
     if direction in ("backward", "both"):
@@ -44,20 +44,20 @@ def _interpolate_positioned(x: DataFrame, value_col: str, keys: list[str], block
     return x.withColumn(value_col, filled).drop("_pv", "_prev", "_next")
 
 
-def interpolate_linear(df: DataFrame, value_col: str = Y, id_cols: str | Sequence[str] = ID,
+def interpolate_linear(df: DataFrame, value_col: str = Y, freq: str | None = None, id_cols: str | Sequence[str] = ID,
                        block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Pandas ``interpolate(method='linear')`` by position: gaps between two values
     are linear, trailing gaps repeat the last value, leading gaps stay NULL."""
     keys = _keys(id_cols)
-    return _interpolate_positioned(with_positions(df, keys), value_col, keys, block_rows).drop(POS)
+    return _interpolate_positioned(positioned(df, keys, freq)[0], value_col, keys, block_rows).drop(POS)
 
 
-def impute_seasonal(df: DataFrame, value_col: str = Y, period: int = 7, id_cols: str | Sequence[str] = ID,
+def impute_seasonal(df: DataFrame, value_col: str = Y, period: int = 7, freq: str | None = None, id_cols: str | Sequence[str] = ID,
                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """B15 ``ts_impute_vec(period)``: remove the per-phase mean (phase = position mod
     period), interpolate linearly, add the phase mean back.  ``period <= 1`` is plain B14."""
     keys = _keys(id_cols)
-    x = with_positions(df, keys)
+    x, _ = positioned(df, keys, freq)
     if period <= 1:
         return _interpolate_positioned(x, value_col, keys, block_rows).drop(POS)
     x = x.withColumn("_ph", F.pmod(F.col(POS), F.lit(period)))

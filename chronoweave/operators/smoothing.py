@@ -19,17 +19,21 @@ from pyspark.sql import functions as F
 
 from chronoweave.operators.baselines import MODEL, STEP, YHAT, horizon
 from chronoweave.panel import DS, ID, Y
-from chronoweave.plans.series import POS, _keys, decay_scan, halo_window, with_positions
+from chronoweave.functions.timekeys import steps_between
+from chronoweave.plans.series import POS, _keys, carry_last, decay_scan, prefix_sums, regular_positions, with_positions
 
 ALPHA_GRID = [round(0.05 * i, 2) for i in range(1, 20)]        # 0.05 .. 0.95
 CROSTON_GRID = [round(0.1 + 0.01 * i, 2) for i in range(21)]     # 0.10 .. 0.30
 
 
-def _positions(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``_pos`` and ``_n`` (rows in the key) and ``_r`` = rows after this one."""
-    x = with_positions(df, keys)
+def _positions(df: DataFrame, keys: list[str], freq: str | None = None) -> DataFrame:
+    """Add ``_pos``, ``_n`` (rows in the key), ``_T`` (last time) and ``_r`` = rows after
+    this one.  On a regular grid (``freq``) positions are epoch steps and ``_r`` is the
+    step distance to ``_T``: one small aggregate and join, no ranking shuffle."""
     n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(DS).alias("_T"))
-    return x.join(n, keys).withColumn("_r", F.col("_n") - 1 - F.col(POS))
+    if freq:
+        return regular_positions(df, freq).join(n, keys).withColumn("_r", steps_between(F.col(DS), F.col("_T"), freq))
+    return with_positions(df, keys).join(n, keys).withColumn("_r", F.col("_n") - 1 - F.col(POS))
 
 
 def ses_weight(alpha: float | Column) -> Column:
@@ -48,13 +52,14 @@ def ses_levels(df: DataFrame, keys: list[str], alphas: Sequence[float], value_co
 def ses_sse(df: DataFrame, keys: list[str], alphas: Sequence[float], value_col: str = Y) -> DataFrame:
     """Per key and alpha the SSE of one-step fits ``sum_{t>=1} (y_t - l_(t-1))^2`` and the
     final level; long ``(*keys, _T, alpha, sse, level)``.  ``l_(t-1) = (l_t - a y_t)/(1-a)``."""
-    specs = {f"_lv{i}": (F.when(F.col(POS) == 0, F.col(value_col)).otherwise(F.lit(a) * F.col(value_col)), 1.0 - a)
+    first = F.col("_r") == F.col("_n") - 1
+    specs = {f"_lv{i}": (F.when(first, F.col(value_col)).otherwise(F.lit(a) * F.col(value_col)), 1.0 - a)
              for i, a in enumerate(alphas)}
     x = decay_scan(df, specs, id_cols=keys)
     aggs = [F.max("_T").alias("_T")]
     for i, a in enumerate(alphas):
         prev = (F.col(f"_lv{i}") - F.lit(a) * F.col(value_col)) / F.lit(1.0 - a)
-        e = F.when(F.col(POS) > 0, F.col(value_col) - prev)
+        e = F.when(~first, F.col(value_col) - prev)
         aggs += [F.sum(e * e).alias(f"_sse{i}"), F.max_by(f"_lv{i}", POS).alias(f"_lev{i}")]
     s = x.groupBy(*keys).agg(*aggs)
     items = [F.struct(F.lit(a).alias("alpha"), F.col(f"_sse{i}").alias("sse"), F.col(f"_lev{i}").alias("level"))
@@ -77,7 +82,7 @@ def ses(train: DataFrame, h: int, alpha: float = 0.7, freq: str = "D", id_cols:
         name: str = "SES") -> DataFrame:
     """Simple exponential smoothing with fixed ``alpha``."""
     keys = _keys(id_cols)
-    lv = ses_levels(_positions(train, keys), keys, [alpha])
+    lv = ses_levels(_positions(train, keys, freq), keys, [alpha])
     return _emit(lv, keys, h, freq, name, F.col("level_0"))
 
 
@@ -85,7 +90,7 @@ def ses_optimized(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequ
                   grid: Sequence[float] = ALPHA_GRID, name: str = "SESOpt") -> DataFrame:
     """SES with alpha chosen per series by one-step SSE over ``grid``."""
     keys = _keys(id_cols)
-    b = best_alpha(ses_sse(_positions(train, keys), keys, grid), keys)
+    b = best_alpha(ses_sse(_positions(train, keys, freq), keys, grid), keys)
     return _emit(b, keys, h, freq, name, F.col("level"))
 
 
@@ -94,12 +99,14 @@ def seasonal_es(train: DataFrame, h: int, season: int = 7, alpha: float | None =
     """SES on each seasonal sub-series (the last ``floor(n/m)`` full seasons); step s
     uses the sub-series holding the value one season before.  ``alpha=None`` optimises."""
     keys = _keys(id_cols)
-    x = _positions(train, keys)
+    x = _positions(train, keys, freq)
     x = x.where(F.col("_r") < F.floor(F.col("_n") / season) * season)
     x = x.withColumn("_ph", F.lit(season) - 1 - F.pmod(F.col("_r"), F.lit(season)))
     sub = [*keys, "_ph"]
-    x = x.drop(POS, "_n", "_r")
-    sx = _positions(x.drop("_T"), sub).drop("_T").join(train.groupBy(*keys).agg(F.max(DS).alias("_T")), keys)
+    # sub-series positions: every phase holds floor(n/m) rows spaced one season apart
+    n_sub = F.floor(F.col("_n") / season)
+    r_sub = F.floor(F.col("_r") / season)
+    sx = x.withColumns({"_n": n_sub, "_r": r_sub}).withColumn(POS, F.col("_n") - 1 - F.col("_r"))
     if alpha is None:
         lv = best_alpha(ses_sse(sx, sub, grid), sub)
         name = "SeasESOpt"
@@ -116,7 +123,7 @@ def theta(train: DataFrame, h: int, alpha: float | None = 0.5, freq: str = "D",
     """Standard theta method (theta = 2): SES level plus half the OLS drift,
     ``l + b0/2 * (h - 1 + 1/a - (1-a)^n / a)``; ``alpha=None`` = OptimizedTheta (grid SSE)."""
     keys = _keys(id_cols)
-    x = _positions(train, keys)
+    x = _positions(train, keys, freq)
     slope = x.groupBy(*keys).agg(F.regr_slope(Y, F.col(POS).cast("double")).alias("_b0"), F.max("_n").alias("_n"))
     if alpha is None:
         lv = best_alpha(ses_sse(x, keys, grid), keys)
@@ -132,15 +139,23 @@ def theta(train: DataFrame, h: int, alpha: float | None = 0.5, freq: str = "D",
 
 # ---- intermittent demand -----------------------------------------------------------
 
-def _demand_rows(train: DataFrame, keys: list[str]) -> DataFrame:
-    """Non-zero rows with ``interval`` = positions since the previous demand (the first
-    demand counts from one before the series start)."""
-    x = with_positions(train, keys)
-    d = x.where(F.col(Y) != 0).withColumnRenamed(POS, "_tpos")
-    d = with_positions(d, keys, pos_col="_dpos")
-    d = halo_window(d, 1, 0, lambda w: {"_prevt": F.lag("_tpos", 1).over(w)}, keys, pos_col="_dpos")
-    return d.withColumn("interval", (F.col("_tpos") - F.coalesce(F.col("_prevt"), F.lit(-1))).cast("double")) \
-            .drop("_prevt", "_dpos", "_tpos")
+def _demand_rows(train: DataFrame, keys: list[str], freq: str | None) -> DataFrame:
+    """Non-zero rows with ``interval`` = steps since the previous demand (the first demand
+    counts from one step before the series start) and, for SES over the demands,
+    ``_pos``/``_n``/``_r`` numbered among the demand rows.  Built from a block carry of
+    the previous demand position and a block prefix count, never a per-series window."""
+    x = _positions(train, keys, freq)
+    x = x.withColumn("_p0", F.col(POS) - (F.col("_n") - 1 - F.col("_r")))  # first position of the series
+    x = x.withColumn("_dp", F.when(F.col(Y) != 0, F.col(POS)))
+    x = carry_last(x, "_dp", "_prevd", True, keys, inclusive=False)
+    x = prefix_sums(x, {"_rk": (F.col(Y) != 0).cast("long")}, keys)
+    d = x.where(F.col(Y) != 0)
+    nd = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
+    d = (d.withColumn("interval", (F.col(POS) - F.coalesce(F.col("_prevd"), F.col("_p0") - 1)).cast("double"))
+          .drop("_n", "_r", POS).join(nd, keys)
+          .withColumn(POS, F.col("_rk") - 1).withColumnRenamed("_nd", "_n")
+          .withColumn("_r", F.col("_n") - 1 - F.col(POS)))
+    return d.drop("_dp", "_prevd", "_rk", "_p0")
 
 
 def croston(train: DataFrame, h: int, variant: str = "classic", alpha: float = 0.1, freq: str = "D",
@@ -149,8 +164,7 @@ def croston(train: DataFrame, h: int, variant: str = "classic", alpha: float = 0
     ``sba`` (times 1 - a/2) or ``optimized`` (each SES alpha by SSE on 0.10..0.30)."""
     keys = _keys(id_cols)
     last = train.groupBy(*keys).agg(F.max(DS).alias("_T"))
-    d = _demand_rows(train, keys)
-    dp = _positions(d.drop("_T") if "_T" in d.columns else d, keys)
+    dp = _demand_rows(train, keys, freq)
     if variant == "optimized":
         z = best_alpha(ses_sse(dp, keys, CROSTON_GRID, Y), keys).select(*keys, F.col("level").alias("_z"))
         p = best_alpha(ses_sse(dp, keys, CROSTON_GRID, "interval"), keys).select(*keys, F.col("level").alias("_p"))
@@ -169,18 +183,18 @@ def tsb(train: DataFrame, h: int, alpha_d: float = 0.2, alpha_p: float = 0.2, fr
     """Teunter-Syntetos-Babai: SES(alpha_p) of the demand indicator over all rows times
     SES(alpha_d) of the demand sizes."""
     keys = _keys(id_cols)
-    allp = _positions(train, keys)
+    allp = _positions(train, keys, freq)
     p = allp.groupBy(*keys).agg(F.max("_T").alias("_T"),
                                 F.sum(ses_weight(alpha_p) * (F.col(Y) != 0).cast("double")).alias("_p"))
-    d = _positions(train.where(F.col(Y) != 0), keys)
+    d = _demand_rows(train, keys, freq)
     z = d.groupBy(*keys).agg(F.sum(ses_weight(alpha_d) * F.col(Y)).alias("_z"))
     base = p.join(z, keys, "left")
     return _emit(base, keys, h, freq, "TSB", F.coalesce(F.col("_p") * F.col("_z"), F.lit(0.0)))
 
 
-def _agg_level(train: DataFrame, keys: list[str]) -> DataFrame:
+def _agg_level(train: DataFrame, keys: list[str], freq: str | None = None) -> DataFrame:
     """ADIDA aggregation level: mean demand interval rounded half-to-even."""
-    d = _demand_rows(train, keys)
+    d = _demand_rows(train, keys, freq)
     return d.groupBy(*keys).agg(F.bround(F.avg("interval"), 0).cast("int").alias("_k"))
 
 
@@ -190,12 +204,14 @@ def adida(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str
     series start, the incomplete last bucket dropped), optimised SES on the bucket sums,
     forecast = level / k per step."""
     keys = _keys(id_cols)
-    k = levels if levels is not None else _agg_level(train, keys)
-    x = _positions(train, keys).join(k, keys).where(F.col("_k") >= 1)
-    x = x.withColumn("_bk", F.floor(F.col(POS) / F.col("_k"))).where(F.col("_bk") < F.floor(F.col("_n") / F.col("_k")))
-    b = x.groupBy(*keys, "_bk").agg(F.sum(Y).alias(Y), F.max("_k").alias("_k"), F.max("_T").alias("_T"))
-    b = b.withColumn(DS, F.col("_bk").cast("timestamp"))  # order key of buckets
-    bp = _positions(b.select(*keys, DS, Y), keys)
+    k = levels if levels is not None else _agg_level(train, keys, freq)
+    x = _positions(train, keys, freq).join(k, keys).where(F.col("_k") >= 1)
+    since_start = F.col("_n") - 1 - F.col("_r")
+    x = x.withColumn("_bk", F.floor(since_start / F.col("_k"))).where(F.col("_bk") < F.floor(F.col("_n") / F.col("_k")))
+    b = x.groupBy(*keys, "_bk").agg(F.sum(Y).alias(Y), F.max("_k").alias("_k"), F.max("_T").alias("_T"),
+                                    F.max(F.floor(F.col("_n") / F.col("_k"))).alias("_n"))
+    # bucket series: dense positions 0..nb-1
+    bp = b.withColumn(POS, F.col("_bk").cast("long")).withColumn("_r", F.col("_n") - 1 - F.col(POS))
     lv = best_alpha(ses_sse(bp, keys, grid), keys).drop("_T")
     base = train.groupBy(*keys).agg(F.max(DS).alias("_T")).join(lv, keys).join(k, keys)
     return _emit(base, keys, h, freq, name, F.col("level") / F.col("_k"))
@@ -205,7 +221,7 @@ def imapa(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str
           grid: Sequence[float] = ALPHA_GRID, max_level: int = 12) -> DataFrame:
     """M23 IMAPA: mean of the ADIDA forecasts at every level 1..k (k = mean interval)."""
     keys = _keys(id_cols)
-    k = _agg_level(train, keys)
+    k = _agg_level(train, keys, freq)
     lv = k.select(*keys, F.explode(F.sequence(F.lit(1), F.least(F.greatest(F.col("_k"), F.lit(1)), F.lit(max_level)))).alias("_k"))
     lv = lv.withColumn("_lvl", F.col("_k"))
     fc = adida(train.join(lv.select(*keys, "_lvl"), keys), h, freq, [*keys, "_lvl"], grid,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from chronoweave.panel import DS, ID, Y
-from chronoweave.plans.series import (DEFAULT_BLOCK_ROWS, POS, _keys, decay_scan, halo_window,
+from chronoweave.plans.series import (DEFAULT_BLOCK_ROWS, POS, _keys, decay_scan, halo_window, positioned,
                                       prefix_sums, with_positions)
 
 
@@ -23,10 +23,9 @@ def tag(a: float) -> str:
     return f"{a:g}".replace(".", "_").replace("-", "m")
 
 
-def _positioned(df: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
-    if POS in df.columns:
-        return df, False
-    return with_positions(df, keys), True
+def _positioned(df: DataFrame, keys: list[str], freq: str | None = None) -> tuple[DataFrame, bool]:
+    """Positions from the regular grid (``freq`` given: no shuffle) or ranks (irregular)."""
+    return positioned(df, keys, freq)
 
 
 def _finish(df: DataFrame, added: bool) -> DataFrame:
@@ -38,28 +37,28 @@ def _cols(c: str | Sequence[str]) -> list[str]:
 
 
 def augment_lags(df: DataFrame, value_cols: str | Sequence[str] = Y, lags: Sequence[int] = (1,),
-                 id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                 freq: str | None = None, id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``<col>_lag_<k>`` = value ``k`` rows earlier in the series."""
     keys = _keys(id_cols)
-    x, added = _positioned(df, keys)
+    x, added = _positioned(df, keys, freq)
     build = lambda w: {f"{c}_lag_{k}": F.lag(c, k).over(w) for c in _cols(value_cols) for k in lags}
     return _finish(halo_window(x, max(lags), 0, build, keys, block_rows=block_rows), added)
 
 
 def augment_diffs(df: DataFrame, value_cols: str | Sequence[str] = Y, periods: Sequence[int] = (1,),
-                  id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                  freq: str | None = None, id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``<col>_diff_<p>`` = y - lag_p(y)."""
     keys = _keys(id_cols)
-    x, added = _positioned(df, keys)
+    x, added = _positioned(df, keys, freq)
     build = lambda w: {f"{c}_diff_{p}": F.col(c) - F.lag(c, p).over(w) for c in _cols(value_cols) for p in periods}
     return _finish(halo_window(x, max(periods), 0, build, keys, block_rows=block_rows), added)
 
 
 def augment_pct_change(df: DataFrame, value_cols: str | Sequence[str] = Y, periods: Sequence[int] = (1,),
-                       id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                       freq: str | None = None, id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``<col>_pctchg_<p>`` = y / lag_p(y) - 1 (NULL where the lag is 0)."""
     keys = _keys(id_cols)
-    x, added = _positioned(df, keys)
+    x, added = _positioned(df, keys, freq)
     build = lambda w: {f"{c}_pctchg_{p}": F.try_divide(F.col(c), F.nullif(F.lag(c, p).over(w), F.lit(0))) - 1
                        for c in _cols(value_cols) for p in periods}
     return _finish(halo_window(x, max(periods), 0, build, keys, block_rows=block_rows), added)
@@ -97,14 +96,14 @@ def frame_bounds(window: int, center: bool, shift: int = 0) -> tuple[int, int]:
 
 def augment_rolling(df: DataFrame, value_cols: str | Sequence[str] = Y, window: int | Sequence[int] = 7,
                     window_func: str | Sequence[str] = "mean", center: bool = False, partial: bool = False,
-                    shift: int = 0, id_cols: str | Sequence[str] = ID,
+                    shift: int = 0, freq: str | None = None, id_cols: str | Sequence[str] = ID,
                     block_rows: int = DEFAULT_BLOCK_ROWS, digits: int | None = None) -> DataFrame:
     """``<col>_rolling_<func>_win_<w>`` over trailing or centred ROWS frames.
 
     Unless ``partial``, a value needs the whole frame inside the series (NULL at edges);
     ``shift`` moves the frame ``k`` rows back (lag-then-roll, horizon safe)."""
     keys = _keys(id_cols)
-    x, added = _positioned(df, keys)
+    x, added = _positioned(df, keys, freq)
     wins = [window] if isinstance(window, int) else list(window)
     funcs = [window_func] if isinstance(window_func, str) else list(window_func)
     frames = {w: frame_bounds(w, center, shift) for w in wins}
@@ -132,11 +131,11 @@ def augment_rolling(df: DataFrame, value_cols: str | Sequence[str] = Y, window:
 
 
 def rolling_apply(df: DataFrame, value_col: str, window: int, fn: Callable[[Column], Column], name: str,
-                  center: bool = False, id_cols: str | Sequence[str] = ID,
+                  center: bool = False, freq: str | None = None, id_cols: str | Sequence[str] = ID,
                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """User function of the window's values (an array column, oldest first)."""
     keys = _keys(id_cols)
-    x, added = _positioned(df, keys)
+    x, added = _positioned(df, keys, freq)
     lo, hi = frame_bounds(window, center)
 
     def build(ws: WindowSpec) -> dict[str, Column]:
@@ -149,43 +148,46 @@ def rolling_apply(df: DataFrame, value_col: str, window: int, fn: Callable[[Colu
 
 
 def augment_ewm(df: DataFrame, value_col: str = Y, alphas: Sequence[float] = (0.1,),
-                id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS,
+                freq: str | None = None, id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS,
                 digits: int | None = None) -> DataFrame:
     """pandas ``ewm(alpha, adjust=True).mean()``:
     ``sum_j (1-a)^(t-j) y_j / sum_j (1-a)^(t-j)`` (the denominator is closed form)."""
     keys = _keys(id_cols)
-    x, added = _positioned(df, keys)
+    x, added = _positioned(df, keys, freq)
     specs = {f"_num{i}": (F.col(value_col), 1.0 - a) for i, a in enumerate(alphas)}
+    specs.update({f"_den{i}": (F.lit(1.0), 1.0 - a) for i, a in enumerate(alphas)})
     x = decay_scan(x, specs, id_cols=keys, block_rows=block_rows)
     for i, a in enumerate(alphas):
-        beta = 1.0 - a
-        den = (F.lit(1.0) - F.pow(F.lit(beta), F.col(POS) + 1)) / F.lit(1.0 - beta)
-        v = F.col(f"_num{i}") / den
-        x = x.withColumn(f"{value_col}_ewm_mean_alpha_{tag(a)}", F.round(v, digits) if digits is not None else v).drop(f"_num{i}")
+        v = F.col(f"_num{i}") / F.col(f"_den{i}")
+        x = x.withColumn(f"{value_col}_ewm_mean_alpha_{tag(a)}", F.round(v, digits) if digits is not None else v).drop(f"_num{i}", f"_den{i}")
     return _finish(x, added)
 
 
 def smoothed_level(df: DataFrame, value_col: str, alpha: float, out: str,
                    id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Exponential smoothing level with the first value as the initial level:
-    ``l_0 = y_0``, ``l_t = a*y_t + (1-a)*l_(t-1)`` (pandas ``adjust=False``); needs ``_pos``."""
-    v = F.when(F.col(POS) == 0, F.col(value_col)).otherwise(F.lit(alpha) * F.col(value_col))
-    return decay_scan(df, v, 1.0 - alpha, out, id_cols, block_rows=block_rows)
+    ``l_0 = y_0``, ``l_t = a*y_t + (1-a)*l_(t-1)`` (pandas ``adjust=False``); needs ``_pos``.
+    The first row is found from the per-series minimum position (a small aggregate)."""
+    keys = _keys(id_cols)
+    first = df.groupBy(*keys).agg(F.min(POS).alias("_p0"))
+    x = df.join(first, keys)
+    v = F.when(F.col(POS) == F.col("_p0"), F.col(value_col)).otherwise(F.lit(alpha) * F.col(value_col))
+    return decay_scan(x, v, 1.0 - alpha, out, id_cols, block_rows=block_rows).drop("_p0")
 
 
 def lag_transforms(df: DataFrame, value_col: str = Y, lag: int = 1, rolling: Sequence[int] = (),
                    expanding: bool = False, ewm_alphas: Sequence[float] = (),
-                   id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS,
+                   freq: str | None = None, id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS,
                    digits: int | None = None) -> DataFrame:
     """transforms of ``lag_k(y)``: ``rolling_mean_lag<k>_window_size<w>`` (full windows
     only), ``expanding_mean_lag<k>``, ``exponentially_weighted_mean_lag<k>_alpha<a>``
     (``adjust=False`` recursion started at the first value)."""
     keys = _keys(id_cols)
-    x, added = _positioned(df, keys)
+    x, added = _positioned(df, keys, freq)
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     if rolling:
         for w in rolling:
-            x = augment_rolling(x, value_col, w, "mean", shift=lag, id_cols=keys, block_rows=block_rows)
+            x = augment_rolling(x, value_col, w, "mean", shift=lag, freq=freq, id_cols=keys, block_rows=block_rows)
             x = x.withColumnRenamed(f"{value_col}_rolling_mean_win_{w}_shift_{lag}", f"rolling_mean_lag{lag}_window_size{w}")
             x = x.withColumn(f"rolling_mean_lag{lag}_window_size{w}", rnd(F.col(f"rolling_mean_lag{lag}_window_size{w}")))
     if expanding:
@@ -213,7 +215,12 @@ def top_n(df: DataFrame, by: Sequence[str], order: Column, n: int = 1, keep_ties
     return df.withColumn("_r", r).where(F.col("_r") <= n).drop("_r")
 
 
-def row_index(df: DataFrame, id_cols: str | Sequence[str] = ID, out: str = "row_index") -> DataFrame:
-    """1-based ordinal position inside each series."""
+def row_index(df: DataFrame, id_cols: str | Sequence[str] = ID, out: str = "row_index", freq: str | None = None) -> DataFrame:
+    """1-based ordinal position inside each series (regular grids: steps since the
+    series start, from one small aggregate)."""
     keys = _keys(id_cols)
+    if freq:
+        from chronoweave.functions.timekeys import steps_between
+        first = df.groupBy(*keys).agg(F.min(DS).alias("_t0"))
+        return df.join(first, keys).withColumn(out, steps_between(F.col("_t0"), F.col(DS), freq) + 1).drop("_t0")
     return with_positions(df, keys).withColumn(out, F.col(POS) + 1).drop(POS)

@@ -50,12 +50,12 @@ select unique_id, 0 as lag, 1.0 as acf, round(1.96 / sqrt(n), 6) as bound from s
 
 @register("I01_acf", _acf_sql(28), ids=("I01",))
 def i01(spark, sf):
-    return dg.acf(padded_daily(spark, sf), Y, 28)
+    return dg.acf(padded_daily(spark, sf), Y, 28, freq="D")
 
 
 @register("I02_pacf", None, ids=("I02",))
 def i02(spark, sf):
-    return dg.pacf(dg.acf(padded_daily(spark, sf), Y, 28))
+    return dg.pacf(dg.acf(padded_daily(spark, sf), Y, 28, freq="D"))
 
 
 def _ccf_sql(L: int) -> str:
@@ -74,7 +74,7 @@ select unique_id, 'rev' as regressor, 0 as lag, round(s0 / sqrt(syy * sxx), 6) a
 
 @register("I03_ccf", _ccf_sql(14), ids=("I03",))
 def i03(spark, sf):
-    return dg.ccf(padded_daily(spark, sf, (Y, "rev")), Y, ["rev"], 14)
+    return dg.ccf(padded_daily(spark, sf, (Y, "rev")), Y, ["rev"], 14, freq="D")
 
 
 @register("I05_classical_decomposition", P + f""",
@@ -86,7 +86,7 @@ s2 as (select unique_id, ph, s - avg(s) over (partition by unique_id) as season
 select t.unique_id, t.ds, t.y, round(trend, 6) as trend, round(season, 6) as season, round(y - trend - season, 6) as remainder
 from t join s2 on t.unique_id = s2.unique_id and t.pos % 7 = s2.ph""", ids=("I05",))
 def i05(spark, sf):
-    return dg.classical_decomposition(padded_daily(spark, sf), Y, 7)
+    return dg.classical_decomposition(padded_daily(spark, sf), Y, 7, freq="D")
 
 
 @register("I06_trend_regression", P + """,
@@ -127,5 +127,5 @@ select unique_id, count(*) as n, round(avg(y), 4) as mean, round(stddev_samp(y),
 def i08(spark, sf):
     d = panels.nation_monthly(spark, sf)
     feats = d.groupBy(ID).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(Y), 4).alias("mean"), F.round(F.stddev_samp(Y), 4).alias("sd"))
-    a = dg.acf(d, Y, 1).where(F.col("lag") == 1).select(ID, F.col("acf").alias("acf1"))
+    a = dg.acf(d, Y, 1, freq="M").where(F.col("lag") == 1).select(ID, F.col("acf").alias("acf1"))
     return feats.join(a, ID)

@@ -93,14 +93,14 @@ def g06(spark, sf):
 select unique_id, ds, last_value(y ignore nulls) over (partition by unique_id order by ds
        rows between unbounded preceding and current row) as y from h""", ids=("B13",))
 def b13f(spark, sf):
-    return fill.fill_direction(hourly_gaps(spark, sf), Y, "forward")
+    return fill.fill_direction(hourly_gaps(spark, sf), Y, "forward", freq="H")
 
 
 @register("B13_backward_fill", cte(h=HOURLY_GAPS) + """
 select unique_id, ds, first_value(y ignore nulls) over (partition by unique_id order by ds
        rows between current row and unbounded following) as y from h""", ids=("B13",))
 def b13b(spark, sf):
-    return fill.fill_direction(hourly_gaps(spark, sf), Y, "backward")
+    return fill.fill_direction(hourly_gaps(spark, sf), Y, "backward", freq="H")
 
 
 _INTERP = """
@@ -118,7 +118,7 @@ n as (select *,
 select unique_id, ds, round(case when y is not null then y when ni is null then pv
                                  else pv + (nv - pv) * (idx - pi) / (ni - pi) end, 6) as y from n""", ids=("B14",))
 def b14(spark, sf):
-    return fill.interpolate_linear(hourly_gaps(spark, sf), Y).withColumn(Y, F.round(Y, 6))
+    return fill.interpolate_linear(hourly_gaps(spark, sf), Y, freq="H").withColumn(Y, F.round(Y, 6))
 
 
 @register("B15_impute_seasonal", cte(h=HOURLY_GAPS) + """,
@@ -129,4 +129,4 @@ a as (select p.unique_id, p.ds, p.y - m.pm as ya, m.pm from p join m using (uniq
 select unique_id, ds, round(case when ya is not null then ya when ni is null then pv
                                  else pv + (nv - pv) * (idx - pi) / (ni - pi) end + pm, 6) as y from n""", ids=("B15",))
 def b15(spark, sf):
-    return fill.impute_seasonal(hourly_gaps(spark, sf), Y, 24).withColumn(Y, F.round(Y, 6))
+    return fill.impute_seasonal(hourly_gaps(spark, sf), Y, 24, freq="H").withColumn(Y, F.round(Y, 6))

@@ -154,20 +154,24 @@ def m11(spark, sf):
     return r6(smoothing.seasonal_es(tr, H, 7, 0.7))
 
 
-@register("M15_theta", cte(d=NATION_MONTHLY,
+def nation_padded(spark, sf):
+    return timegrid.pad_by_time(panels.nation_monthly(spark, sf).select(ID, DS, Y), "M", fill={Y: 0.0})
+
+
+@register("M15_theta", cte(d=padded(NATION_MONTHLY, step="1 month"),
                            q="select unique_id, ds, y, row_number() over (partition by unique_id order by ds) - 1 as pos from d",
                            l=f"""select unique_id, max(ds) as T, count(*) as n, regr_slope(y, pos) as b0,
                                  {ses_fold(0.5, 'list(y order by ds)')} as lvl from q group by 1""",
                            hz="select unique_id, T, n, b0, lvl, s, T + to_months(s::int) as ds from l cross join range(1, 7) r(s)") +
           fc_sql("Theta", "lvl + coalesce(b0, 0) / 2 * (s - 1 + 1 / 0.5 - pow(0.5, n) / 0.5)"), ids=("M15",))
 def m15(spark, sf):
-    d = panels.nation_monthly(spark, sf).select(ID, DS, Y)
+    d = nation_padded(spark, sf)
     return r6(smoothing.theta(d, 6, 0.5, "M"))
 
 
 @register("M15_optimized_theta", None, ids=("M15",))
 def m15o(spark, sf):
-    d = panels.nation_monthly(spark, sf).select(ID, DS, Y)
+    d = nation_padded(spark, sf)
     return r6(smoothing.theta(d, 6, None, "M"))
 
 

@@ -43,6 +43,30 @@ def time_bucket(ds: Column, bucket_days: int = DEFAULT_BUCKET_DAYS) -> Column:
     return F.floor(F.datediff(F.to_date(ds), F.lit("1970-01-01").cast("date")) / F.lit(bucket_days))
 
 
+EPOCH = "1970-01-05 00:00:00"  # a Monday, so weekly steps align with Monday weeks
+
+
+def regular_positions(df: DataFrame, freq: str = "D", time_col: str = DS, pos_col: str = POS) -> DataFrame:
+    """Positions for a *regular* grid: whole ``freq`` steps since a fixed epoch.
+
+    A pure column expression (no shuffle).  On a gap-free series consecutive rows differ
+    by exactly one, which is all the block plans need (ordering, offsets inside blocks,
+    dense block numbers); absolute values are never used as a row count."""
+    from chronoweave.functions.timekeys import steps_between
+    return df.withColumn(pos_col, steps_between(F.lit(EPOCH).cast("timestamp_ntz"), F.col(time_col), freq))
+
+
+def positioned(df: DataFrame, id_cols: str | Sequence[str] = ID, freq: str | None = None,
+               pos_col: str = POS) -> tuple[DataFrame, bool]:
+    """Add positions unless present: epoch steps when ``freq`` says the grid is regular,
+    else ranks from :func:`with_positions`.  Returns ``(df, added)``."""
+    if pos_col in df.columns:
+        return df, False
+    if freq:
+        return regular_positions(df, freq, pos_col=pos_col), True
+    return with_positions(df, id_cols, pos_col=pos_col), True
+
+
 def with_positions(df: DataFrame, id_cols: str | Sequence[str] = ID, time_col: str = DS,
                    bucket_days: int = DEFAULT_BUCKET_DAYS, pos_col: str = POS) -> DataFrame:
     """Add ``pos_col`` = 0-based rank of each row inside its series, ordered by ``time_col``."""
@@ -132,19 +156,20 @@ def decay_scan(df: DataFrame, value: Column | dict[str, tuple[Column, float]], b
 
 def carry_last(df: DataFrame, value_col: str, out: str, forward: bool = True,
                id_cols: str | Sequence[str] = ID, pos_col: str = POS,
-               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Last non-null ``value_col`` at or before (``forward``) / at or after each row."""
+               block_rows: int = DEFAULT_BLOCK_ROWS, inclusive: bool = True) -> DataFrame:
+    """Last non-null ``value_col`` at or before (``forward``) / at or after each row
+    (strictly before / after when not ``inclusive``)."""
     keys = _keys(id_cols)
     L = int(block_rows)
     x = df.withColumn("_cb", F.floor(F.col(pos_col) / L))
     if forward:
-        inner = Window.partitionBy(*keys, "_cb").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, 0)
+        inner = Window.partitionBy(*keys, "_cb").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         within = F.last(value_col, ignorenulls=True).over(inner)
         edge = F.max_by(value_col, F.when(F.col(value_col).isNotNull(), F.col(pos_col)))
         prior = Window.partitionBy(*keys).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
         carried = F.last("_ce", ignorenulls=True).over(prior)
     else:
-        inner = Window.partitionBy(*keys, "_cb").orderBy(pos_col).rowsBetween(0, Window.unboundedFollowing)
+        inner = Window.partitionBy(*keys, "_cb").orderBy(pos_col).rowsBetween(0 if inclusive else 1, Window.unboundedFollowing)
         within = F.first(value_col, ignorenulls=True).over(inner)
         edge = F.min_by(value_col, F.when(F.col(value_col).isNotNull(), F.col(pos_col)))
         after = Window.partitionBy(*keys).orderBy("_cb").rowsBetween(1, Window.unboundedFollowing)

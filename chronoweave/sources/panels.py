@@ -69,9 +69,9 @@ def event_calendar(spark: SparkSession, sf_dir: str, q: float = 0.99) -> DataFra
 
     The threshold is a mergeable quantile sketch (``percentile_approx``), so the global
     aggregate is partial in every task; it returns the exact discrete quantile while
-    the number of signup rows stays under the sketch accuracy (10^6).
+    the number of signup rows stays under the sketch accuracy (10^4).
     """
     e = read_table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    thr = e.agg(F.percentile_approx("value", q, 1000000)).scalar()
+    thr = e.agg(F.percentile_approx("value", q, 10000)).scalar()
     return (e.where(F.col("value") > thr)
              .select(day(F.col("ts")).alias(DS)).distinct().withColumn("event", F.lit(1)))
