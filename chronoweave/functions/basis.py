@@ -85,9 +85,12 @@ def bspline_knots(df: DataFrame, col: str, df_: int = 5, degree: int = 3) -> tup
 
 
 def augment_bsplines(df: DataFrame, column_name: str = "ds_index_num", df_: int = 5, degree: int = 3,
-                     digits: int | None = None) -> DataFrame:
-    """``bspline_<i>_degree_<d>`` for i = 1..df (basis without the intercept column)."""
-    knots, n = bspline_knots(df, column_name, df_, degree)
+                     digits: int | None = None, knots_from: DataFrame | None = None) -> DataFrame:
+    """``bspline_<i>_degree_<d>`` for i = 1..df (basis without the intercept column).
+
+    Knots come from ``knots_from`` (same column) when given -- e.g. the base panel, so
+    a long feature plan is not re-evaluated just to place knots."""
+    knots, n = bspline_knots(knots_from if knots_from is not None else df, column_name, df_, degree)
     x, names = _bspline_levels(df, F.col(column_name).cast("double"), knots, n, degree)
     out = {}
     for i, c in enumerate(names[1:], start=1):

@@ -41,40 +41,44 @@ def _nth_weekday(year: Column, month: int, wd: int, nth: int) -> Column:
 
 
 def holiday_table(years: DataFrame) -> DataFrame:
-    """``(holiday_date date, holiday_name string)`` for every year in ``years(year int)``."""
-    parts = []
+    """``(holiday_date date, holiday_name string)`` for every year in ``years(year int)``:
+    one projection of all rules per year, exploded (a single narrow stage)."""
+    yr = F.col("year")
+    items = []
     for name, m, d, since in FIXED_DATE_HOLIDAYS:
-        y = years.where(F.col("year") >= since)
-        day = F.make_date(F.col("year"), F.lit(m), F.lit(d))
-        parts.append(y.select(day.alias("holiday_date"), F.lit(name).alias("holiday_name")))
+        day = F.make_date(yr, F.lit(m), F.lit(d))
         obs = F.when(_dow(day) == 6, F.date_sub(day, 1)).when(_dow(day) == 7, F.date_add(day, 1))
-        parts.append(y.select(obs.alias("holiday_date"), F.lit(name + " (observed)").alias("holiday_name"))
-                      .where(F.col("holiday_date").isNotNull()))
+        items.append(F.struct(F.when(yr >= since, day).alias("holiday_date"), F.lit(name).alias("holiday_name")))
+        items.append(F.struct(F.when(yr >= since, obs).alias("holiday_date"), F.lit(name + " (observed)").alias("holiday_name")))
     for name, m, wd, nth, since in WEEKDAY_HOLIDAYS:
-        y = years.where(F.col("year") >= since)
-        parts.append(y.select(_nth_weekday(F.col("year"), m, wd, nth).alias("holiday_date"),
+        items.append(F.struct(F.when(yr >= since, _nth_weekday(yr, m, wd, nth)).alias("holiday_date"),
                               F.lit(name).alias("holiday_name")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return years.select(F.inline(F.array(*items))).where(F.col("holiday_date").isNotNull())
 
 
-def augment_holiday_signature(df: DataFrame, time_col: str = "ds") -> DataFrame:
+YEARS = (1900, 2100)
+
+
+def augment_holiday_signature(df: DataFrame, time_col: str = "ds", years: tuple[int, int] = YEARS) -> DataFrame:
     """``is_holiday``, ``before_holiday``, ``after_holiday``, ``holiday_name``.
 
-    The years come from the data (one global min/max aggregate, padded by one year so
-    the day before/after a year boundary is covered)."""
+    The calendar covers the fixed year range ``years`` (a few thousand rows whatever the
+    data size), so it is broadcast and does not re-read the input to find its span."""
     d = F.to_date(F.col(time_col))
-    span = df.agg(F.min(F.year(d)).alias("lo"), F.max(F.year(d)).alias("hi"))
-    years = span.select(F.explode(F.sequence(F.col("lo") - 1, F.col("hi") + 1)).alias("year"))
-    hol = holiday_table(years).groupBy("holiday_date").agg(
-        F.array_join(F.array_sort(F.collect_set("holiday_name")), ", ").alias("holiday_name"))
-    hb = F.broadcast(hol)
-    x = df.withColumn("_d", d)
-    x = x.join(hb.select(F.col("holiday_date").alias("_d"), "holiday_name"), "_d", "left")
-    x = x.join(hb.select(F.date_sub("holiday_date", 1).alias("_d"), F.lit(1).alias("before_holiday")), "_d", "left")
-    x = x.join(hb.select(F.date_add("holiday_date", 1).alias("_d"), F.lit(1).alias("after_holiday")), "_d", "left")
+    spark = df.sparkSession
+    yrs = spark.range(years[0], years[1] + 1, 1, 1).select(F.col("id").cast("int").alias("year"))
+    hol = holiday_table(yrs)
+    # one small table: each holiday marks its own day, the day before and the day after
+    marks = hol.select(F.explode(F.array(
+        F.struct(F.col("holiday_date").alias("_d"), F.col("holiday_name").alias("n"), F.lit(0).alias("b"), F.lit(0).alias("a")),
+        F.struct(F.date_sub("holiday_date", 1).alias("_d"), F.lit(None).cast("string").alias("n"), F.lit(1).alias("b"), F.lit(0).alias("a")),
+        F.struct(F.date_add("holiday_date", 1).alias("_d"), F.lit(None).cast("string").alias("n"), F.lit(0).alias("b"), F.lit(1).alias("a")),
+    )).alias("m")).select("m.*")
+    flags = marks.groupBy("_d").agg(
+        F.array_join(F.array_sort(F.collect_set("n")), ", ").alias("holiday_name"),
+        F.max("b").alias("before_holiday"), F.max("a").alias("after_holiday"))
+    flags = flags.withColumn("holiday_name", F.when(F.col("holiday_name") != "", F.col("holiday_name")))
+    x = df.withColumn("_d", d).join(F.broadcast(flags), "_d", "left")
     return (x.withColumn("is_holiday", F.col("holiday_name").isNotNull().cast("int"))
              .withColumn("before_holiday", F.coalesce("before_holiday", F.lit(0)))
              .withColumn("after_holiday", F.coalesce("after_holiday", F.lit(0)))

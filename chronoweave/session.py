@@ -46,3 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and continue from it.
+
+    Used between the heavy stages of long feature plans so later steps (and retries after
+    a lost executor) start from stored data instead of re-running the whole lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
