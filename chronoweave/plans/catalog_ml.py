@@ -10,6 +10,7 @@ from chronoweave.panel import DS, ID, Y
 from chronoweave.plans import workflow
 from chronoweave.plans.catalog_models import H, holdout, padded_daily, r6
 from chronoweave.plans.registry import register
+from chronoweave.session import cut_lineage
 
 
 def features(spark, sf):
@@ -17,8 +18,11 @@ def features(spark, sf):
 
 
 def ml_split(spark, sf):
-    """Feature panel; the last 56 observed days of every series are the test rows."""
-    f = features(spark, sf)
+    """Feature panel; the last 56 observed days of every series are the test rows.
+
+    The feature panel is stored in the checkpoint folder first: iterative estimators
+    pass over their input many times and must not re-run the feature plan each time."""
+    f = cut_lineage(features(spark, sf))
     obs = f.where(F.col(Y).isNotNull())
     s = splits.time_series_split(obs, workflow.H, "D")
     feats = [c for c in workflow.feature_sets(f)["lag"] if c not in ("cutoff", "set")]
@@ -96,7 +100,7 @@ def m25(spark, sf):
     coefs, design = ols.fit_ols(x, [ID], feats, Y)
     fitted = ols.predict(x, coefs, [ID], design, "_fit").withColumn("resid", F.col(Y) - F.col("_fit"))
     cal = ("month", "mday", "yday", "quarter", "mweek")
-    fitted = calendar.augment_timeseries_signature(fitted, DS, cal)
+    fitted = cut_lineage(calendar.augment_timeseries_signature(fitted, DS, cal))  # boosting passes many times
     cal_cols = [f"ds_{c}" for c in cal]
     base = regression.trend_weekday(tr, H)
     fut = calendar.augment_timeseries_signature(base, DS, cal)
