@@ -16,7 +16,9 @@ from chronoweave.operators.baselines import MODEL, YHAT
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans.series import _keys
 
-ERR = F.col(YHAT) - F.col(Y)
+
+def _err() -> Column:
+    return F.col(YHAT) - F.col(Y)
 
 
 def score_frame(forecasts: DataFrame, actuals: DataFrame, id_cols: str | Sequence[str] = ID) -> DataFrame:
@@ -27,7 +29,7 @@ def score_frame(forecasts: DataFrame, actuals: DataFrame, id_cols: str | Sequenc
 
 def point_metrics(scored: DataFrame, by: Sequence[str] = (ID, MODEL), digits: int = 6) -> DataFrame:
     """bias = mean(y_hat - y), mae, mape = mean(|e|/|y|) (y = 0 skipped), mse, rmse."""
-    e = ERR
+    e = _err()
     aggs = {
         "bias": F.avg(e),
         "mae": F.avg(F.abs(e)),
@@ -52,7 +54,7 @@ def naive_scale(train: DataFrame, season: int = 1, id_cols: str | Sequence[str]
 def r_metrics(scored: DataFrame, scale: DataFrame, by: Sequence[str] = (ID, MODEL), digits: int = 6) -> DataFrame:
     """Mae, mape (%), mase, smape (%), rmse, rsq = squared Pearson correlation."""
     keys = [k for k in by if k != MODEL]
-    e = ERR
+    e = _err()
     g = scored.join(scale, keys, "left").groupBy(*by)
     return g.agg(
         F.round(F.avg(F.abs(e)), digits).alias("mae"),
@@ -68,7 +70,7 @@ def r_metrics(scored: DataFrame, scale: DataFrame, by: Sequence[str] = (ID, MODE
 def scaled_metrics(scored: DataFrame, scale: DataFrame, by: Sequence[str] = (ID, MODEL), digits: int = 6) -> DataFrame:
     """RMSSE, MASE and sMAPE per series and method (seasonal-naive scale)."""
     keys = [k for k in by if k != MODEL]
-    e = ERR
+    e = _err()
     return (scored.join(scale, keys, "left").groupBy(*by).agg(
         F.round(F.sqrt(F.try_divide(F.avg(e * e), F.first("scale_mse"))), digits).alias("rmsse"),
         F.round(F.try_divide(F.avg(F.abs(e)), F.first("scale_mae")), digits).alias("mase"),
