@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 QUANTILE_ACCURACY = 10_000
 
 
-def quantile(c: str | Column, q: float | list[float]) -> Column:
+# Global (single-group) quantiles such as spline knots can afford a finer sketch.
+GLOBAL_QUANTILE_ACCURACY = 1_000_000
+
+
+def quantile(c: str | Column, q: float | list[float], accuracy: int = QUANTILE_ACCURACY) -> Column:
     """Discrete quantile (an observed value; rank ``ceil(q*n)``)."""
     qq = F.array(*[F.lit(float(x)) for x in q]) if isinstance(q, (list, tuple)) else F.lit(float(q))
-    return F.percentile_approx(c, qq, QUANTILE_ACCURACY)
+    return F.percentile_approx(c, qq, accuracy)
 
 
 AGGS: dict[str, Callable[[str], Column]] = {

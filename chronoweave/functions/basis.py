@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.functions.aggs import quantile
+from chronoweave.functions.aggs import GLOBAL_QUANTILE_ACCURACY, quantile
 
 
 def epoch_steps(ds: Column, freq: str = "D") -> Column:
@@ -78,7 +78,7 @@ def bspline_knots(df: DataFrame, col: str, df_: int = 5, degree: int = 3) -> tup
     probs = [(i + 1) / (n_inner + 1) for i in range(n_inner)]
     parts = [F.array_repeat(F.min(col).cast("double"), degree + 1)]
     if probs:
-        parts.append(F.transform(quantile(col, probs), lambda v: v.cast("double")))
+        parts.append(F.transform(quantile(col, probs, GLOBAL_QUANTILE_ACCURACY), lambda v: v.cast("double")))
     parts.append(F.array_repeat(F.max(col).cast("double"), degree + 1))
     knots = df.agg(F.concat(*parts)).scalar()
     return knots, 2 * (degree + 1) + n_inner
@@ -110,7 +110,7 @@ def augment_natural_spline(df: DataFrame, column_name: str = "ds_index_num", deg
     probs = [(i + 1) / (n_inner + 1) for i in range(n_inner)]
     parts = [F.array(F.min(column_name).cast("double"))]
     if probs:
-        parts.append(F.transform(quantile(column_name, probs), lambda v: v.cast("double")))
+        parts.append(F.transform(quantile(column_name, probs, GLOBAL_QUANTILE_ACCURACY), lambda v: v.cast("double")))
     parts.append(F.array(F.max(column_name).cast("double")))
     knots = df.agg(F.concat(*parts)).scalar()
     K = n_inner + 2
