@@ -227,3 +227,83 @@ def imapa(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str
     fc = adida(train.join(lv.select(*keys, "_lvl"), keys), h, freq, [*keys, "_lvl"], grid,
                levels=lv, name="IMAPA")
     return fc.groupBy(*keys, DS, MODEL).agg(F.avg(YHAT).alias(YHAT))
+
+
+# ---- Holt's linear trend ------------------------------------------------------------
+
+def _power_coeffs(alpha: float, beta: float):
+    """For Holt's transition matrix A (state = level, trend) return a function mapping a
+    column ``r`` to ``(a_r, b_r)`` with ``A^r = a_r A + b_r I`` (Cayley-Hamilton), using
+    the eigenvalues of A: real distinct, repeated or complex."""
+    tr = 2.0 - alpha - alpha * beta
+    det = 1.0 - alpha
+    disc = tr * tr - 4.0 * det
+
+    def a_of(r: Column) -> Column:
+        if disc > 1e-14:
+            l1, l2 = (tr + math.sqrt(disc)) / 2, (tr - math.sqrt(disc)) / 2
+            return (F.pow(F.lit(l1), r) - F.pow(F.lit(l2), r)) / F.lit(l1 - l2)
+        if disc < -1e-14:
+            rho, theta = math.sqrt(det), math.acos(tr / (2 * math.sqrt(det)))
+            return F.pow(F.lit(rho), r - 1) * F.sin(r * F.lit(theta)) / F.lit(math.sin(theta))
+        lam = tr / 2
+        return r * F.pow(F.lit(lam), r - 1)
+
+    def coeffs(r: Column) -> tuple[Column, Column]:
+        a_r = F.when(r == 0, F.lit(0.0)).otherwise(a_of(r))
+        a_rm1 = F.when(r <= 1, F.lit(0.0)).otherwise(a_of(r - 1))
+        b_r = F.when(r == 0, F.lit(1.0)).otherwise(-det * a_rm1)
+        return a_r, b_r
+
+    A = ((1 - alpha, 1 - alpha), (-alpha * beta, 1 - alpha * beta))
+    c = (alpha, alpha * beta)
+    return coeffs, A, c
+
+
+def holt(train: DataFrame, h: int, alpha: float = 0.3, beta: float = 0.1, freq: str = "D",
+         id_cols: str | Sequence[str] = ID, name: str = "Holt") -> DataFrame:
+    """M12 Holt's linear method, ``l_0 = y_0``, ``b_0 = y_1 - y_0``; forecast ``l + s*b``.
+
+    The final state ``A^(n-1) s_0 + sum_(j>=1) A^(n-1-j) c y_j`` is one weighted aggregate
+    per series: the weights ``A^r c`` have a closed form in ``r`` (Cayley-Hamilton)."""
+    keys = _keys(id_cols)
+    coeffs, A, c = _power_coeffs(alpha, beta)
+    Ac = (A[0][0] * c[0] + A[0][1] * c[1], A[1][0] * c[0] + A[1][1] * c[1])
+    x = _positions(train, keys, freq)
+    a_r, b_r = coeffs(F.col("_r"))
+    wl = a_r * Ac[0] + b_r * c[0]
+    wb = a_r * Ac[1] + b_r * c[1]
+    first = F.col("_r") == F.col("_n") - 1
+    second = F.col("_r") == F.col("_n") - 2
+    agg = x.groupBy(*keys).agg(
+        F.max("_T").alias("_T"), F.max("_n").alias("_n"),
+        F.sum(F.when(~first, wl * F.col(Y))).alias("_sl"), F.sum(F.when(~first, wb * F.col(Y))).alias("_sb"),
+        F.max(F.when(first, F.col(Y))).alias("_y0"), F.max(F.when(second, F.col(Y))).alias("_y1"))
+    # A^(n-1) s_0 with s_0 = (y0, y1 - y0)
+    an, bn = coeffs(F.col("_n") - 1)
+    l0, b0 = F.col("_y0"), F.coalesce(F.col("_y1") - F.col("_y0"), F.lit(0.0))
+    init_l = an * (A[0][0] * l0 + A[0][1] * b0) + bn * l0
+    init_b = an * (A[1][0] * l0 + A[1][1] * b0) + bn * b0
+    base = agg.withColumn("_l", init_l + F.coalesce(F.col("_sl"), F.lit(0.0))).withColumn("_b", init_b + F.coalesce(F.col("_sb"), F.lit(0.0)))
+    return _emit(base, keys, h, freq, name, F.col("_l") + F.col(STEP) * F.col("_b"))
+
+
+# ---- temporal hierarchy -------------------------------------------------------------
+
+def thief(train: DataFrame, h: int, season: int = 7, alpha: float = 0.3, freq: str = "D",
+          id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """M24 temporal-hierarchy forecast (two levels: the base frequency and its seasonal
+    aggregate).  SES forecasts at both levels are reconciled by weighted least squares
+    with structural weights (variance proportional to the periods aggregated): for each
+    future season block, ``b_i = d_i + (w - sum d) / (2m)``."""
+    keys = _keys(id_cols)
+    x = _positions(train, keys, freq)
+    daily = ses_levels(x, keys, [alpha]).select(*keys, "_T", F.col("level_0").alias("_ld"))
+    # seasonal blocks counted back from the last time; the incomplete oldest block is dropped
+    blk = x.withColumn("_bk", F.floor(F.col("_r") / season)).where(F.col("_bk") < F.floor(F.col("_n") / season))
+    wk = blk.groupBy(*keys, "_bk").agg(F.sum(Y).alias(Y), F.max(F.floor(F.col("_n") / season)).alias("_n"))
+    wk = wk.withColumn("_r", F.col("_bk")).withColumn(POS, F.col("_n") - 1 - F.col("_r")).withColumn("_T", F.lit(None))
+    weekly = ses_levels(wk, keys, [alpha]).select(*keys, F.col("level_0").alias("_lw"))
+    base = daily.join(weekly, keys, "left")
+    rec = F.col("_ld") + F.coalesce((F.col("_lw") - season * F.col("_ld")) / (2.0 * season), F.lit(0.0))
+    return _emit(base, keys, h, freq, "THIEF", rec)

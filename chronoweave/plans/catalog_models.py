@@ -355,3 +355,24 @@ select model, round(rmse, 6) as rmse, rank() over (order by round(rmse, 9)) as r
 def k15(spark, sf):
     g = _pm(spark, sf).groupBy(MODEL).agg(F.round(F.avg("rmse"), 9).alias("rmse"))
     return metrics.leaderboard(g, "rmse").withColumn("rmse", F.round("rmse", 6))
+
+
+@register("M12_holt", split_sql(l="""select unique_id, list_reduce(list(y order by ds)[2:],
+        lambda acc, x: {'l': 0.3 * x + 0.7 * (acc.l + acc.b), 'b': 0.1 * (0.3 * x + 0.7 * (acc.l + acc.b) - acc.l) + 0.9 * acc.b},
+        {'l': list(y order by ds)[1], 'b': list(y order by ds)[2] - list(y order by ds)[1]}) as st from tr group by 1""") +
+          fc_sql("Holt", "st.l + hz.s * st.b", join="join l using (unique_id)"), ids=("M12",))
+def m12(spark, sf):
+    tr, _ = holdout(spark, sf)
+    return r6(smoothing.holt(tr, H, 0.3, 0.1))
+
+
+@register("M24_thief_two_level", split_sql(
+    ld=f"select unique_id, {ses_fold(0.3, 'list(y order by ds)')} as ld from tr group by 1",
+    wk="""select unique_id, r // 7 as bk, sum(y) as y, min(ds) as ds from rr join tt using (unique_id)
+          where r // 7 < tt.n // 7 group by 1, 2""",
+    lw=f"select unique_id, {ses_fold(0.3, 'list(y order by ds)')} as lw from wk group by 1") +
+          fc_sql("THIEF", "ld + coalesce((lw - 7 * ld) / 14.0, 0)", join="join ld using (unique_id) left join lw using (unique_id)"),
+          ids=("M24", "D13"))
+def m24(spark, sf):
+    tr, _ = holdout(spark, sf)
+    return r6(smoothing.thief(tr, H, 7, 0.3))
