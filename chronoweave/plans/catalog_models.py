@@ -376,3 +376,17 @@ def m12(spark, sf):
 def m24(spark, sf):
     tr, _ = holdout(spark, sf)
     return r6(smoothing.thief(tr, H, 7, 0.3))
+
+
+@register("M13_holt_winters_additive", None, ids=("M13",))
+def m13(spark, sf):
+    from chronoweave.operators import statespace
+    tr, _ = holdout(spark, sf)
+    return r6(statespace.ets_additive(tr, H, 0.3, 0.1, 0.1, 7))
+
+
+@register("M14_auto_ets", None, ids=("M14",))
+def m14(spark, sf):
+    from chronoweave.operators import statespace
+    tr, _ = holdout(spark, sf)
+    return r6(statespace.auto_ets(tr, H, 7))
