@@ -4,8 +4,9 @@ re-aimed) as aggregates.
 With fixed parameters the state recursion is linear, ``x_t = F x_(t-1) + g y_t``, so the
 final state is ``F^(n-1-t0) x_t0 + sum_j F^(n-1-j) g y_j``.  The weights ``F^r g`` and
 the powers ``F^r`` depend only on the parameters: they are computed once on the driver
-for ``r < K``, where ``K`` is the first power whose norm is below 1e-17 (older
-observations cannot change a double), and joined as a small broadcast table.  Every
+until ``F^r`` converges (to 0, or to the projection of the seasonal unit root) at ``K``;
+observations older than ``K`` share the converged weight and enter as one conditional
+sum.  The weight table is a small broadcast keyed by (candidate, r).  Every
 series is then one weighted aggregate; no series is gathered.
 """
 
@@ -27,13 +28,13 @@ MAX_POWERS = 50_000
 
 def hw_matrices(alpha: float, beta: float, gamma: float, m: int, phi: float = 1.0, trend: bool = True,
                 seasonal: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Transition ``F`` and gain ``g`` of additive ETS with state
-    ``(level, trend, s_t, s_(t-1), ..., s_(t-m+1))`` (trend/season parts optional)."""
-    d = 1 + int(trend) + (m if seasonal else 0)
+    """Transition ``F`` and gain ``g`` of additive ETS on the full state
+    ``(level, trend, s_t, s_(t-1), ..., s_(t-m+1))``; an absent trend or season keeps its
+    rows at zero, so every form shares one state layout (and one weight table)."""
+    d = 2 + m
     Fm = np.zeros((d, d))
     g = np.zeros(d)
-    L, B, S = 0, 1 if trend else None, (1 + int(trend)) if seasonal else None
-    last_s = S + m - 1 if seasonal else None
+    L, B, S, last_s = 0, 1, 2, 2 + m - 1
     # level: alpha*(y - s_(t-m)) + (1-alpha)*(l + phi*b)
     Fm[L, L] = 1 - alpha
     if trend:
@@ -58,69 +59,90 @@ def hw_matrices(alpha: float, beta: float, gamma: float, m: int, phi: float = 1.
 
 
 def power_tables(Fm: np.ndarray, g: np.ndarray) -> tuple[list[list[float]], list[list[float]]]:
-    """``[F^r g]`` and flattened ``[F^r]`` for r = 0..K-1."""
+    """``[F^r g]`` and flattened ``[F^r]`` for r = 0..K, where ``F^r`` has converged at
+    ``K`` (changes below 1e-15, the rounding floor): to 0 for damped/non-seasonal forms, or to the fixed
+    projection of the seasonal unit root.  Row ``K`` therefore stands for every r >= K."""
     d = Fm.shape[0]
     P = np.eye(d)
     wg, pw = [], []
     for _ in range(MAX_POWERS):
         wg.append((P @ g).tolist())
         pw.append(P.reshape(-1).tolist())
-        if np.abs(P).max() < 1e-17:
+        nxt = Fm @ P
+        if np.abs(nxt - P).max() < 1e-15 * max(1.0, np.abs(P).max()):  # floating-point noise floor
             break
-        P = Fm @ P
+        P = nxt
     return wg, pw
 
 
-def ets_additive(train: DataFrame, h: int, alpha: float = 0.3, beta: float = 0.1, gamma: float = 0.1,
-                 season: int = 7, trend: bool = True, seasonal: bool = True, phi: float = 1.0,
-                 freq: str = "D", id_cols: str | Sequence[str] = ID, name: str = "HoltWinters") -> DataFrame:
-    """Additive Holt-Winters (``trend``/``seasonal`` select ETS(A,A,A), (A,N,A), (A,A,N),
-    (A,N,N); ``phi < 1`` damps).  Initial state from the first two seasons: level = mean of
-    season 1, trend = (mean season 2 - mean season 1)/m, seasonal = season 1 minus level.
-    The recursion starts after the first season; series shorter than 2m get no forecast."""
+def ets_grid(train: DataFrame, h: int, candidates: dict[str, dict], season: int = 7, freq: str = "D",
+             id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """Forecast every candidate ``name -> dict(alpha, beta, gamma, phi, trend, seasonal)``
+    for every series in one pass: one broadcast weight table keyed by candidate, one join,
+    one aggregate grouped by (series, candidate).  Output ``model`` = candidate name.
+
+    Initial state from the first two seasons: level = mean of season 1, trend = (mean
+    season 2 - mean season 1)/m, seasonal = season 1 minus level; the recursion starts
+    after the first season; series shorter than 2m get no forecast."""
     keys = _keys(id_cols)
     spark: SparkSession = train.sparkSession
-    m = season if seasonal else 1
-    Fm, g = hw_matrices(alpha, beta, gamma, m, phi, trend, seasonal)
-    d = Fm.shape[0]
-    wg, pw = power_tables(Fm, g)
-    K = len(wg)
-    table = spark.createDataFrame([(r, wg[r], pw[r]) for r in range(K)], "_r long, _wg array<double>, _pw array<double>")
+    m = season
+    d = 2 + m
+    rows, meta = [], []
+    for name, p in candidates.items():
+        Fm, g = hw_matrices(p.get("alpha", 0.3), p.get("beta", 0.1), p.get("gamma", 0.1), m, p.get("phi", 1.0),
+                            p.get("trend", True), p.get("seasonal", True))
+        wg, pw = power_tables(Fm, g)
+        rows += [(name, r, wg[r], pw[r]) for r in range(len(wg))]
+        meta.append((name, len(wg), bool(p.get("trend", True)), bool(p.get("seasonal", True)), float(p.get("phi", 1.0))))
+    table = spark.createDataFrame(rows, f"{MODEL} string, _r long, _wg array<double>, _pw array<double>")
+    cands = spark.createDataFrame([(n, k - 1, tr, se, ph) for n, k, tr, se, ph in meta],
+                                  f"{MODEL} string, _K long, _tr boolean, _se boolean, _phi double")
+    ks = sorted({k - 1 for _, k, _, _, _ in meta})
     x = _positions(train, keys, freq)
     x = x.withColumn("_i", F.col("_n") - 1 - F.col("_r"))  # index from the series start
-    # initial state from the first two seasons (season 1 = indices 0..m-1)
     first = x.where(F.col("_i") < 2 * m).groupBy(*keys).agg(
         F.avg(F.when(F.col("_i") < m, F.col(Y))).alias("_m1"), F.avg(F.when(F.col("_i") >= m, F.col(Y))).alias("_m2"),
         *[F.max(F.when(F.col("_i") == i, F.col(Y))).alias(f"_y{i}") for i in range(m)],
         F.max("_n").alias("_n"), F.max("_T").alias("_T"))
-    init = [F.col("_m1")]
-    if trend:
-        init.append((F.col("_m2") - F.col("_m1")) / m)
-    if seasonal:  # state order s_t, s_(t-1), ...: newest first (index m-1 down to 0)
-        init += [F.col(f"_y{i}") - F.col("_m1") for i in range(m - 1, -1, -1)]
-    first = first.withColumn("_x0", F.array(*init))
-    # contributions of observations after the first season
-    obs = x.where((F.col("_i") >= m) & (F.col("_r") < K)).join(F.broadcast(table.select("_r", "_wg")), "_r")
-    sums = obs.groupBy(*keys).agg(*[F.sum(F.element_at("_wg", k + 1) * F.col(Y)).alias(f"_s{k}") for k in range(d)])
-    st = first.join(sums, keys, "left").withColumn("_p", F.col("_n") - m)  # power applied to x0
-    st = st.join(F.broadcast(table.select(F.col("_r").alias("_p"), "_pw")), "_p", "left")
+    # contributions of observations after the first season, every candidate at once
+    after = x.where(F.col("_i") >= m)
+    obs = after.join(F.broadcast(table.select(MODEL, "_r", "_wg")), "_r")  # r <= K: exact weight rows
+    sums = obs.groupBy(*keys, MODEL).agg(*[F.sum(F.element_at("_wg", k + 1) * F.col(Y)).alias(f"_s{k}") for k in range(d)])
+    # r > K: the converged weight F^K g times the sum of those observations
+    tails = after.groupBy(*keys).agg(*[F.sum(F.when(F.col("_r") > k, F.col(Y))).alias(f"_tail{k}") for k in ks])
+    st = sums.join(first, keys).join(F.broadcast(cands), MODEL).join(tails, keys, "left")
+    tail = F.lit(0.0)
+    for k in ks:
+        tail = F.when(F.col("_K") == k, F.coalesce(F.col(f"_tail{k}"), F.lit(0.0))).otherwise(tail)
+    st = st.withColumn("_tail", tail)
+    st = st.join(F.broadcast(table.select(MODEL, F.col("_r").alias("_K"), F.col("_wg").alias("_wgK"))), [MODEL, "_K"], "left")
+    init = [F.col("_m1"), F.when(F.col("_tr"), (F.col("_m2") - F.col("_m1")) / m).otherwise(F.lit(0.0))]
+    init += [F.when(F.col("_se"), F.col(f"_y{i}") - F.col("_m1")).otherwise(F.lit(0.0)) for i in range(m - 1, -1, -1)]
+    st = st.withColumn("_x0", F.array(*init)).withColumn("_p", F.least(F.col("_n") - m, F.col("_K")))
+    st = st.join(F.broadcast(table.select(MODEL, F.col("_r").alias("_p"), "_pw")), [MODEL, "_p"], "left")
     state = []
     for k in range(d):
         init_k = sum((F.element_at("_pw", k * d + j + 1) * F.element_at("_x0", j + 1) for j in range(d)), F.lit(0.0))
-        state.append(F.coalesce(init_k, F.lit(0.0)) + F.coalesce(F.col(f"_s{k}"), F.lit(0.0)))
+        state.append(F.coalesce(init_k, F.lit(0.0)) + F.coalesce(F.col(f"_s{k}"), F.lit(0.0))
+                     + F.element_at("_wgK", k + 1) * F.col("_tail"))
     st = st.withColumn("_state", F.array(*state)).where(F.col("_n") >= 2 * m)
-    lvl = F.element_at("_state", 1)
-    fc = lvl
-    if trend:
-        damp = F.col(STEP).cast("double") if phi == 1.0 else \
-            F.lit(phi) * (1 - F.pow(F.lit(phi), F.col(STEP))) / F.lit(1 - phi)
-        fc = fc + damp * F.element_at("_state", 2)
-    if seasonal:
-        s0 = 1 + int(trend)
-        idx = F.lit(s0 + m) - F.pmod(F.col(STEP) - 1, F.lit(m))  # 1-based index into the state
-        fc = fc + F.element_at("_state", idx.cast("int"))
-    out = horizon(st.select(*keys, "_T", "_state"), keys, h, freq)
-    return out.select(*keys, DS, F.lit(name).alias(MODEL), fc.alias(YHAT))
+    phi = F.col("_phi")
+    damp = F.when(phi == 1.0, F.col(STEP).cast("double")).otherwise(phi * (1 - F.pow(phi, F.col(STEP))) / (1 - phi))
+    idx = F.lit(2 + m) - F.pmod(F.col(STEP) - 1, F.lit(m))  # 1-based seasonal index for the step
+    fc = (F.element_at("_state", 1) + F.when(F.col("_tr"), damp * F.element_at("_state", 2)).otherwise(F.lit(0.0))
+          + F.when(F.col("_se"), F.element_at("_state", idx.cast("int"))).otherwise(F.lit(0.0)))
+    out = horizon(st.select(*keys, MODEL, "_T", "_state", "_tr", "_se", "_phi"), [*keys, MODEL], h, freq)
+    return out.select(*keys, DS, MODEL, fc.alias(YHAT))
+
+
+def ets_additive(train: DataFrame, h: int, alpha: float = 0.3, beta: float = 0.1, gamma: float = 0.1,
+                 season: int = 7, trend: bool = True, seasonal: bool = True, phi: float = 1.0,
+                 freq: str = "D", id_cols: str | Sequence[str] = ID, name: str = "HoltWinters") -> DataFrame:
+    """Additive Holt-Winters (``trend``/``seasonal`` select ETS(A,A,A), (A,N,A), (A,A,N),
+    (A,N,N); ``phi < 1`` damps)."""
+    return ets_grid(train, h, {name: dict(alpha=alpha, beta=beta, gamma=gamma, phi=phi, trend=trend, seasonal=seasonal)},
+                    season, freq, id_cols)
 
 
 ETS_FORMS = {
@@ -143,18 +165,9 @@ def auto_ets(train: DataFrame, h: int, season: int = 7, freq: str = "D", id_cols
     sp = splits.time_series_split(train, v, freq, keys)
     fit_part = sp.where(F.col("set") == "train").select(*keys, DS, Y)
     val_part = sp.where(F.col("set") == "test").select(*keys, DS, Y)
-    cands = {}
-    for form, kw in ETS_FORMS.items():
-        for a in alphas:
-            cands[f"{form}_a{int(a * 10)}"] = (kw, a)
-    fc = None
-    for nm, (kw, a) in cands.items():
-        part = ets_additive(fit_part, v, alpha=a, season=season, freq=freq, id_cols=keys, name=nm, **kw)
-        fc = part if fc is None else fc.unionByName(part)
+    cands = {f"{form}_a{int(a * 10)}": dict(kw, alpha=a) for form, kw in ETS_FORMS.items() for a in alphas}
+    fc = ets_grid(fit_part, v, cands, season, freq, keys)
     score = metrics.point_metrics(metrics.score_frame(fc, val_part, keys), by=[*keys, MODEL], digits=12)
     best = metrics.best_model(score, "rmse", by=keys).groupBy(*keys).agg(F.min(MODEL).alias(MODEL))
-    full = None
-    for nm, (kw, a) in cands.items():
-        part = ets_additive(train, h, alpha=a, season=season, freq=freq, id_cols=keys, name=nm, **kw)
-        full = part if full is None else full.unionByName(part)
+    full = ets_grid(train, h, cands, season, freq, keys)
     return full.join(best, [*keys, MODEL]).withColumn("selected", F.col(MODEL)).withColumn(MODEL, F.lit("AutoETS"))

@@ -42,3 +42,24 @@ def test_holt_winters_matches_loop(spark):
     n = len(y)
     ref = [l + hh * b + s[n + hh - 1 - m * ((hh - 1) // m + 1)] for hh in range(1, 11)]
     np.testing.assert_allclose(got, ref, rtol=1e-9)
+
+
+def test_holt_winters_long_series_uses_tail(spark):
+    """A series longer than the power table (observations beyond K share the converged weight)."""
+    df, y = _panel(spark, n=700, seed=5)
+    a, bt, g, m = 0.5, 0.3, 0.3, 7
+    Fm, gg = statespace.hw_matrices(a, bt, g, m)
+    assert len(statespace.power_tables(Fm, gg)[0]) < 690
+    got = statespace.ets_additive(df, 7, a, bt, g, m).orderBy("ds").toPandas()["y_hat"].to_numpy()
+    l = y[:m].mean()
+    b = (y[m:2 * m].mean() - y[:m].mean()) / m
+    s = list(y[:m] - l)
+    for t in range(m, len(y)):
+        sm = s[t - m]
+        ln = a * (y[t] - sm) + (1 - a) * (l + b)
+        bn = bt * (ln - l) + (1 - bt) * b
+        s.append(g * (y[t] - l - b) + (1 - g) * sm)
+        l, b = ln, bn
+    n = len(y)
+    ref = [l + hh * b + s[n + hh - 1 - m] for hh in range(1, 8)]
+    np.testing.assert_allclose(got, ref, rtol=1e-9)
