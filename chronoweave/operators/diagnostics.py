@@ -147,3 +147,56 @@ def seasonal_strength(decomp: DataFrame, id_cols: str | Sequence[str] = ID, digi
     return decomp.groupBy(*keys).agg(
         F.round(F.greatest(F.lit(0.0), 1 - F.try_divide(F.var_samp("remainder"), F.var_samp(F.col("remainder") + F.col("trend")))), digits).alias("trend_strength"),
         F.round(F.greatest(F.lit(0.0), 1 - F.try_divide(F.var_samp("remainder"), F.var_samp(F.col("remainder") + F.col("season")))), digits).alias("seasonal_strength"))
+
+
+def loess(df: DataFrame, value_col: str = Y, span: int = 91, degree: int = 1, freq: str | None = None,
+          id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS, out: str = "loess",
+          digits: int = 6) -> DataFrame:
+    """I04 LOESS smoother (non-robust): at each row a tricube-weighted local polynomial
+    (degree 0 or 1) over a centred ROWS frame of ``span`` rows (partial at the edges;
+    distances scaled by half the span + 1).  The bounded frame keeps it a halo-window
+    computation; the local fit uses closed-form weighted sums."""
+    keys = _keys(id_cols)
+    x, added = positioned(df, keys, freq)
+    half = span // 2
+
+    def build(w):
+        fw = w.rowsBetween(-half, half)
+        pts = F.collect_list(F.struct(F.col(POS).alias("p"), F.col(value_col).alias("v"))).over(fw)
+        d = lambda s: (s["p"] - F.col(POS)).cast("double")
+        wt = lambda s: F.pow(1 - F.pow(F.abs(d(s)) / (half + 1), 3), 3)
+        valid = F.filter(pts, lambda s: s["v"].isNotNull())
+        def total(fn):
+            return F.aggregate(valid, F.lit(0.0), lambda acc, s: acc + fn(s))
+        s0, t0 = total(lambda s: wt(s)), total(lambda s: wt(s) * s["v"])
+        if degree == 0:
+            return {out: F.try_divide(t0, s0)}
+        s1, s2 = total(lambda s: wt(s) * d(s)), total(lambda s: wt(s) * d(s) * d(s))
+        t1 = total(lambda s: wt(s) * d(s) * s["v"])
+        return {out: F.try_divide(s2 * t0 - s1 * t1, s0 * s2 - s1 * s1)}
+
+    y = halo_window(x, half, half, build, keys, block_rows=block_rows)
+    y = y.withColumn(out, F.round(out, digits))
+    return y.drop(POS) if added else y
+
+
+def mstl(df: DataFrame, value_col: str = Y, periods: Sequence[int] = (7, 30), freq: str | None = None,
+         id_cols: str | Sequence[str] = ID, digits: int = 6) -> DataFrame:
+    """M18 decomposition: classical decompositions applied period by period (shortest
+    first) to the series with the previous seasonal components removed; returns
+    ``seasonal_<p>`` per period, ``trend`` (from the last period's moving average) and
+    ``remainder``."""
+    keys = _keys(id_cols)
+    x = df
+    adj = value_col
+    for i, p in enumerate(periods):
+        d = classical_decomposition(x.withColumn("_adj", F.col(adj)), "_adj", p, freq=freq, id_cols=keys, digits=12)
+        x = d.withColumnRenamed("season", f"seasonal_{p}").drop("remainder", "_adj")
+        if i < len(periods) - 1:
+            x = x.drop("trend")
+        x = x.withColumn(f"_adj{i}", F.col(adj) - F.col(f"seasonal_{p}"))
+        adj = f"_adj{i}"
+    seas = sum((F.col(f"seasonal_{p}") for p in periods), F.lit(0.0))
+    x = x.withColumn("remainder", F.col(value_col) - F.col("trend") - seas)
+    x = x.drop(*[f"_adj{i}" for i in range(len(periods))])
+    return x.withColumns({c: F.round(c, digits) for c in ["trend", "remainder", *[f"seasonal_{p}" for p in periods]]})

@@ -129,3 +129,13 @@ def i08(spark, sf):
     feats = d.groupBy(ID).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(Y), 4).alias("mean"), F.round(F.stddev_samp(Y), 4).alias("sd"))
     a = dg.acf(d, Y, 1, freq="M").where(F.col("lag") == 1).select(ID, F.col("acf").alias("acf1"))
     return feats.join(a, ID)
+
+
+@register("I04_loess_smoother", None, ids=("I04",))
+def i04(spark, sf):
+    return dg.loess(padded_daily(spark, sf), Y, 91, 1, freq="D")
+
+
+@register("M18_mstl_decomposition", None, ids=("M18", "I05"))
+def m18d(spark, sf):
+    return dg.mstl(padded_daily(spark, sf), Y, (7, 30), freq="D")

@@ -390,3 +390,9 @@ def m14(spark, sf):
     from chronoweave.operators import statespace
     tr, _ = holdout(spark, sf)
     return r6(statespace.auto_ets(tr, H, 7))
+
+
+@register("M18_mstl_forecast", None, ids=("M18",))
+def m18(spark, sf):
+    tr, _ = holdout(spark, sf)
+    return r6(smoothing.mstl_forecast(tr, H, (7, 30), 0.3))

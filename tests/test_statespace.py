@@ -63,3 +63,18 @@ def test_holt_winters_long_series_uses_tail(spark):
     n = len(y)
     ref = [l + hh * b + s[n + hh - 1 - m] for hh in range(1, 8)]
     np.testing.assert_allclose(got, ref, rtol=1e-9)
+
+
+def test_loess_matches_numpy(spark):
+    from chronoweave.operators import diagnostics as dg
+    df, y = _panel(spark, n=80, seed=9)
+    got = dg.loess(df, "y", 21, 1, block_rows=16, digits=12).orderBy("ds").toPandas()["loess"].to_numpy()
+    half, n, ref = 10, len(y), []
+    for t in range(n):
+        idx = np.arange(max(0, t - half), min(n, t + half + 1))
+        d = (idx - t).astype(float)
+        w = (1 - (np.abs(d) / (half + 1)) ** 3) ** 3
+        X = np.vstack([np.ones_like(d), d]).T
+        beta = np.linalg.solve(X.T @ (w[:, None] * X), X.T @ (w * y[idx]))
+        ref.append(beta[0])
+    np.testing.assert_allclose(got, ref, rtol=1e-9, atol=1e-9)
