@@ -396,3 +396,17 @@ def m14(spark, sf):
 def m18(spark, sf):
     tr, _ = holdout(spark, sf)
     return r6(smoothing.mstl_forecast(tr, H, (7, 30), 0.3))
+
+
+@register("M16_sarima_two_stage", None, ids=("M16",))
+def m16(spark, sf):
+    from chronoweave.operators import arima
+    tr, _ = holdout(spark, sf)
+    return r6(arima.sarima(tr, H, 7, (1, 1, 1, 1)))
+
+
+@register("M17_auto_arima", None, ids=("M17",))
+def m17(spark, sf):
+    from chronoweave.operators import arima
+    tr, _ = holdout(spark, sf)
+    return r6(arima.sarima(tr, H, 7, None, diffs=None))
