@@ -162,7 +162,10 @@ def loess(df: DataFrame, value_col: str = Y, span: int = 91, degree: int = 1, fr
 
     def build(w):
         fw = w.rowsBetween(-half, half)
-        pts = F.collect_list(F.struct(F.col(POS).alias("p"), F.col(value_col).alias("v"))).over(fw)
+        return {"_pts": F.collect_list(F.struct(F.col(POS).alias("p"), F.col(value_col).alias("v"))).over(fw)}
+
+    def fit():
+        pts = F.col("_pts")
         d = lambda s: (s["p"] - F.col(POS)).cast("double")
         wt = lambda s: F.pow(1 - F.pow(F.abs(d(s)) / (half + 1), 3), 3)
         valid = F.filter(pts, lambda s: s["v"].isNotNull())
@@ -173,10 +176,16 @@ def loess(df: DataFrame, value_col: str = Y, span: int = 91, degree: int = 1, fr
             return {out: F.try_divide(t0, s0)}
         s1, s2 = total(lambda s: wt(s) * d(s)), total(lambda s: wt(s) * d(s) * d(s))
         t1 = total(lambda s: wt(s) * d(s) * s["v"])
-        return {out: F.try_divide(s2 * t0 - s1 * t1, s0 * s2 - s1 * s1)}
+        return {"_s0": s0, "_s1": s1, "_s2": s2, "_t0": t0, "_t1": t1}
 
     y = halo_window(x, half, half, build, keys, block_rows=block_rows)
-    y = y.withColumn(out, F.round(out, digits))
+    sums = fit()
+    if degree == 0:
+        y = y.withColumns(sums)
+    else:
+        y = y.withColumns(sums).withColumn(out, F.try_divide(F.col("_s2") * F.col("_t0") - F.col("_s1") * F.col("_t1"),
+                                                             F.col("_s0") * F.col("_s2") - F.col("_s1") * F.col("_s1")))
+    y = y.withColumn(out, F.round(out, digits)).drop("_pts", "_s0", "_s1", "_s2", "_t0", "_t1")
     return y.drop(POS) if added else y
 
 

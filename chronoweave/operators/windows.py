@@ -110,6 +110,8 @@ def augment_rolling(df: DataFrame, value_cols: str | Sequence[str] = Y, window:
     back = max(-lo for lo, _ in frames.values())
     ahead = max(max(hi for _, hi in frames.values()), 0)
 
+    post = {}  # median: the frame's values are collected once, the median is taken after
+
     def build(ws: WindowSpec) -> dict[str, Column]:
         out = {}
         for c in _cols(value_cols):
@@ -117,17 +119,28 @@ def augment_rolling(df: DataFrame, value_cols: str | Sequence[str] = Y, window:
                 lo, hi = frames[w]
                 fw = ws.rowsBetween(lo, hi)
                 n = F.count(c).over(fw)  # valid values, as pandas min_periods
+                tag = f"_shift_{shift}" if shift else ""
+                name_n = f"_n_{c}_{w}"
+                out[name_n] = n
                 for fn in funcs:
-                    v = _roll(fn, c, fw)
+                    name = f"{c}_rolling_{fn}_win_{w}{tag}"
+                    if fn == "median":
+                        out[f"_arr_{name}"] = F.collect_list(c).over(fw)
+                        v = _array_median(F.col(f"_arr_{name}"))
+                    else:
+                        v = ROLL_FUNCS[fn](c).over(fw)
+                        out[f"_v_{name}"] = v
+                        v = F.col(f"_v_{name}")
                     if not partial:
-                        v = F.when(n == w, v)
+                        v = F.when(F.col(name_n) == w, v)
                     if digits is not None:
                         v = F.round(v, digits)
-                    tag = f"_shift_{shift}" if shift else ""
-                    out[f"{c}_rolling_{fn}_win_{w}{tag}"] = v
+                    post[name] = v
         return out
 
-    return _finish(halo_window(x, back, ahead, build, keys, block_rows=block_rows), added)
+    y = halo_window(x, back, ahead, build, keys, block_rows=block_rows)
+    tmp = [c for c in y.columns if c.startswith(("_arr_", "_v_", "_n_"))]
+    return _finish(y.withColumns(post).drop(*tmp), added)
 
 
 def rolling_apply(df: DataFrame, value_col: str, window: int, fn: Callable[[Column], Column], name: str,
@@ -140,11 +153,11 @@ def rolling_apply(df: DataFrame, value_col: str, window: int, fn: Callable[[Colu
 
     def build(ws: WindowSpec) -> dict[str, Column]:
         fw = ws.rowsBetween(lo, hi)
-        vals = F.collect_list(F.struct(F.col(POS).alias("p"), F.col(value_col).alias("v"))).over(fw)
-        arr = F.transform(F.array_sort(vals), lambda s: s["v"])
-        return {name: F.when(F.size(arr) == window, fn(arr))}
+        return {"_vals": F.collect_list(F.struct(F.col(POS).alias("p"), F.col(value_col).alias("v"))).over(fw)}
 
-    return _finish(halo_window(x, -lo, max(hi, 0), build, keys, block_rows=block_rows), added)
+    y = halo_window(x, -lo, max(hi, 0), build, keys, block_rows=block_rows)
+    y = y.withColumn("_arr", F.transform(F.array_sort("_vals"), lambda s: s["v"]))
+    return _finish(y.withColumn(name, F.when(F.size("_arr") == window, fn(F.col("_arr")))).drop("_vals", "_arr"), added)
 
 
 def augment_ewm(df: DataFrame, value_col: str = Y, alphas: Sequence[float] = (0.1,),
