@@ -23,8 +23,11 @@ def _grid(bounds: DataFrame, keys: list[str], lo: str, hi: str, freq: str, chunk
     """
     step = freq_interval(freq)
     n_chunks = F.floor(steps_between(F.col(lo), F.col(hi), freq) / chunk_steps)
+    # an explicit partition count: the chunk table is tiny, so an adaptive shuffle would
+    # coalesce it into one task and the (large) step expansion below would run there
+    n_parts = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (bounds.select(*keys, lo, hi, F.explode(F.sequence(F.lit(0), n_chunks.cast("int"))).alias("_c"))
-                    .repartition(*keys, "_c"))
+                    .repartition(n_parts, *keys, "_c"))
     c_lo = add_steps(F.col(lo), F.col("_c") * chunk_steps, freq)
     c_hi = F.least(add_steps(F.col(lo), F.col("_c") * chunk_steps + (chunk_steps - 1), freq), F.col(hi))
     return chunks.select(*keys, F.explode(F.sequence(c_lo, c_hi, step)).alias(DS))
