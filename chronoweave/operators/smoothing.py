@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from chronoweave.operators.baselines import MODEL, STEP, YHAT, horizon
 from chronoweave.panel import DS, ID, Y
 from chronoweave.functions.timekeys import steps_between
-from chronoweave.plans.series import POS, _keys, carry_last, decay_scan, prefix_sums, regular_positions, with_positions
+from chronoweave.plans.series import POS, _keys, carry_last, decay_scan, forward_scan, prefix_sums, regular_positions, with_positions
 
 ALPHA_GRID = [round(0.05 * i, 2) for i in range(1, 20)]        # 0.05 .. 0.95
 CROSTON_GRID = [round(0.1 + 0.01 * i, 2) for i in range(21)]     # 0.10 .. 0.30
@@ -147,8 +147,7 @@ def _demand_rows(train: DataFrame, keys: list[str], freq: str | None) -> DataFra
     x = _positions(train, keys, freq)
     x = x.withColumn("_p0", F.col(POS) - (F.col("_n") - 1 - F.col("_r")))  # first position of the series
     x = x.withColumn("_dp", F.when(F.col(Y) != 0, F.col(POS)))
-    x = carry_last(x, "_dp", "_prevd", True, keys, inclusive=False)
-    x = prefix_sums(x, {"_rk": (F.col(Y) != 0).cast("long")}, keys)
+    x = forward_scan(x, last={"_prevd": "_dp"}, sums={"_rk": (F.col(Y) != 0).cast("long")}, id_cols=keys)
     d = x.where(F.col(Y) != 0)
     nd = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
     d = (d.withColumn("interval", (F.col(POS) - F.coalesce(F.col("_prevd"), F.col("_p0") - 1)).cast("double"))

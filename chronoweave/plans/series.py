@@ -217,3 +217,33 @@ def prefix_sums(df: DataFrame, values: dict[str, Column], id_cols: str | Sequenc
     names = list(values)
     return halo_window(y, lag, 0, lambda w: {n: F.lag(f"_ps{i}", lag).over(w) for i, n in enumerate(names)},
                        keys, pos_col, block_rows).drop(*[f"_ps{i}" for i in range(len(names))])
+
+
+def forward_scan(df: DataFrame, last: dict[str, str] | None = None, sums: dict[str, Column] | None = None,
+                 id_cols: str | Sequence[str] = ID, pos_col: str = POS, block_rows: int = DEFAULT_BLOCK_ROWS,
+                 last_inclusive: bool = False) -> DataFrame:
+    """One block pass for several forward scans at once: ``last`` maps output -> column
+    (last non-null value before the row, or at/before when ``last_inclusive``) and
+    ``sums`` maps output -> value (running sum up to and including the row).  One block
+    aggregate, one join and one window spec serve all of them."""
+    keys = _keys(id_cols)
+    last, sums = last or {}, sums or {}
+    L = int(block_rows)
+    x = df.withColumn("_fb", F.floor(F.col(pos_col) / L))
+    for i, v in enumerate(sums.values()):
+        x = x.withColumn(f"_fv{i}", v)
+    aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(pos_col))).alias(f"_fe{i}") for i, c in enumerate(last.values())]
+    aggs += [F.sum(f"_fv{i}").alias(f"_ft{i}") for i in range(len(sums))]
+    blocks = x.groupBy(*keys, "_fb").agg(*aggs)
+    prior = Window.partitionBy(*keys).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, "_fb",
+                           *[F.last(f"_fe{i}", ignorenulls=True).over(prior).alias(f"_fc{i}") for i in range(len(last))],
+                           *[F.coalesce(F.sum(f"_ft{i}").over(prior), F.lit(0)).alias(f"_fs{i}") for i in range(len(sums))])
+    w = Window.partitionBy(*keys, "_fb").orderBy(pos_col)
+    wl = w.rowsBetween(Window.unboundedPreceding, 0 if last_inclusive else -1)
+    ws = w.rowsBetween(Window.unboundedPreceding, 0)
+    cols = {o: F.coalesce(F.last(c, ignorenulls=True).over(wl), F.col(f"_fc{i}")) for i, (o, c) in enumerate(last.items())}
+    cols.update({o: F.col(f"_fs{i}") + F.sum(f"_fv{i}").over(ws) for i, o in enumerate(sums)})
+    y = x.join(blocks, [*keys, "_fb"]).withColumns(cols)
+    return y.drop("_fb", *[f"_fv{i}" for i in range(len(sums))], *[f"_fc{i}" for i in range(len(last))],
+                  *[f"_fs{i}" for i in range(len(sums))])

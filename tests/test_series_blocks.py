@@ -89,3 +89,13 @@ def test_ses3_fixture(spark):
                                "unique_id string, ds string, y double").withColumn("ds", F.col("ds").cast("timestamp_ntz"))
     x = windows.augment_ewm(df, "y", [0.1]).orderBy("ds").collect()
     assert abs(x[-1]["y_ewm_mean_alpha_0_1"] - 2.439114391143911) < 1e-12
+
+
+@pytest.mark.parametrize("block", [3, 1 << 20])
+def test_forward_scan_matches_pandas(panel, block):
+    from chronoweave.plans.series import forward_scan
+    x = with_positions(panel)
+    got = _pd(forward_scan(x, last={"prev": "yn"}, sums={"cs": F.col("y")}, block_rows=block), ["yn", "y", "prev", "cs"])
+    for _, g in got.groupby("unique_id"):
+        np.testing.assert_allclose(g["prev"].to_numpy(dtype=float), g["yn"].ffill().shift(1).to_numpy(dtype=float), equal_nan=True)
+        np.testing.assert_allclose(g["cs"].to_numpy(dtype=float), g["y"].cumsum().to_numpy(dtype=float), rtol=1e-12)
