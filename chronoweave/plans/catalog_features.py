@@ -182,3 +182,9 @@ def h08(spark, sf):
     x = calendar.augment_timeseries_signature(padded_daily(spark, sf), features=("wday", "mweek"))
     x = x.withColumn("ds_mweek_2", (F.col("ds_mweek") == 2).cast("int")).drop("ds_mweek")
     return calendar.interactions(x, [("ds_wday", "ds_mweek_2")])
+
+
+@register("H09_wavelet_features", None, ids=("H09",))
+def h09(spark, sf):
+    from chronoweave.operators import windows
+    return windows.augment_wavelet(padded_daily(spark, sf), Y, (2, 4, 8), freq="D", digits=6)

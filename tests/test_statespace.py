@@ -78,3 +78,20 @@ def test_loess_matches_numpy(spark):
         beta = np.linalg.solve(X.T @ (w[:, None] * X), X.T @ (w * y[idx]))
         ref.append(beta[0])
     np.testing.assert_allclose(got, ref, rtol=1e-9, atol=1e-9)
+
+
+def test_wavelet_matches_numpy(spark):
+    from chronoweave.operators import windows
+    df, y = _panel(spark, n=70, seed=11)
+    got = windows.augment_wavelet(df, "y", (2, 4), block_rows=13).orderBy("ds").toPandas()
+    n = len(y)
+    for s in (2, 4):
+        reach = int(np.ceil(3.0 * s))
+        ref = []
+        for t in range(n):
+            acc = 0.0
+            for j in range(max(0, t - reach), min(n, t + reach + 1)):
+                u = (j - t) / s
+                acc += np.exp(-u * u / 2) * np.cos(5 * u) / np.sqrt(s) * y[j]
+            ref.append(acc)
+        np.testing.assert_allclose(got[f"y_wavelet_morlet_scale_{s}"].to_numpy(), ref, rtol=1e-9, atol=1e-9)
