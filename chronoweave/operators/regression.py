@@ -132,3 +132,49 @@ def prophet_like(train: DataFrame, h: int, freq: str = "D", id_cols: str | Seque
         return e
     return cj.select(*keys, DS, MODEL, YHAT, part(["_one", "t", "cp_"]).alias("trend"),
                      part(["weekly_"]).alias("weekly"), part(["yearly_"]).alias("yearly"))
+
+
+def mfles(train: DataFrame, h: int, season: int = 7, rounds: int = 3, lr_trend: float = 0.9, lr_season: float = 0.9,
+          alpha: float = 0.3, fourier_order: int = 3, freq: str = "D", id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """M20 (re-aimed) MFLES-style boosted decomposition: start from the per-series median,
+    then for ``rounds`` rounds fit a linear trend and a Fourier seasonality to the current
+    residual (each shrunk by its learning rate), finally exponential smoothing of the last
+    residual.  Forecast = median + sum of the shrunk trend and season fits + ES level.
+    Each fit is a per-series least squares from aggregated normal equations; the residual
+    panel is checkpointed between rounds so the plan stays shallow."""
+    from chronoweave.functions.aggs import quantile
+    from chronoweave.operators.smoothing import _positions, ses_levels
+    from chronoweave.session import cut_lineage
+    keys = _keys(id_cols)
+    span = train.groupBy(*keys).agg(F.min(DS).alias("_t0"), F.max(DS).alias("_T"), quantile(Y, 0.5).alias("_med"))
+
+    def design(df: DataFrame) -> tuple[DataFrame, list[str]]:
+        t = F.timestamp_diff("DAY", F.col("_t0"), F.col(DS)).cast("double")
+        x = df.withColumn("t", t)
+        day = F.datediff(F.to_date(DS), F.lit("1970-01-01").cast("date")).cast("double")
+        fcols = []
+        for k in range(1, fourier_order + 1):
+            arg = F.lit(2 * math.pi * k / season) * day
+            x = x.withColumn(f"fs_{k}", F.sin(arg)).withColumn(f"fc_{k}", F.cos(arg))
+            fcols += [f"fs_{k}", f"fc_{k}"]
+        return x, fcols
+
+    x, fcols = design(train.select(*keys, DS, Y).join(span, keys))
+    x = cut_lineage(x.withColumn("_res", F.col(Y) - F.col("_med")))
+    fits = []
+    for r in range(rounds):
+        ct, dt_ = ols.fit_ols(x, keys, ["t"], "_res")
+        x = ols.predict(x, ct, keys, dt_, "_p").withColumn("_res", F.col("_res") - lr_trend * F.col("_p")).drop("_p")
+        cs, ds_ = ols.fit_ols(x, keys, fcols, "_res", intercept=False)
+        x = ols.predict(x, cs, keys, ds_, "_p").withColumn("_res", F.col("_res") - lr_season * F.col("_p")).drop("_p")
+        x = cut_lineage(x)
+        fits += [(ct, dt_, lr_trend), (cs, ds_, lr_season)]
+    es = ses_levels(_positions(x.select(*keys, DS, F.col("_res").alias(Y)), keys, freq), keys, [alpha]) \
+        .select(*keys, F.col("level_0").alias("_es"))
+    fut, _ = design(horizon(span, keys, h, freq))
+    fut = fut.join(es, keys, "left")
+    total = F.col("_med") + F.coalesce(F.col("_es"), F.lit(0.0))
+    for i, (c, d, lr) in enumerate(fits):
+        fut = ols.predict(fut, c, keys, d, f"_f{i}")
+        total = total + lr * F.coalesce(F.col(f"_f{i}"), F.lit(0.0))
+    return fut.select(*keys, DS, F.lit("MFLES").alias(MODEL), total.alias(YHAT))

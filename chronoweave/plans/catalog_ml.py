@@ -108,3 +108,9 @@ def m25(spark, sf):
     model = ml.pipeline(cal_cols, zoo["GBM"]).fit(fitted.withColumn(Y, F.col("resid")))
     boosted = model.transform(fut.withColumnRenamed(YHAT, "_stage1"))
     return r6(boosted.select(ID, DS, F.lit("TrendWeekday+GBM").alias(MODEL), (F.col("_stage1") + F.col(YHAT)).alias(YHAT)))
+
+
+@register("M20_mfles_boosted_decomposition", None, ids=("M20",))
+def m20(spark, sf):
+    tr, _ = holdout(spark, sf)
+    return r6(regression.mfles(tr, H, 7, 3))
