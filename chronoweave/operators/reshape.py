@@ -100,9 +100,13 @@ def strip_prefix_index(c: Column, prefix: str = "V", offset: int = -1) -> Column
 
 def sample_series(df: DataFrame, strata: str, n: int, seed: int = 123, id_col: str = ID) -> DataFrame:
     """Deterministic sample of ``n`` series per stratum (hash order, not ``rand``)."""
-    ids = df.select(strata, id_col).distinct()
-    w = Window.partitionBy(strata).orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col))
-    return ids.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+    ids = df.select(strata, id_col).distinct().withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    # two phases: the n smallest hashes of each (stratum, hash bucket), then of the stratum,
+    # so a stratum holding most series is not ranked in one task
+    w1 = Window.partitionBy(strata, F.pmod(F.col("_h"), F.lit(64))).orderBy("_h", id_col)
+    cand = ids.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n).drop("_r")
+    w = Window.partitionBy(strata).orderBy("_h", id_col)
+    return cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r", "_h")
 
 
 def to_intermittent(df: DataFrame, prop_of_zeros: float = 0.9, seed: int = 1992, value_col: str = Y,

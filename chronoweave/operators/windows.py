@@ -221,11 +221,20 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Column, out: str = "ran
     return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(w))
 
 
-def top_n(df: DataFrame, by: Sequence[str], order: Column, n: int = 1, keep_ties: bool = True) -> DataFrame:
-    """best ``n`` rows per group (``slice_min`` keeps ties -> ``rank``)."""
-    w = Window.partitionBy(*by).orderBy(order)
-    r = F.rank().over(w) if keep_ties else F.row_number().over(w)
-    return df.withColumn("_r", r).where(F.col("_r") <= n).drop("_r")
+def top_n(df: DataFrame, by: Sequence[str], order: Column, n: int = 1, keep_ties: bool = True,
+          split_col: str | None = DS, bucket_days: int = 31) -> DataFrame:
+    """best ``n`` rows per group (``slice_min`` keeps ties -> ``rank``).
+
+    Two phases so a large group is never ranked in one task: the top ``n`` of each
+    (group, time bucket) first, then the top ``n`` among those candidates (a row in the
+    group's top ``n`` is always in its bucket's top ``n``)."""
+    rank = (lambda w: F.rank().over(w)) if keep_ties else (lambda w: F.row_number().over(w))
+    x = df
+    if split_col is not None:
+        from chronoweave.plans.series import time_bucket
+        x = x.withColumn("_tb", time_bucket(F.col(split_col), bucket_days))
+        x = x.withColumn("_r", rank(Window.partitionBy(*by, "_tb").orderBy(order))).where(F.col("_r") <= n).drop("_r", "_tb")
+    return x.withColumn("_r", rank(Window.partitionBy(*by).orderBy(order))).where(F.col("_r") <= n).drop("_r")
 
 
 def row_index(df: DataFrame, id_cols: str | Sequence[str] = ID, out: str = "row_index", freq: str | None = None) -> DataFrame:
