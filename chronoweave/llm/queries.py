@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, packing, pii, quality, sharding
+from chronoweave.llm import bpe, decontam, packing, pii, quality, sharding
 from chronoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,35 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.span_list().alias("spans"))
 
 
+OP3_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS w
+       FROM (SELECT item, ws, least(len(ws), 10) AS n, unnest(generate_series(1, len(ws) - least(len(ws), 10) + 1)) AS i
+             FROM b WHERE len(ws) > 0)),
+dw AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w
+       FROM (SELECT rid, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i
+             FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
+o AS (SELECT rid, dw.n, i, item FROM dw JOIN bw ON dw.w = bw.w AND dw.n = bw.n),
+h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM
+        (SELECT rid, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT rid, n, i FROM o)) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT rid, item FROM o) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
+"""
+
+
+@query("op3_prefix_filtered_decontamination", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 OP4_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, i, ws[i] AS w, CASE WHEN i + 2 <= len(ws) THEN ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] END AS g
