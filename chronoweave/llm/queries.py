@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontam, packing, pii, quality, sharding
+from chronoweave.llm import bpe, decontam, html, packing, pii, quality, sharding, urls
 from chronoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,11 +108,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                       base.alias("base_failed"), (~base & quality.verdict(quality.POLICIES["v2"])).alias("kept"))
 
 
+@query("op5_segmented_host_filter")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
 @query("op6_pair_merge_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+@query("op7_layout_aware_html")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
