@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontam, html, packing, pii, quality, sharding, suffix, urls
+from chronoweave.llm import bpe, decontam, html, jaccard, packing, pii, quality, sharding, suffix, urls
 from chronoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +128,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"), length=100).drop("kept")
 
 
+@query("op9_chosen_path_jaccard")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
