@@ -59,30 +59,33 @@ def windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Da
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  item_id_col: str = "item_id", item_text_col: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
     """(id, n_words, n_hit, n_items, items array<string>, occurrences) for every row of
     ``docs``: hit words, and the items with occurring windows, sorted as strings.
 
     Null and empty texts have no words and items without words no windows.  Items that share
     a window all count; an item without an id hits words but is not listed.  Rows that
-    repeat an id are told apart.  Empty tables on either side give no hits."""
+    repeat an id are told apart.  Empty tables on either side give no hits.  ``carry`` adds
+    expressions over ``docs`` to the result."""
+    carry = carry or {}
     win = windows(benchmark, item_id_col, item_text_col, window)
     tokens = materialize(win.select(F.explode("shingles").alias("s")).distinct()
                          .select(F.monotonically_increasing_id().alias("sid"), "s"), "bench-shingles")
     sizes = sorted(r[0] for r in win.select(F.least("len", F.lit(SHINGLE)).alias("k")).distinct().collect()) or [SHINGLE]
 
-    base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), words(F.col(text_col)).alias("ws")) \
+    base = docs.select(F.col(id_col).alias("id"), F.struct(F.lit(0).alias("_"), *[c.alias(k) for k, c in carry.items()]).alias("more"),
+                       F.monotonically_increasing_id().alias("rid"), words(F.col(text_col)).alias("ws")) \
         .withColumn("n_words", F.size("ws"))
     arrays = [_slices(F.col("ws"), F.col("n_words"), k) for k in sizes]
-    grams = base.select("id", "rid", "n_words", F.explode_outer(F.concat(*arrays) if len(arrays) > 1 else arrays[0]).alias("g")) \
-        .select("id", "rid", "n_words", "g.*")
+    grams = base.select("id", "more", "rid", "n_words", F.explode_outer(F.concat(*arrays) if len(arrays) > 1 else arrays[0]).alias("g")) \
+        .select("id", "more", "rid", "n_words", "g.*")
     first = F.col("pos").isNull() | ((F.col("pos") == 0) & (F.col("k") == sizes[0]))
     hits = materialize(
         grams.join(small_side(tokens, BROADCAST_ROWS), "s", "left")
         .withColumn("first", first).where(F.col("first") | F.col("sid").isNotNull())
-        .select("id", "rid", "n_words", "first", "pos", "k", "sid"), "bench-hits")
+        .select("id", "more", "rid", "n_words", "first", "pos", "k", "sid"), "bench-hits")
 
-    rows = hits.where("first").select("id", "rid", "n_words")
+    rows = hits.where("first").select("id", "more", "rid", "n_words")
     found = hits.where("sid is not null").select("rid", "n_words", "pos", "k", "sid")
 
     # the rarest shingle of every window all of whose shingles occur somewhere
@@ -120,4 +123,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                     F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items", none).alias("items"),
-                    F.coalesce("occurrences", F.lit(0)).cast("long").alias("occurrences")))
+                    F.coalesce("occurrences", F.lit(0)).cast("long").alias("occurrences"),
+                    *[F.col(f"more.{k}").alias(k) for k in carry]))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
+                      item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``docs`` (all columns) without the rows whose text has a hit word."""
+    key = {"_t1": F.xxhash64(text_col), "_t2": F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))}
+    found = decontaminate(docs, benchmark, window, id_col, text_col, item_id_col, item_text_col, carry=key)
+    bad = materialize(found.where("n_hit > 0").select("_t1", "_t2").distinct(), "bench-dropped")
+    return docs.withColumns(key).join(small_side(bad, 200_000), ["_t1", "_t2"], "left_anti").select(*docs.columns)

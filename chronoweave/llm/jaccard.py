@@ -325,23 +325,19 @@ def components(edges: DataFrame) -> DataFrame:
         mark = new
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = 64,
-                    limit: int = 1024, depth: int = 12, id_col: str = "doc_id", text_col: str = "text",
-                    emit_pairs: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """(id, class_id, copy_of, n_links) for every row of ``docs``.
+def _text_key(text: str):
+    return (F.xxhash64(text).alias("t1"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("t2"))
 
-    ``class_id`` is the smallest id among all documents connected by links or equal texts,
-    ``copy_of`` the smallest id with an equal text, ``n_links`` the number of different texts
-    linked to this text.  With ``emit_pairs`` also (id_a, id_b, similarity) for the links,
-    one row per pair of different texts, named by their smallest ids.
 
-    Null and empty texts, and texts without a word, are linked to nothing (equal ones share
-    a class); rows without an id belong to a class like any other; repeated rows are copies;
-    an empty table gives an empty result."""
-    key = (F.xxhash64("text").alias("t1"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("t2"))
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).select("id", *key, "text")
+def classes(docs: DataFrame, threshold: float, recall: float, n_runs: int, max_runs: int, limit: int, depth: int,
+            id_col: str, text_col: str, emit_pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows (id, t1, t2), one row per text (t1, t2, rid, n, copy_of, copies, class_id,
+    n_links, first: whether it stands for its class), and the verified links."""
+    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
+        .select("id", *_text_key("text"), "text")
     rows = materialize(given.mapInArrow(_scan, "id long, t1 long, t2 long, n long, sig binary"), "near-rows")
-    reps = materialize(rows.groupBy("t1", "t2").agg(F.min("id").alias("copy_of"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    reps = materialize(rows.groupBy("t1", "t2").agg(F.min("id").alias("copy_of"), F.first("n").alias("n"), F.first("sig").alias("sig"),
+                                                    F.count(F.lit(1)).alias("copies"))
                        .withColumn("rid", F.monotonically_increasing_id()), "near-reps")
     sets = reps.where(F.col("sig").isNotNull())
     while True:
@@ -355,13 +351,33 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     links = found.where("kind = 0").groupBy("rid").agg(F.sum("value").alias("n_links"))
     comp = components(found.where("kind = 1").select("rid", "other"))
     label = comp.unionByName(comp.select(F.col("root").alias("rid"), "root").distinct())
-    lowest = label.join(reps.select("rid", "copy_of"), "rid").groupBy("root").agg(F.min("copy_of").alias("class_id"))
-    classes = reps.select("t1", "t2", "rid", "copy_of").join(links, "rid", "left").join(label, "rid", "left").join(lowest, "root", "left") \
-        .select("t1", "t2", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    out = rows.select("id", "t1", "t2").join(classes, ["t1", "t2"]).select(F.col("id").alias(id_col), "class_id", "copy_of", "n_links")
+    order = F.struct(F.col("copy_of").isNull().alias("none"), "copy_of", "rid")
+    lowest = label.join(reps.select("rid", "copy_of"), "rid").groupBy("root").agg(F.min(order).alias("low"))
+    texts = reps.drop("sig").join(links, "rid", "left").join(label, "rid", "left").join(lowest, "root", "left") \
+        .withColumn("low", F.coalesce("low", order)) \
+        .select("t1", "t2", "rid", "n", "copy_of", "copies", F.col("low.copy_of").alias("class_id"),
+                F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.col("low.rid") == F.col("rid")).alias("first"))
+    return rows.select("id", "t1", "t2"), materialize(texts, "near-texts"), found, given
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = 64,
+                    limit: int = 1024, depth: int = 12, id_col: str = "doc_id", text_col: str = "text",
+                    emit_pairs: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """(id, class_id, copy_of, n_links) for every row of ``docs``.
+
+    ``class_id`` is the smallest id among all documents connected by links or equal texts,
+    ``copy_of`` the smallest id with an equal text, ``n_links`` the number of different texts
+    linked to this text.  With ``emit_pairs`` also (id_a, id_b, similarity) for the links,
+    one row per pair of different texts, named by their smallest ids.
+
+    Null and empty texts, and texts without a word, are linked to nothing (equal ones share
+    a class); rows without an id belong to a class like any other; repeated rows are copies;
+    an empty table gives an empty result."""
+    rows, texts, found, _ = classes(docs, threshold, recall, n_runs, max_runs, limit, depth, id_col, text_col, emit_pairs)
+    out = rows.join(texts, ["t1", "t2"]).select(F.col("id").alias(id_col), "class_id", "copy_of", "n_links")
     if not emit_pairs:
         return out
-    name = lambda c: reps.select(F.col("rid").alias(f"r{c}"), F.col("copy_of").alias(f"id_{c}"), F.col("n").alias(f"n{c}"))
+    name = lambda c: texts.select(F.col("rid").alias(f"r{c}"), F.col("copy_of").alias(f"id_{c}"), F.col("n").alias(f"n{c}"))
     pairs = found.where("kind = 2").select(F.col("rid").alias("ra"), F.col("other").alias("rb"), "value") \
         .join(name("a"), "ra").join(name("b"), "rb") \
         .select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"),
@@ -369,6 +385,25 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     return out, pairs
 
 
+def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = 64,
+                limit: int = 1024, depth: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` (all columns) with one row of each class: the one with the smallest id.
+
+    Texts that stand alone are read straight through; only rows of texts with several copies
+    are compared, after all but those with the smallest id are gone."""
+    _, texts, _, _ = classes(docs, threshold, recall, n_runs, max_runs, limit, depth, id_col, text_col, False)
+    names = docs.columns
+    keyed = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(_text_key(text_col), ("t1", "t2"))])
+    touched = texts.where(~F.col("first") | (F.col("copies") > 1)) \
+        .select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("copy_of").alias("_copy_of"), F.col("first").alias("_first"))
+    touched = materialize(touched, "near-touched")
+    side = small_side(touched, _BROADCAST_ROWS)
+    alone = keyed.join(side.select("_t1", "_t2"), ["_t1", "_t2"], "left_anti")
+    chosen = keyed.join(side.where("_first"), ["_t1", "_t2"]) \
+        .where(F.col(id_col).cast("long").eqNullSafe(F.col("_copy_of"))).dropDuplicates(["_t1", "_t2"])
+    return alone.select(*names).unionByName(chosen.select(*names))
+
+
 def _links(given: DataFrame, sets: DataFrame, n_runs: int, threshold: float, limit: int, depth: int, emit_pairs: bool) -> DataFrame:
     """Verified links of all leaves (see ``_verify``)."""
     leaf = leaves(sets, n_runs, threshold, limit, depth)

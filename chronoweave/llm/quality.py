@@ -120,7 +120,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     measured = thin.mapInArrow(run, schema)
     failures = sum((F.when(r.fails, F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules())), F.lit(0))
     return measured.select(
-        F.col("_id").alias(id_col),
+        *([] if id_col in keep else [F.col("_id").alias(id_col)]),
         *[F.col(f"_doc_{k}").alias(f"doc_{k}" if k in MEASURES else k) for k in keep],
         *MEASURES, failures.cast("long").alias("failures"))
 
