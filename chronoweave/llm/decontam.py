@@ -130,7 +130,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) without the rows whose text has a hit word."""
-    key = {"_t1": F.xxhash64(text_col), "_t2": F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))}
+    key = {"__corpus_t1": F.xxhash64(text_col), "__corpus_t2": F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))}
     found = decontaminate(docs, benchmark, window, id_col, text_col, item_id_col, item_text_col, carry=key)
-    bad = materialize(found.where("n_hit > 0").select("_t1", "_t2").distinct(), "bench-dropped")
-    return docs.withColumns(key).join(small_side(bad, 200_000), ["_t1", "_t2"], "left_anti").select(*docs.columns)
+    bad = materialize(found.where("n_hit > 0").select("__corpus_t1", "__corpus_t2").distinct(), "bench-dropped")
+    return docs.withColumns(key).join(small_side(bad, 200_000), ["__corpus_t1", "__corpus_t2"], "left_anti").select(*docs.columns)

@@ -393,14 +393,15 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999,
     are compared, after all but those with the smallest id are gone."""
     _, texts, _, _ = classes(docs, threshold, recall, n_runs, max_runs, limit, depth, id_col, text_col, False)
     names = docs.columns
-    keyed = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(_text_key(text_col), ("t1", "t2"))])
+    keyed = docs.select("*", *[c.alias(f"__corpus_{n}") for c, n in zip(_text_key(text_col), ("t1", "t2"))])
     touched = texts.where(~F.col("first") | (F.col("copies") > 1)) \
-        .select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("copy_of").alias("_copy_of"), F.col("first").alias("_first"))
+        .select(F.col("t1").alias("__corpus_t1"), F.col("t2").alias("__corpus_t2"), F.col("copy_of").alias("__corpus_copy"),
+                F.col("first").alias("__corpus_first"))
     touched = materialize(touched, "near-touched")
     side = small_side(touched, _BROADCAST_ROWS)
-    alone = keyed.join(side.select("_t1", "_t2"), ["_t1", "_t2"], "left_anti")
-    chosen = keyed.join(side.where("_first"), ["_t1", "_t2"]) \
-        .where(F.col(id_col).cast("long").eqNullSafe(F.col("_copy_of"))).dropDuplicates(["_t1", "_t2"])
+    alone = keyed.join(side.select("__corpus_t1", "__corpus_t2"), ["__corpus_t1", "__corpus_t2"], "left_anti")
+    chosen = keyed.join(side.where("__corpus_first"), ["__corpus_t1", "__corpus_t2"]) \
+        .where(F.col(id_col).cast("long").eqNullSafe(F.col("__corpus_copy"))).dropDuplicates(["__corpus_t1", "__corpus_t2"])
     return alone.select(*names).unionByName(chosen.select(*names))
 
 

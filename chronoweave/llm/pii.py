@@ -268,16 +268,16 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
                         .groupBy("k1", "k2").agg(F.first("base_spans").alias("base_spans"),
                                                  F.first("term_spans").alias("term_spans")), "pii-spans")
     names = docs.columns
-    keyed = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(row_key(id_col, text_col), ("k1", "k2"))])
-    spans = spans.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("base_spans").alias("_base"),
-                         F.col("term_spans").alias("_terms"))
+    keyed = docs.select("*", *[c.alias(f"__corpus_{n}") for c, n in zip(row_key(id_col, text_col), ("k1", "k2"))])
+    spans = spans.select(F.col("k1").alias("__corpus_k1"), F.col("k2").alias("__corpus_k2"), F.col("base_spans").alias("__corpus_base"),
+                         F.col("term_spans").alias("__corpus_terms"))
 
     @F.pandas_udf("string")
     def new_text(text, base, terms):
         return text.__class__([redact(t, b, x) for t, b, x in zip(text, base, terms)], dtype=object)
 
-    joined = keyed.join(small_side(spans, 200_000), ["_k1", "_k2"], "left")
-    done = F.when(F.col("_base").isNull(), F.col(text_col)).otherwise(
-        new_text(F.when(F.col("_base").isNotNull(), F.col(text_col)).otherwise(F.lit("")),
-                 F.coalesce("_base", F.lit("")), F.coalesce("_terms", F.array().cast("array<struct<start:bigint,end:bigint,action:string>>"))))
+    joined = keyed.join(small_side(spans, 200_000), ["__corpus_k1", "__corpus_k2"], "left")
+    done = F.when(F.col("__corpus_base").isNull(), F.col(text_col)).otherwise(
+        new_text(F.when(F.col("__corpus_base").isNotNull(), F.col(text_col)).otherwise(F.lit("")),
+                 F.coalesce("__corpus_base", F.lit("")), F.coalesce("__corpus_terms", F.array().cast("array<struct<start:bigint,end:bigint,action:string>>"))))
     return joined.select(*[done.alias(c) if c == text_col else F.col(c) for c in names])

@@ -62,7 +62,7 @@ def rules() -> list[Rule]:
     return [
         Rule("too_few_words", n("n_words") < 50),
         Rule("repeated_trigrams", 100 * n("n_repeat_words") > 50 * n("n_words")),
-        Rule("symbols", n("n_symbols") * 2 > n("n_words")),
+        Rule("symbols", n("n_symbols") * 4 > n("n_words")),
         Rule("duplicate_lines", n("n_dup_lines") * 10 > n("n_lines") * 6),
         Rule("upper_case", n("n_upper") * 10 > n("n_letters") * 6),
         Rule("few_letters", n("n_letters") * 10 < n("word_chars") * 5),

@@ -91,7 +91,7 @@ a AS (SELECT d.doc_id, coalesce(m.n_words, 0) AS n_words, coalesce(m.word_chars,
       FROM d LEFT JOIN m USING (rid) LEFT JOIN l USING (rid) LEFT JOIN r USING (rid)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (n_symbols * 2 > n_words) AND NOT (n_dup_lines * 10 > n_lines * 6)
+       NOT base_failed AND NOT (n_symbols * 4 > n_words) AND NOT (n_dup_lines * 10 > n_lines * 6)
        AND NOT (n_upper * 10 > n_letters * 6) AND NOT (n_letters * 10 < word_chars * 5)
        AND NOT (n_digits * 10 > word_chars * 3) AND NOT (n_long * 20 > n_words)
        AND ((word_chars < n_words * 2)::INT + (word_chars > n_words * 20)::INT
