@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.functions.aggs import GLOBAL_QUANTILE_ACCURACY, quantile
+from chronoweave.functions.aggs import global_quantiles
 
 
 def epoch_steps(ds: Column, freq: str = "D") -> Column:
@@ -73,12 +73,12 @@ def _bspline_levels(df: DataFrame, x: Column, knots: Column, n_knots: int, degre
 
 def bspline_knots(df: DataFrame, col: str, df_: int = 5, degree: int = 3) -> tuple[Column, int]:
     """Knot vector (boundary knots repeated ``degree+1`` times, ``df - degree`` interior
-    knots at equally spaced discrete quantiles) as a scalar-subquery array column."""
+    knots at equally spaced quantiles) as a scalar-subquery array column."""
     n_inner = max(df_ - degree, 0)
     probs = [(i + 1) / (n_inner + 1) for i in range(n_inner)]
     parts = [F.array_repeat(F.min(col).cast("double"), degree + 1)]
     if probs:
-        parts.append(F.transform(quantile(col, probs, GLOBAL_QUANTILE_ACCURACY), lambda v: v.cast("double")))
+        parts.append(F.array(*[F.lit(k).cast("double") for k in global_quantiles(df, col, probs)]))
     parts.append(F.array_repeat(F.max(col).cast("double"), degree + 1))
     knots = df.agg(F.concat(*parts)).scalar()
     return knots, 2 * (degree + 1) + n_inner
@@ -102,7 +102,7 @@ def augment_natural_spline(df: DataFrame, column_name: str = "ds_index_num", deg
                            digits: int | None = None) -> DataFrame:
     """Natural cubic spline basis with ``deg_free`` columns ``ns_<i>``.
 
-    Knots: boundary = min/max, ``deg_free - 1`` interior knots at discrete quantiles.
+    Knots: boundary = min/max, ``deg_free - 1`` interior knots at quantiles.
     Basis (truncated-power form): N_1 = x, N_(k+1) = d_k - d_(K-1) with
     d_k = ((x-xi_k)^3_+ - (x-xi_K)^3_+)/(xi_K - xi_k), spanning the same space as R's ns()
     (a different but equivalent basis)."""
@@ -110,7 +110,7 @@ def augment_natural_spline(df: DataFrame, column_name: str = "ds_index_num", deg
     probs = [(i + 1) / (n_inner + 1) for i in range(n_inner)]
     parts = [F.array(F.min(column_name).cast("double"))]
     if probs:
-        parts.append(F.transform(quantile(column_name, probs, GLOBAL_QUANTILE_ACCURACY), lambda v: v.cast("double")))
+        parts.append(F.array(*[F.lit(k).cast("double") for k in global_quantiles(df, column_name, probs)]))
     parts.append(F.array(F.max(column_name).cast("double")))
     knots = df.agg(F.concat(*parts)).scalar()
     K = n_inner + 2

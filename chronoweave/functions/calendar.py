@@ -6,7 +6,7 @@ Sunday=7 (Spark's ``dayofweek`` is Sunday=1, so it is not used).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,49 +17,61 @@ SIGNATURE = ("index_num", "year", "year_iso", "yearstart", "yearend", "leapyear"
              "second", "msecond", "nsecond", "am_pm")
 
 
+#: one-hot columns are driver-side expressions; a column with more levels is refused
+MAX_LEVELS = 1000
+
+
 def _flag(c: Column) -> Column:
     return c.cast("int")
 
 
+def _wday(d: Column) -> Column:
+    return F.weekday(d) + 1
+
+
+def _quarter_start(d: Column) -> Column:
+    return F.make_date(F.year(d), (F.quarter(d) - 1) * 3 + 1, F.lit(1))
+
+
+# feature -> function of (time, date); only the feature that is asked for is built
+FEATURES: dict[str, Callable[[Column, Column], Column]] = {
+    "index_num": lambda t, d: F.unix_seconds(t.cast("timestamp_ntz").cast("timestamp")),
+    "year": lambda t, d: F.year(d),
+    "year_iso": lambda t, d: F.extract(F.lit("YEAROFWEEK"), d),
+    "yearstart": lambda t, d: _flag((F.month(d) == 1) & (F.dayofmonth(d) == 1)),
+    "yearend": lambda t, d: _flag((F.month(d) == 12) & (F.dayofmonth(d) == 31)),
+    "leapyear": lambda t, d: _flag(F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31))) == 366),
+    "half": lambda t, d: F.when(F.month(d) <= 6, 1).otherwise(2),
+    "quarter": lambda t, d: F.quarter(d),
+    "quarteryear": lambda t, d: F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string")),
+    "quarterstart": lambda t, d: _flag(d == _quarter_start(d)),
+    "quarterend": lambda t, d: _flag(d == F.date_sub(F.add_months(_quarter_start(d), 3), 1)),
+    "month": lambda t, d: F.month(d),
+    "month_lbl": lambda t, d: F.date_format(d, "MMMM"),
+    "monthstart": lambda t, d: _flag(F.dayofmonth(d) == 1),
+    "monthend": lambda t, d: _flag(d == F.last_day(d)),
+    "yweek": lambda t, d: F.weekofyear(d),
+    "mweek": lambda t, d: F.floor((F.dayofmonth(d) - 1) / 7).cast("int") + 1,
+    "wday": lambda t, d: _wday(d),
+    "wday_lbl": lambda t, d: F.date_format(d, "EEEE"),
+    "mday": lambda t, d: F.dayofmonth(d),
+    "qday": lambda t, d: F.datediff(d, _quarter_start(d)) + 1,
+    "yday": lambda t, d: F.dayofyear(d),
+    "weekend": lambda t, d: _flag(_wday(d) >= 6),
+    "week": lambda t, d: F.weekofyear(d),
+    "hour": lambda t, d: F.hour(t),
+    "minute": lambda t, d: F.minute(t),
+    "second": lambda t, d: F.second(t),
+    "msecond": lambda t, d: F.date_format(t, "SSS").cast("int"),
+    "nsecond": lambda t, d: F.date_format(t, "SSSSSS").cast("int") * 1000,
+    "am_pm": lambda t, d: F.when(F.hour(t) < 12, "am").otherwise("pm"),
+}
+
+
 def calendar_column(ds: Column, name: str) -> Column:
-    d = F.to_date(ds)
-    wday = F.weekday(d) + 1
-    qstart = F.make_date(F.year(d), (F.quarter(d) - 1) * 3 + 1, F.lit(1))
-    exprs = {
-        "index_num": F.unix_seconds(ds.cast("timestamp_ntz").cast("timestamp")),
-        "year": F.year(d),
-        "year_iso": F.extract(F.lit("YEAROFWEEK"), d),
-        "yearstart": _flag((F.month(d) == 1) & (F.dayofmonth(d) == 1)),
-        "yearend": _flag((F.month(d) == 12) & (F.dayofmonth(d) == 31)),
-        "leapyear": _flag(F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31))) == 366),
-        "half": F.when(F.month(d) <= 6, 1).otherwise(2),
-        "quarter": F.quarter(d),
-        "quarteryear": F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string")),
-        "quarterstart": _flag(d == qstart),
-        "quarterend": _flag(d == F.date_sub(F.add_months(qstart, 3), 1)),
-        "month": F.month(d),
-        "month_lbl": F.date_format(d, "MMMM"),
-        "monthstart": _flag(F.dayofmonth(d) == 1),
-        "monthend": _flag(d == F.last_day(d)),
-        "yweek": F.weekofyear(d),
-        "mweek": F.floor((F.dayofmonth(d) - 1) / 7).cast("int") + 1,
-        "wday": wday,
-        "wday_lbl": F.date_format(d, "EEEE"),
-        "mday": F.dayofmonth(d),
-        "qday": F.datediff(d, qstart) + 1,
-        "yday": F.dayofyear(d),
-        "weekend": _flag(wday >= 6),
-        "week": F.weekofyear(d),
-        "hour": F.hour(ds),
-        "minute": F.minute(ds),
-        "second": F.second(ds),
-        "msecond": (F.date_format(ds, "SSS")).cast("int"),
-        "nsecond": (F.date_format(ds, "SSSSSS").cast("int") * 1000),
-        "am_pm": F.when(F.hour(ds) < 12, "am").otherwise("pm"),
-    }
-    if name not in exprs:
+    if name not in FEATURES:
         raise ValueError(f"unknown calendar feature {name}")
-    return exprs[name]
+    return FEATURES[name](ds, F.to_date(ds))
 
 
 def augment_timeseries_signature(df: DataFrame, time_col: str = "ds", features: Sequence[str] = SIGNATURE,
@@ -78,10 +90,13 @@ def one_hot(df: DataFrame, col: str, levels: Sequence[str] | None = None, drop_f
             prefix: str | None = None) -> DataFrame:
     """0/1 indicator per level (sorted); ``drop_first`` drops the first level.
 
-    Without ``levels`` the distinct levels are read first; use it only for low-cardinality
-    columns (the level list is a driver-side column list)."""
+    Without ``levels`` the distinct levels are read first; they become columns, so more
+    than ``MAX_LEVELS`` of them are an error."""
     if levels is None:
-        levels = [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
+        levels = [r[0] for r in df.select(col).distinct().limit(MAX_LEVELS + 1).collect()]
+        if len(levels) > MAX_LEVELS:
+            raise ValueError(f"{col} has more than {MAX_LEVELS} levels; pass levels")
+        levels = [x for x in levels if x is not None]
     levels = sorted(str(x) for x in levels)
     if drop_first:
         levels = levels[1:]

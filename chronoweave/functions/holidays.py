@@ -56,17 +56,13 @@ def holiday_table(years: DataFrame) -> DataFrame:
     return years.select(F.inline(F.array(*items))).where(F.col("holiday_date").isNotNull())
 
 
-YEARS = (1900, 2100)
-
-
-def augment_holiday_signature(df: DataFrame, time_col: str = "ds", years: tuple[int, int] = YEARS) -> DataFrame:
+def augment_holiday_signature(df: DataFrame, time_col: str = "ds") -> DataFrame:
     """``is_holiday``, ``before_holiday``, ``after_holiday``, ``holiday_name``.
 
-    The calendar covers the fixed year range ``years`` (a few thousand rows whatever the
-    data size), so it is broadcast and does not re-read the input to find its span."""
+    The calendar covers the years that occur in the data and their neighbours: at most a
+    dozen rows for each distinct year, so it is broadcast whatever the data size."""
     d = F.to_date(F.col(time_col))
-    spark = df.sparkSession
-    yrs = spark.range(years[0], years[1] + 1, 1, 1).select(F.col("id").cast("int").alias("year"))
+    yrs = df.select(F.explode(F.array(F.year(d) - 1, F.year(d), F.year(d) + 1)).alias("year")).where("year is not null").distinct()
     hol = holiday_table(yrs)
     # one small table: each holiday marks its own day, the day before and the day after
     marks = hol.select(F.explode(F.array(

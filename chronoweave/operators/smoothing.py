@@ -29,8 +29,14 @@ CROSTON_GRID = [round(0.1 + 0.01 * i, 2) for i in range(21)]     # 0.10 .. 0.30
 def _positions(df: DataFrame, keys: list[str], freq: str | None = None) -> DataFrame:
     """Add ``_pos``, ``_n`` (rows in the key), ``_T`` (last time) and ``_r`` = rows after
     this one.  On a regular grid (``freq``) positions are epoch steps and ``_r`` is the
-    step distance to ``_T``: one small aggregate and join, no ranking shuffle."""
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(DS).alias("_T"))
+    step distance to ``_T``: one small aggregate and join, no ranking shuffle.  A key whose
+    rows do not fill its grid is an error (pad it first): steps would not count rows."""
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(DS).alias("_t0"), F.max(DS).alias("_T"))
+    if freq:
+        regular = steps_between(F.col("_t0"), F.col("_T"), freq) + 1 == F.col("_n")
+        gap = F.raise_error(F.concat(F.lit("irregular series, pad it by time first: "), F.to_json(F.struct(*keys)))).cast("long")
+        n = n.withColumn("_n", F.when(regular, F.col("_n")).otherwise(gap))
+    n = n.drop("_t0")
     if freq:
         return regular_positions(df, freq).join(n, keys).withColumn("_r", steps_between(F.col(DS), F.col("_T"), freq))
     return with_positions(df, keys).join(n, keys).withColumn("_r", F.col("_n") - 1 - F.col(POS))
@@ -193,8 +199,9 @@ def tsb(train: DataFrame, h: int, alpha_d: float = 0.2, alpha_p: float = 0.2, fr
 
 def _agg_level(train: DataFrame, keys: list[str], freq: str | None = None) -> DataFrame:
     """ADIDA aggregation level: mean demand interval rounded half-to-even."""
-    d = _demand_rows(train, keys, freq)
-    return d.groupBy(*keys).agg(F.bround(F.avg("interval"), 0).cast("int").alias("_k"))
+    d = _demand_rows(train, keys, freq).groupBy(*keys).agg(F.bround(F.avg("interval"), 0).cast("int").alias("_k"))
+    # a series without demand has level 1 (its sums are zero at any level)
+    return train.select(*keys).distinct().join(d, keys, "left").withColumn("_k", F.coalesce("_k", F.lit(1)))
 
 
 def adida(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str] = ID,
@@ -212,16 +219,18 @@ def adida(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str
     # bucket series: dense positions 0..nb-1
     bp = b.withColumn(POS, F.col("_bk").cast("long")).withColumn("_r", F.col("_n") - 1 - F.col(POS))
     lv = best_alpha(ses_sse(bp, keys, grid), keys).drop("_T")
-    base = train.groupBy(*keys).agg(F.max(DS).alias("_T")).join(lv, keys).join(k, keys)
+    # a series shorter than its level has no bucket and a NULL forecast
+    base = train.groupBy(*keys).agg(F.max(DS).alias("_T")).join(lv, keys, "left").join(k, keys)
     return _emit(base, keys, h, freq, name, F.col("level") / F.col("_k"))
 
 
 def imapa(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str] = ID,
-          grid: Sequence[float] = ALPHA_GRID, max_level: int = 12) -> DataFrame:
-    """M23 IMAPA: mean of the ADIDA forecasts at every level 1..k (k = mean interval)."""
+          grid: Sequence[float] = ALPHA_GRID) -> DataFrame:
+    """M23 IMAPA: mean of the ADIDA forecasts at every level 1..k (k = mean interval).  A
+    series without demand forecasts 0."""
     keys = _keys(id_cols)
     k = _agg_level(train, keys, freq)
-    lv = k.select(*keys, F.explode(F.sequence(F.lit(1), F.least(F.greatest(F.col("_k"), F.lit(1)), F.lit(max_level)))).alias("_k"))
+    lv = k.select(*keys, F.explode(F.sequence(F.lit(1), F.greatest(F.col("_k"), F.lit(1)))).alias("_k"))
     lv = lv.withColumn("_lvl", F.col("_k"))
     fc = adida(train.join(lv.select(*keys, "_lvl"), keys), h, freq, [*keys, "_lvl"], grid,
                levels=lv, name="IMAPA")

@@ -23,6 +23,7 @@ from chronoweave.operators.smoothing import _positions
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans.series import _keys
 
+#: powers tabulated on the driver at most; a form that converges later is refused, not cut
 MAX_POWERS = 50_000
 
 
@@ -70,9 +71,9 @@ def power_tables(Fm: np.ndarray, g: np.ndarray) -> tuple[list[list[float]], list
         pw.append(P.reshape(-1).tolist())
         nxt = Fm @ P
         if np.abs(nxt - P).max() < 1e-15 * max(1.0, np.abs(P).max()):  # floating-point noise floor
-            break
+            return wg, pw
         P = nxt
-    return wg, pw
+    raise ValueError(f"the powers of this form have not converged after {MAX_POWERS} steps; raise alpha, beta or gamma")
 
 
 def ets_grid(train: DataFrame, h: int, candidates: dict[str, dict], season: int = 7, freq: str = "D",

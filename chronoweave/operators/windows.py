@@ -164,14 +164,16 @@ def augment_ewm(df: DataFrame, value_col: str = Y, alphas: Sequence[float] = (0.
                 freq: str | None = None, id_cols: str | Sequence[str] = ID, block_rows: int = DEFAULT_BLOCK_ROWS,
                 digits: int | None = None) -> DataFrame:
     """pandas ``ewm(alpha, adjust=True).mean()``:
-    ``sum_j (1-a)^(t-j) y_j / sum_j (1-a)^(t-j)`` (the denominator is closed form)."""
+    ``sum_j (1-a)^(t-j) y_j / sum_j (1-a)^(t-j)`` over the rows ``j`` that have a value; NULL
+    before the first value, carried over later NULLs."""
     keys = _keys(id_cols)
     x, added = _positioned(df, keys, freq)
-    specs = {f"_num{i}": (F.col(value_col), 1.0 - a) for i, a in enumerate(alphas)}
-    specs.update({f"_den{i}": (F.lit(1.0), 1.0 - a) for i, a in enumerate(alphas)})
+    there = F.when(F.col(value_col).isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0))
+    specs = {f"_num{i}": (F.coalesce(F.col(value_col).cast("double"), F.lit(0.0)), 1.0 - a) for i, a in enumerate(alphas)}
+    specs.update({f"_den{i}": (there, 1.0 - a) for i, a in enumerate(alphas)})
     x = decay_scan(x, specs, id_cols=keys, block_rows=block_rows)
     for i, a in enumerate(alphas):
-        v = F.col(f"_num{i}") / F.col(f"_den{i}")
+        v = F.when(F.col(f"_den{i}") > 0, F.col(f"_num{i}") / F.col(f"_den{i}"))
         x = x.withColumn(f"{value_col}_ewm_mean_alpha_{tag(a)}", F.round(v, digits) if digits is not None else v).drop(f"_num{i}", f"_den{i}")
     return _finish(x, added)
 

@@ -50,7 +50,7 @@ def d04m(spark, sf):
 
 @register("D05_weekly_mean_std_median", """
 select date_trunc('week', l_shipdate) as ds, round(avg(l_quantity), 6) as l_quantity_mean,
-       round(stddev_samp(l_quantity), 6) as l_quantity_std, round(quantile_disc(l_quantity, 0.5), 6) as l_quantity_median
+       round(stddev_samp(l_quantity), 6) as l_quantity_std, round(quantile_cont(l_quantity, 0.5), 6) as l_quantity_median
 from lineitem group by 1""", ids=("D05",))
 def d05(spark, sf):
     return agg.summarize_by_time(read_table(spark, sf, "lineitem"), "l_shipdate", "l_quantity", "W",
@@ -96,8 +96,8 @@ def d09(spark, sf):
 
 
 @register("D10_boxplot_monthly", cte(p=padded(ORDERS_DAILY)) + """,
-s as (select unique_id, date_trunc('month', ds) as ds, min(y) as ymin, quantile_disc(y, 0.25) as q1,
-             quantile_disc(y, 0.5) as median, quantile_disc(y, 0.75) as q3, max(y) as ymax
+s as (select unique_id, date_trunc('month', ds) as ds, min(y) as ymin, quantile_cont(y, 0.25) as q1,
+             quantile_cont(y, 0.5) as median, quantile_cont(y, 0.75) as q3, max(y) as ymax
       from p group by 1, 2),
 o as (select s.unique_id, s.ds, count(*) as n_outliers from p join s
         on p.unique_id = s.unique_id and date_trunc('month', p.ds) = s.ds
@@ -111,8 +111,8 @@ def d10(spark, sf):
 @register("D11_seasonal_diagnostics", cte(h=EVENTS_HOURLY) + """,
 l as (select unique_id, 'hour' as feature, hour(ds)::int as level, y from h
       union all select unique_id, 'wday', isodow(ds)::int, y from h)
-select unique_id, feature, level, count(*) as n, quantile_disc(y, 0.25) as q1, quantile_disc(y, 0.5) as median,
-       quantile_disc(y, 0.75) as q3, round(avg(y), 6) as mean
+select unique_id, feature, level, count(*) as n, quantile_cont(y, 0.25) as q1, quantile_cont(y, 0.5) as median,
+       quantile_cont(y, 0.75) as q3, round(avg(y), 6) as mean
 from l group by 1, 2, 3""", ids=("D11",))
 def d11(spark, sf):
     return agg.seasonal_diagnostics(panels.events_hourly(spark, sf), Y, ("hour", "wday"))

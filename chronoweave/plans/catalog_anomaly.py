@@ -13,7 +13,7 @@ P = cte(p=padded(ORDERS_DAILY))
 W = "over (partition by unique_id order by ds)"
 
 FENCE = """,
-q as (select unique_id, quantile_disc(remainder, 0.25) as q1, quantile_disc(remainder, 0.75) as q3, count(remainder) as n from d group by 1),
+q as (select unique_id, quantile_cont(remainder, 0.25) as q1, quantile_cont(remainder, 0.75) as q3, count(remainder) as n from d group by 1),
 f as (select d.*, q1 - 3.0 * (q3 - q1) as l1, q3 + 3.0 * (q3 - q1) as l2, n from d join q using (unique_id)),
 g as (select *, greatest(remainder - l2, l1 - remainder, 0) as dist from f),
 r as (select unique_id, ds, row_number() over (partition by unique_id order by dist desc, ds) as rk from g where dist > 0),
@@ -27,7 +27,7 @@ from a"""
 TWITTER = P + f""",
 t as (select *, row_number() {W} - 1 as pos,
         median(y) over (partition by unique_id order by ds rows between 45 preceding and 45 following) as trend from p),
-s as (select unique_id, pos % 7 as ph, quantile_disc(y - trend, 0.5) as season from t group by 1, 2),
+s as (select unique_id, pos % 7 as ph, quantile_cont(y - trend, 0.5) as season from t group by 1, 2),
 d as (select t.*, s.season, y - trend - s.season as remainder from t join s on t.unique_id = s.unique_id and t.pos % 7 = s.ph)"""
 
 CLASSICAL = P + f""",
@@ -50,7 +50,7 @@ def j02(spark, sf):
 
 
 CLEAN = CLASSICAL + """,
-q as (select unique_id, quantile_disc(remainder, 0.25) as q1, quantile_disc(remainder, 0.75) as q3 from d group by 1),
+q as (select unique_id, quantile_cont(remainder, 0.25) as q1, quantile_cont(remainder, 0.75) as q3 from d group by 1),
 o as (select d.unique_id, d.ds, d.y as orig, coalesce(remainder < q1 - 3.0 * (q3 - q1) or remainder > q3 + 3.0 * (q3 - q1), false)::int as outlier
       from d join q using (unique_id)),
 m as (select unique_id, ds, orig, outlier, case when outlier = 1 then null else orig end as v from o),

@@ -23,7 +23,7 @@ def padded_daily(spark, sf, cols=(Y,)):
 @register("A06_series_diagnostics", cte(d=ORDERS_DAILY) + f""",
 g as (select unique_id, ds, datediff('day', lag(ds) {W}, ds) as gap from d)
 select unique_id, count(*) as n, min(ds) as start, max(ds) as "end", min(gap) as gap_min,
-       quantile_disc(gap, 0.5) as gap_median, max(gap) as gap_max from g group by 1""", ids=("A06",))
+       quantile_cont(gap, 0.5) as gap_median, max(gap) as gap_max from g group by 1""", ids=("A06",))
 def a06(spark, sf):
     return dg.series_diagnostics(panels.orders_daily(spark, sf))
 

@@ -121,7 +121,7 @@ def _bspline_sql(n_inner: int, degree: int) -> str:
 
 
 def _knots_sql(n_inner: int, degree: int, src: str, col: str) -> str:
-    qs = [f"quantile_disc({col}, {(i + 1) / (n_inner + 1)!r})::double" for i in range(n_inner)]
+    qs = [f"quantile_cont({col}, {(i + 1) / (n_inner + 1)!r})::double" for i in range(n_inner)]
     ts = [f"min({col})::double"] * (degree + 1) + qs + [f"max({col})::double"] * (degree + 1)
     return "select " + ", ".join(f"{v} as t{i + 1}" for i, v in enumerate(ts)) + f" from {src}"
 
@@ -138,7 +138,7 @@ def h05(spark, sf):
 def _ns_sql(deg_free: int, src: str, col: str) -> str:
     n_inner = deg_free - 1
     K = n_inner + 2
-    qs = [f"quantile_disc({col}, {(i + 1) / (n_inner + 1)!r})::double" for i in range(n_inner)]
+    qs = [f"quantile_cont({col}, {(i + 1) / (n_inner + 1)!r})::double" for i in range(n_inner)]
     ks = [f"min({col})::double"] + qs + [f"max({col})::double"]
     kn = "select " + ", ".join(f"{v} as z{i}" for i, v in enumerate(ks)) + f" from {src}"
     x = f"(({col}::double - k.z0) / (k.z{K-1} - k.z0))"

@@ -25,7 +25,7 @@ def future_fc(spark, sf):
 
 
 @register("L01_conformal_error", cte(**CV, **FUT) + """,
-q as (select unique_id, model, step, quantile_disc(abs(y_hat - y), 0.8) as q80, quantile_disc(abs(y_hat - y), 0.95) as q95 from cv group by 1, 2, 3)
+q as (select unique_id, model, step, quantile_cont(abs(y_hat - y), 0.8) as q80, quantile_cont(abs(y_hat - y), 0.95) as q95 from cv group by 1, 2, 3)
 select f.unique_id, f.ds, f.step, f.model, round(f.y_hat, 6) as y_hat,
        round(f.y_hat - q80, 6) as lo_80, round(f.y_hat + q80, 6) as hi_80, round(f.y_hat - q95, 6) as lo_95, round(f.y_hat + q95, 6) as hi_95
 from fut f left join q using (unique_id, model, step)""", ids=("L01", "L05", "M26"))
@@ -35,8 +35,8 @@ def l01(spark, sf):
 
 @register("L02_conformal_distribution", cte(**CV, **FUT) + """,
 d as (select unique_id, model, step, abs(y_hat - y) as d from cv union all select unique_id, model, step, -abs(y_hat - y) from cv),
-q as (select unique_id, model, step, quantile_disc(d, 0.1) as l80, quantile_disc(d, 0.9) as h80,
-             quantile_disc(d, 0.025) as l95, quantile_disc(d, 0.975) as h95 from d group by 1, 2, 3)
+q as (select unique_id, model, step, quantile_cont(d, 0.1) as l80, quantile_cont(d, 0.9) as h80,
+             quantile_cont(d, 0.025) as l95, quantile_cont(d, 0.975) as h95 from d group by 1, 2, 3)
 select f.unique_id, f.ds, f.step, f.model, round(f.y_hat, 6) as y_hat,
        round(f.y_hat + l80, 6) as lo_80, round(f.y_hat + h80, 6) as hi_80, round(f.y_hat + l95, 6) as lo_95, round(f.y_hat + h95, 6) as hi_95
 from fut f left join q using (unique_id, model, step)""", ids=("L02",))

@@ -97,7 +97,7 @@ def halo_window(df: DataFrame, back: int, ahead: int, build: Callable[[WindowSpe
     off = F.col(pos_col) - own * L
     targets = F.array(own,
                       F.when(off >= L - back, own + 1) if back > 0 else F.lit(None).cast("long"),
-                      F.when((off < ahead) & (own > 0), own - 1) if ahead > 0 else F.lit(None).cast("long"))
+                      F.when(off < ahead, own - 1) if ahead > 0 else F.lit(None).cast("long"))
     x = (df.withColumn("_own", own)
            .withColumn("_blk", F.explode(F.filter(targets, lambda t: t.isNotNull()))))
     w = Window.partitionBy(*keys, "_blk").orderBy(pos_col)

@@ -35,7 +35,7 @@ EVENT_CALENDAR = """
 select distinct date_trunc('day', ts) as ds, 1 as event
 from events
 where event_type = 'signup'
-  and value > (select quantile_disc(value, 0.99) from events where event_type = 'signup')"""
+  and value > (select quantile_cont(value, 0.99) from events where event_type = 'signup')"""
 
 
 def padded(panel_sql: str, step: str = "1 day", fill: str = "0", cols: str = "y") -> str:

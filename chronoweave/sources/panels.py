@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoweave.functions.aggs import global_quantiles
+
 from chronoweave.panel import DS, ID, Y, as_ntz
 from chronoweave.sources.tables import read_table
 
@@ -67,11 +69,9 @@ def customer_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_calendar(spark: SparkSession, sf_dir: str, q: float = 0.99) -> DataFrame:
     """Days holding a ``signup`` event whose value exceeds the global q-quantile.
 
-    The threshold is a mergeable quantile sketch (``percentile_approx``), so the global
-    aggregate is partial in every task; it returns the exact discrete quantile while
-    the number of signup rows stays under the sketch accuracy (10^4).
+    The threshold is the exact interpolated quantile of all signup values.
     """
     e = read_table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    thr = e.agg(F.percentile_approx("value", q, 10000)).scalar()
+    thr = F.lit(global_quantiles(e, "value", [q])[0])
     return (e.where(F.col("value") > thr)
              .select(day(F.col("ts")).alias(DS)).distinct().withColumn("event", F.lit(1)))
