@@ -10,7 +10,7 @@ over the last ``max(lags)`` values (a bounded tail, never the series).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +78,27 @@ def recursive_forecast(train: DataFrame, coefs: DataFrame, lags: Sequence[int],
     return out.select(*keys, add_steps(F.col("_T"), F.col("_i") + 1, freq).alias(DS), F.lit(name).alias(MODEL), YHAT)
 
 
+def recursive_apply(train: DataFrame, h: int, tail: int, fn: Callable[[Column], Column], freq: str = "D",
+                    id_cols: str | Sequence[str] = ID, name: str = "user") -> DataFrame:
+    """Forecast step by step with a user function of the last values.
+
+    ``fn`` maps the array of the last ``tail`` values (oldest first, predictions included) to
+    the next one.  Only that many values per series are kept, so a series is never gathered;
+    a series with fewer values has a NULL forecast."""
+    keys = _keys(id_cols)
+    last = train.groupBy(*keys).agg(F.max(DS).alias("_T"))
+    hist = (train.join(last, keys).where(steps_between(F.col(DS), F.col("_T"), freq) < tail)
+            .groupBy(*keys).agg(F.max("_T").alias("_T"),
+                                F.transform(F.array_sort(F.collect_list(F.struct(DS, Y))), lambda s: s[Y].cast("double")).alias("_hist")))
+
+    def step(acc: Column, _s: Column) -> Column:
+        return F.concat(acc, F.array(F.when(F.size(acc) >= tail, fn(F.slice(acc, -tail, tail)))))
+
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(h)), F.col("_hist"), step)
+    out = hist.select(*keys, "_T", F.posexplode(F.slice(path, -h, h)).alias("_i", YHAT))
+    return out.select(*keys, add_steps(F.col("_T"), F.col("_i") + 1, freq).alias(DS), F.lit(name).alias(MODEL), YHAT)
+
+
 def ar(train: DataFrame, h: int, lags: Sequence[int] = (1, 7, 14, 30), freq: str = "D",
        id_cols: str | Sequence[str] = ID) -> DataFrame:
     coefs, _ = ar_fit(train, lags, freq, id_cols)

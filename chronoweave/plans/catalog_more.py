@@ -50,7 +50,7 @@ def i09(spark, sf):
     return labels.join(feats, ID, "right").select(ID, "cluster", *[F.round(c, 6).alias(c) for c in cols])
 
 
-@register("I07_residual_diagnostics", None, ids=("I07", "K18"))
+@register("I07_residual_diagnostics", None, ids=("I07",))
 def i07(spark, sf):
     """Residual table of the holdout forecasts (actual, prediction, residual) and the
     residual ACF per series and model."""

