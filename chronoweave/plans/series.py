@@ -130,22 +130,17 @@ def decay_scan(df: DataFrame, value: Column | dict[str, tuple[Column, float]], b
     x = (x.withColumn("_sb", F.floor(F.col(pos_col) / L))
           .withColumn("_so", F.col(pos_col) - F.col("_sb") * L))
     names = list(specs)
-    for i, o in enumerate(names):
-        v, b = specs[o]
-        x = x.withColumn(f"_sw{i}", F.pow(F.lit(b), -F.col("_so")) * v)
+    x = x.withColumns({f"_sw{i}": F.pow(F.lit(specs[o][1]), -F.col("_so")) * specs[o][0] for i, o in enumerate(names)})
     blocks = x.groupBy(*keys, "_sb").agg(*[F.sum(f"_sw{i}").alias(f"_sT{i}") for i in range(len(names))])
-    wb = Window.partitionBy(*keys).orderBy("_sb")
+    # one SQL text per carry: building the same sum from column objects costs thousands of
+    # driver calls for a grid of parameters
+    over = f"over (partition by {', '.join(f'`{k}`' for k in keys)} order by _sb)"
     carries = []
     for i, o in enumerate(names):
         b = specs[o][1]
         k_max = 1 + math.ceil(83.0 / (L * lnbs[o]))
-        carry = F.lit(0.0)
-        for k in range(1, k_max + 1):
-            f = b ** (k * L)
-            if f == 0.0:
-                break
-            carry = carry + F.lit(f) * F.coalesce(F.lag(f"_sT{i}", k).over(wb), F.lit(0.0))
-        carries.append(carry.alias(f"_sS{i}"))
+        terms = [f"{f!r}D * coalesce(lag(_sT{i}, {k}) {over}, 0.0D)" for k in range(1, k_max + 1) if (f := b ** (k * L)) > 0.0]
+        carries.append(F.expr(" + ".join(["0.0D", *terms])).alias(f"_sS{i}"))
     blocks = blocks.select(*keys, "_sb", *carries)
     run = Window.partitionBy(*keys, "_sb").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, 0)
     y = x.join(blocks, [*keys, "_sb"]).withColumns({
