@@ -64,6 +64,16 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of at most ``rows`` rows, so the Python objects made of one part are
+    gone before the next; a worker's memory does not depend on the session's batch size."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+        del b
+        pa.default_memory_pool().release_unused()
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Re-cut a partition sorted by ``key`` into tables that hold whole groups only."""
     held: list[pa.RecordBatch] = []

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.llm.common import materialize, runs, small_side, text_column, whole_groups
+from chronoweave.llm.common import materialize, runs, slices, small_side, text_column, whole_groups
 
 SHINGLE = 5
 POSITIONS = 64  # signature positions that paths are chosen from; as many again are only compared
@@ -41,6 +41,7 @@ _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB1
 _RUN_BITS = 6
 _SEEDS = np.random.default_rng(9).integers(1, 1 << 62, 2 * POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BROADCAST_ROWS = 200_000
+NO_NODE = (1 << 63) - 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,7 +56,7 @@ class WordHashes(dict):
     """64-bit hashes of words, kept for the words seen lately."""
 
     def __missing__(self, w: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[w] = h = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
         return h
@@ -88,7 +89,7 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         n, sig = [], []
         for t in text_column(b, "text"):
             s = shingles(t)
@@ -179,7 +180,8 @@ def leaves(reps: DataFrame, n_runs: int, threshold: float, limit: int, depth: in
     out = None
     members = materialize(reps.select("rid", "sig").mapInArrow(_roots(n_runs, threshold), "node long, rid long"), "path-1")
     for level in range(1, depth + 1):
-        counts = members.groupBy("node").count().where("count > 1")
+        # a table of its own, so that the join's large nodes can be split over tasks
+        counts = materialize(members.groupBy("node").count().where("count > 1"), f"path-counts-{level}")
         sized = materialize(members.join(counts, "node"), f"path-sized-{level}")
         done = sized.where(F.col("count") <= limit).select("node", "rid")
         out = done if out is None else out.unionByName(done)
@@ -194,7 +196,7 @@ def leaves(reps: DataFrame, n_runs: int, threshold: float, limit: int, depth: in
     raise AssertionError("unreachable")
 
 
-def close_pairs(node: np.ndarray, n: np.ndarray, sketch: np.ndarray, nodes: list, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def close_pairs(node: np.ndarray, n: np.ndarray, sketch: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of one node, sorted by (node, n), that pass the size bound and the
     sketch, and for which this node is the smallest they share."""
     size = 2 * POSITIONS
@@ -221,22 +223,35 @@ def close_pairs(node: np.ndarray, n: np.ndarray, sketch: np.ndarray, nodes: list
         lag += 1
     i = np.concatenate(left) if left else np.zeros(0, np.int64)
     j = np.concatenate(right) if right else np.zeros(0, np.int64)
-    sets: dict[int, frozenset] = {}
+    # a smaller node that both have?  Similar rows share most nodes, so few pairs stay live
+    here = np.ones(len(i), bool)
+    live = np.arange(len(i))
+    for c in range(nodes.shape[1]):
+        smaller = nodes[i[live], c]
+        live = live[smaller < node[i[live]]]
+        for at in range(0, len(live), 50_000):
+            part = live[at:at + 50_000]
+            here[part] = ~(nodes[j[part]] == nodes[i[part], c][:, None]).any(axis=1)
+        live = live[here[live]]
+        if not len(live):
+            break
+    return i[here], j[here]
 
-    def of(x: int) -> frozenset:
-        if x not in sets:
-            sets[x] = frozenset(nodes[x])
-        return sets[x]
 
-    here = np.fromiter((min(of(a) & of(b)) == node[a] for a, b in zip(i.tolist(), j.tolist())), bool, len(i))
-    return i[here], j[here]
+def _padded(lists: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Lists of node names as sorted rows of equal length."""
+    flat = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    size = flat.value_lengths().to_numpy()
+    out = np.full((len(size), int(size.max(initial=1))), NO_NODE)
+    out[np.arange(out.shape[1]) < size[:, None]] = flat.flatten().to_numpy()
+    return np.sort(out, axis=1)
 
 
-def _sorted_rows(t: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, list]:
+def _sorted_rows(t: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     o = np.lexsort((t.column("rid").to_numpy(), t.column("n").to_numpy(), t.column("node").to_numpy()))
     t = t.take(pa.array(o))
     sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(t.num_rows, 2 * POSITIONS)
-    return t, t.column("node").to_numpy(), t.column("n").to_numpy(), sketch, t.column("nodes").to_pylist()
+    return t, t.column("node").to_numpy(), t.column("n").to_numpy(), sketch, _padded(t.column("nodes"))
 
 
 def _candidates(threshold: float):
@@ -251,31 +266,65 @@ def _candidates(threshold: float):
     return run
 
 
+def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Exact sizes of the intersections of the pairs of sets."""
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    if not len(i):
+        return np.zeros(0, np.int64)
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    local = np.split(flat, np.cumsum(size)[:-1])
+    mark = np.zeros(int(flat.max(initial=0)) + 1, bool)
+    out = np.zeros(len(i), np.int64)
+    order = np.argsort(i, kind="stable")
+    s, e = runs(i[order])
+    for x, y in zip(s.tolist(), e.tolist()):
+        own = local[i[order[x]]]
+        mark[own] = True
+        for at in range(x, y, 256):
+            part = order[at:min(y, at + 256)]
+            others = j[part]
+            first = np.concatenate([[0], np.cumsum(size[others])[:-1]])
+            out[part] = np.add.reduceat(mark[np.concatenate([local[k] for k in others.tolist()])].astype(np.int64), first)
+        mark[own] = False
+    return out
+
+
+def _runs_met(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many runs each pair has a leaf in common."""
+    met = np.zeros(len(i), np.uint64)
+    for at in range(0, len(i), 50_000):
+        a, b = nodes[i[at:at + 50_000]], nodes[j[at:at + 50_000]]
+        for c in range(nodes.shape[1]):
+            both = (b == a[:, c, None]).any(axis=1) & (a[:, c] != NO_NODE)
+            run = a[:, c].view(np.uint64) & np.uint64((1 << _RUN_BITS) - 1)
+            met[at:at + 50_000] |= both.astype(np.uint64) << run
+    return np.bitwise_count(met).astype(np.int64)
+
+
 def _verify(threshold: float, emit_pairs: bool):
     """Exact verification: kind 0 links of a set in this leaf (value: how many), kind 1 an
     edge to the smallest set it is connected with in this leaf, kind 2 pairs (if asked for;
     value: shared shingles), kind 3 how many links were met in ``other`` runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = (1 << _RUN_BITS) - 1
         for t in whole_groups(batches, "node"):
             t, node, n, sketch, nodes = _sorted_rows(t)
             i, j = close_pairs(node, n, sketch, nodes, threshold)
             rid = t.column("rid").to_numpy()
-            raw = t.column("tokens").to_pylist()
-            sets = [np.frombuffer(x, np.uint64) for x in raw]
+            sets = [np.frombuffer(x, np.uint64) for x in t.column("tokens").to_pylist()]
+            both = _overlaps(sets, i, j)
+            size = np.array([len(x) for x in sets], dtype=np.int64)
+            linked = both + 1e-9 >= threshold * (size[i] + size[j] - both)
+            i, j, both = i[linked], j[linked], both[linked]
             links: dict[int, int] = {}
             parent: dict[int, int] = {}
-            pairs, met = [], {}
+            pairs = []
 
             def find(x: int) -> int:
                 while parent.setdefault(x, x) != x:
                     parent[x] = x = parent[parent[x]]
                 return x
 
-            for a, b in zip(i.tolist(), j.tolist()):
-                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if both + 1e-9 < threshold * (len(sets[a]) + len(sets[b]) - both):
-                    continue
+            for a, b, shared in zip(i.tolist(), j.tolist(), both.tolist()):
                 for x in (a, b):
                     links[x] = links.get(x, 0) + 1
                 ra, rb = find(a), find(b)
@@ -284,11 +333,9 @@ def _verify(threshold: float, emit_pairs: bool):
                         ra, rb = rb, ra
                     parent[rb] = ra
                 if emit_pairs:
-                    pairs.append((2, rid[a], rid[b], both))
-                k = len({x & mask for x in set(nodes[a]) & set(nodes[b])})
-                met[k] = met.get(k, 0) + 1
+                    pairs.append((2, rid[a], rid[b], shared))
             out = [(0, rid[x], 0, c) for x, c in links.items()] + [(1, rid[x], rid[find(x)], 0) for x in links if find(x) != x]
-            out += pairs + [(3, 0, k, c) for k, c in met.items()]
+            out += pairs + [(3, 0, k, c) for k, c in enumerate(np.bincount(_runs_met(nodes, i, j)).tolist()) if c]
             if out:
                 cols = [np.array(c, np.int64) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "rid", "other", "value"])
@@ -296,7 +343,7 @@ def _verify(threshold: float, emit_pairs: bool):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         yield pa.RecordBatch.from_arrays(
             [b.column("rid"), pa.array([shingles(t).tobytes() for t in text_column(b, "text")], pa.binary())], names=["rid", "tokens"])
 
@@ -361,7 +408,7 @@ def classes(docs: DataFrame, threshold: float, recall: float, n_runs: int, max_r
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = 64,
-                    limit: int = 1024, depth: int = 12, id_col: str = "doc_id", text_col: str = "text",
+                    limit: int = 2048, depth: int = 12, id_col: str = "doc_id", text_col: str = "text",
                     emit_pairs: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """(id, class_id, copy_of, n_links) for every row of ``docs``.
 
@@ -386,7 +433,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = 64,
-                limit: int = 1024, depth: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                limit: int = 2048, depth: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) with one row of each class: the one with the smallest id.
 
     Texts that stand alone are read straight through; only rows of texts with several copies

@@ -111,6 +111,6 @@ def test_every_pair_is_counted_once():
     rng = np.random.default_rng(12)
     sketch = np.repeat(rng.integers(0, 255, (1, 128), dtype=np.uint8), 6, axis=0)
     node = np.array([1, 1, 1, 2, 2, 2])
-    nodes = [[1, 2]] * 6  # the same three sets meet in both nodes
+    nodes = np.array([[1, 2, J.NO_NODE]] * 6)  # the same three sets meet in both nodes
     i, j = J.close_pairs(node, np.full(6, 10), sketch, nodes, 0.8)
     assert sorted(zip(i.tolist(), j.tolist())) == [(0, 1), (0, 2), (1, 2)]
