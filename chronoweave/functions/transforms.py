@@ -151,3 +151,13 @@ def normalize_features(df: DataFrame, cols: Sequence[str], train: DataFrame) ->
                   *[F.stddev_samp(c).alias(f"_s_{i}") for i, c in enumerate(cols)])
     one = p.select(F.struct(*p.columns).alias("_p")).scalar()
     return df.withColumns({c: F.try_divide(F.col(c) - one[f"_m_{i}"], one[f"_s_{i}"]) for i, c in enumerate(cols)})
+
+
+def scaled_forecast(train: DataFrame, h: int, model: Callable, freq: str = "D", value_col: str = Y) -> DataFrame:
+    """Fit ``model`` on per-series standardised values and invert its forecasts with the
+    same parameters.  A constant series (no scale) is centred only."""
+    scale = F.when(F.col("stdev_x") > 0, F.col("stdev_x")).otherwise(F.lit(1.0))
+    p = train.groupBy(ID).agg(F.avg(value_col).alias("mean_x"), F.stddev_pop(value_col).alias("stdev_x")).withColumn("stdev_x", scale)
+    x = train.join(p, ID).withColumn(value_col, (F.col(value_col) - F.col("mean_x")) / F.col("stdev_x")).drop("mean_x", "stdev_x")
+    fc = model(x, h, freq=freq)
+    return fc.join(p, ID).withColumn("y_hat", inv_standardize(F.col("y_hat"), F.col("mean_x"), F.col("stdev_x"))).drop("mean_x", "stdev_x")

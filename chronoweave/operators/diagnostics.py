@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -209,3 +209,18 @@ def mstl(df: DataFrame, value_col: str = Y, periods: Sequence[int] = (7, 30), fr
     x = x.withColumn("remainder", F.col(value_col) - F.col("trend") - seas)
     x = x.drop(*[f"_adj{i}" for i in range(len(periods))])
     return x.withColumns({c: F.round(c, digits) for c in ["trend", "remainder", *[f"seasonal_{p}" for p in periods]]})
+
+
+def user_features(df: DataFrame, features: Mapping[str, Callable[[Column], Column]], value_col: str = Y,
+                  id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """User series features; each maps the value column to an aggregate, so all of them
+    are partial aggregates of one pass."""
+    return df.groupBy(*_keys(id_cols)).agg(*[fn(F.col(value_col)).alias(name) for name, fn in features.items()])
+
+
+def series_table(df: DataFrame, fit: Mapping[str, Column], rows: Callable[[Column], Column], id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """A per-series table function.  ``fit`` names the aggregates that stand for a fitted
+    series; ``rows`` maps their struct to an array of result rows."""
+    keys = _keys(id_cols)
+    s = df.groupBy(*keys).agg(*[c.alias(n) for n, c in fit.items()]).select(*keys, F.struct(*fit).alias("_s"))
+    return s.select(*keys, F.inline(rows(F.col("_s"))))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.aggs import quantile
 from chronoweave.operators.baselines import MODEL, YHAT
-from chronoweave.panel import DS, ID
+from chronoweave.panel import DS, ID, Y
 
 
 def ensemble_average(fc: DataFrame, kind: str = "mean", keys: Sequence[str] = (ID, DS), name: str | None = None,
@@ -59,3 +59,9 @@ def relabel(fc: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     for k, v in mapping.items():
         expr = F.when(F.col(MODEL) == k, F.lit(v)).otherwise(expr)
     return fc.withColumn(MODEL, expr)
+
+
+def out_of_fold(cv: DataFrame, models: Sequence[str]) -> DataFrame:
+    """The cross-validation frame with one column per model: ``(unique_id, cutoff, ds, y,
+    <model>...)``; the models are named, so the pivot needs no pass of its own."""
+    return cv.groupBy(ID, "cutoff", DS, Y).pivot(MODEL, list(models)).agg(F.first(YHAT))

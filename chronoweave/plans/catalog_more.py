@@ -80,7 +80,7 @@ def n06(spark, sf):
     return r6(fc)
 
 
-@register("O10_stacking_meta_learner", None, ids=("O09", "O10", "O11"))
+@register("O10_stacking_meta_learner", None, ids=("O10",))
 def o10(spark, sf):
     """O09 out-of-fold (backtest) predictions pivoted wide by model -> O10 linear
     meta-learner fitted on them -> O11 applied to the refit base forecasts."""
@@ -114,7 +114,7 @@ def param_grid(kind: str, space: dict, size: int, seed: int = 123) -> list[dict]
     raise ValueError(kind)
 
 
-@register("P02_grid_search_ses", None, ids=("P01", "P02", "P03", "P04", "C12", "U07"))
+@register("P02_grid_search_ses", None, ids=("P01", "P02", "C12"))
 def p02(spark, sf):
     """A Latin-hypercube grid of SES alphas evaluated over time-based backtest
     windows (sequential models use time CV only), ranked by mean RMSE; the whole grid x
