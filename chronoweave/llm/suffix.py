@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from chronoweave.llm.common import materialize, runs, whole_groups
 
 KMER = 32
-PIECE = 2_000_000  # windows hashed at a time; a longer text is hashed in pieces
-BATCH = 16_000_000  # bytes of text whose segments are pre-aggregated together
+PIECE = 1_000_000  # windows hashed at a time; a longer text is hashed in pieces
+BATCH = 8_000_000  # bytes of text whose segments are pre-aggregated together
 SUFFIX_BYTES = 1_000_000  # bytes of whole keys per suffix array
 END = 0xFF  # never occurs in UTF-8
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]  # odd multipliers
@@ -317,7 +317,7 @@ def _cut(length: int):
 
 def _compare(length: int):
     """Repeated windows among the segments of each key, as (did, alt, start, end)."""
-    def solve(key, parts, did, alt, start):
+    def solve(parts, did, alt, start):
         flags = repeated_windows(parts, did, start, length)
         out = []
         for j, f in enumerate(flags):
@@ -335,33 +335,43 @@ def _compare(length: int):
             held, at = 0, 0
             s, e = runs(key)
             for x, y in zip(s.tolist(), e.tolist()):
-                held += sum(map(len, data[x:y]))
-                if held >= SUFFIX_BYTES or y == len(key):
-                    yield solve(key[at:y], data[at:y], did[at:y], alt[at:y], start[at:y])
-                    held, at = 0, y
+                more = sum(map(len, data[x:y]))
+                if held and held + more > SUFFIX_BYTES:
+                    yield solve(data[at:x], did[at:x], alt[at:x], start[at:x])
+                    held, at = 0, x
+                held += more
+            yield solve(data[at:], did[at:], alt[at:], start[at:])
     return run
 
 
 def _windows(length: int):
     """Every window of a hot key's segments as a segment of its own, with a 128-bit hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes: list[bytes] = []
+        places: list[np.ndarray] = []
+
+        def rows() -> pa.RecordBatch:
+            h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            k, c = h[:, 0], h[:, 1]
+            d, a, s = np.concatenate(places).T
+            hashes.clear()
+            places.clear()
+            o, rep = later_ones(k, c, d, s)
+            to = np.where(rep, _mix((d[o] * 31 + s[o]).astype(np.uint64)).view(np.int64), k[o])
+            return _rows(_ROW, [to, c[o], d[o], a[o], s[o], np.ones(len(o), np.int64), np.zeros(len(o), bool), rep])
+
         for b in batches:
-            key, content, dids, alts, starts = [], [], [], [], []
             for i in range(b.num_rows):
                 data = b.column("bytes")[i].as_py()
                 did, alt = b.column("did")[i].as_py(), b.column("alt")[i].as_py()
                 for x in b.column("segs")[i].as_py():
-                    for p in range(x["start"], x["start"] + x["n"]):
-                        h = hashlib.blake2b(data[p:p + length], digest_size=16).digest()
-                        key.append(int.from_bytes(h[:8], "little", signed=True))
-                        content.append(int.from_bytes(h[8:], "little", signed=True))
-                        dids.append(did)
-                        alts.append(alt)
-                        starts.append(p)
-            k, c, d, a, s = (np.array(v, np.int64) for v in (key, content, dids, alts, starts))
-            o, rep = later_ones(k, c, d, s)
-            to = np.where(rep, _mix((d[o] * 31 + s[o]).astype(np.uint64)).view(np.int64), k[o])
-            yield _rows(_ROW, [to, c[o], d[o], a[o], s[o], np.ones(len(o), np.int64), np.zeros(len(o), bool), rep])
+                    at = np.arange(x["start"], x["start"] + x["n"])
+                    hashes += [hashlib.blake2b(data[p:p + length], digest_size=16).digest() for p in at.tolist()]
+                    places.append(np.stack([np.full(len(at), did), np.full(len(at), alt), at], axis=1))
+                    if len(hashes) >= 200_000:
+                        yield rows()
+        if hashes:
+            yield rows()
     return run
 
 
@@ -392,7 +402,7 @@ def _apply():
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", hot: int = 1000) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", hot: int = 10_000) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept binary) for every row.
 
     ``kept`` holds the remaining bytes.  A null text is the empty text; a null id comes before
@@ -402,9 +412,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     if length < KMER:
         raise ValueError(f"length must be at least {KMER}")
     text = F.coalesce(F.col(text_col), F.lit(""))
+    # where ids repeat, a hash of the text tells their rows apart
+    repeated = not docs.groupBy(id_col).count().where("count > 1").isEmpty()
     keyed = docs.select(F.col(id_col).cast("long").alias("id"),
                         F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("did"),
-                        F.pmod(F.xxhash64(text), F.lit(1 << 32)).alias("alt"), text.cast("binary").alias("bytes"))
+                        (F.pmod(F.xxhash64(text), F.lit(1 << 32)) if repeated else F.lit(0).cast("long")).alias("alt"), text.cast("binary").alias("bytes"))
     long_enough = F.octet_length("bytes") >= length
 
     def grouped(rows: DataFrame) -> DataFrame:
