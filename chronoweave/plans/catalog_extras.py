@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from chronoweave.functions import calendar, transforms
-from chronoweave.operators import aggregate, backtest, baselines, diagnostics, ensemble, metrics, ml, outliers, regression, search, smoothing
+from chronoweave.operators import aggregate, backtest, baselines, diagnostics, ensemble, metrics, ml, outliers, regression, search, smoothing, windows
 from chronoweave.operators.baselines import MODEL, YHAT
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans import workflow
@@ -245,3 +245,14 @@ def e08(spark, sf):
     tr, _ = holdout(spark, sf)
     scaled = lambda t, h, **kw: baselines.seasonal_naive(t, h, 7, **kw)
     return r6(transforms.scaled_forecast(tr, H, scaled, "D"))
+
+
+@register("F10_ewm_on_lagged_column", cte(p=padded(ORDERS_DAILY)) + """
+, l as (select unique_id, ds, y, lag(y, 56) over w as v, row_number() over w as i from p window w as (partition by unique_id order by ds))
+select a.unique_id, a.ds, any_value(a.y) as y, any_value(a.v) as y_lag_56,
+       round(sum(pow(0.9, a.i - b.i) * b.v) / sum(case when b.v is not null then pow(0.9, a.i - b.i) end), 6) as y_lag_56_ewm_mean_alpha_0_1,
+       round(sum(pow(0.7, a.i - b.i) * b.v) / sum(case when b.v is not null then pow(0.7, a.i - b.i) end), 6) as y_lag_56_ewm_mean_alpha_0_3
+from l a join l b on a.unique_id = b.unique_id and b.i between a.i - 400 and a.i group by a.unique_id, a.ds""", ids=("F10", "F08"))
+def f10_ewm(spark, sf):
+    x = windows.augment_lags(padded_daily(spark, sf).select(ID, DS, Y), Y, [56], freq="D")
+    return windows.augment_ewm(x, "y_lag_56", [0.1, 0.3], freq="D", digits=6)

@@ -1,6 +1,7 @@
 """Queries for the feature workflow (H11), global ML models (N01-N10), per-series
 regression and recursion (M07, M08, M19, M25, O01-O03)."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.operators import ml, regression, splits
@@ -17,12 +18,23 @@ def features(spark, sf):
     return workflow.feature_workflow(padded_daily(spark, sf), workflow.H, "D")
 
 
-def ml_split(spark, sf):
-    """Feature panel; the last 56 observed days of every series are the test rows.
+_PANELS: dict[tuple[str, str], DataFrame] = {}
+
+
+def feature_panel(spark, sf) -> DataFrame:
+    """The feature panel, stored once per session and table folder in the checkpoint folder:
+    iterative estimators pass over their input many times, and the global models of one
+    session share the panel instead of building it each."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PANELS:
+        _PANELS[key] = cut_lineage(features(spark, sf))
+    return _PANELS[key]
 
-    The feature panel is stored in the checkpoint folder first: iterative estimators
-    pass over their input many times and must not re-run the feature plan each time."""
-    f = cut_lineage(features(spark, sf))
+
+def ml_split(spark, sf):
+    """Train and test rows of the feature panel (the last 56 observed days of every series
+    are the test rows) and the names of its features."""
+    f = feature_panel(spark, sf)
     obs = f.where(F.col(Y).isNotNull())
     s = splits.time_series_split(obs, workflow.H, "D")
     feats = [c for c in workflow.feature_sets(f)["lag"] if c not in ("cutoff", "set")]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from chronoweave.panel import DS, ID
 
 POS = "_pos"
-DEFAULT_BLOCK_ROWS = 1 << 20
+DEFAULT_BLOCK_ROWS = 1 << 16
 DEFAULT_BUCKET_DAYS = 31
 
 
@@ -134,14 +134,16 @@ def decay_scan(df: DataFrame, value: Column | dict[str, tuple[Column, float]], b
     blocks = x.groupBy(*keys, "_sb").agg(*[F.sum(f"_sw{i}").alias(f"_sT{i}") for i in range(len(names))])
     # one SQL text per carry: building the same sum from column objects costs thousands of
     # driver calls for a grid of parameters
-    over = f"over (partition by {', '.join(f'`{k}`' for k in keys)} order by _sb)"
-    carries = []
+    over = f"over (partition by {', '.join(f'`{k}`' for k in keys)}, _blk order by _sb)"
+    carries, reach = {}, 1
     for i, o in enumerate(names):
         b = specs[o][1]
         k_max = 1 + math.ceil(83.0 / (L * lnbs[o]))
         terms = [f"{f!r}D * coalesce(lag(_sT{i}, {k}) {over}, 0.0D)" for k in range(1, k_max + 1) if (f := b ** (k * L)) > 0.0]
-        carries.append(F.expr(" + ".join(["0.0D", *terms])).alias(f"_sS{i}"))
-    blocks = blocks.select(*keys, "_sb", *carries)
+        carries[f"_sS{i}"] = F.expr(" + ".join(["0.0D", *terms]))
+        reach = max(reach, len(terms))
+    # the carry looks a few blocks back only, so the block table is split with a halo, too
+    blocks = halo_window(blocks, reach, 0, lambda w: carries, keys, "_sb").select(*keys, "_sb", *carries)
     run = Window.partitionBy(*keys, "_sb").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, 0)
     y = x.join(blocks, [*keys, "_sb"]).withColumns({
         o: F.pow(F.lit(specs[o][1]), F.col("_so")) * (F.col(f"_sS{i}") + F.sum(f"_sw{i}").over(run))
