@@ -23,11 +23,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from chronoweave.llm.common import text_column
+from chronoweave.llm.common import bounded_batches, slices, text_column
 
 #: Words kept with their counts by one Python worker; beyond that the cache starts anew
 #: (a word that is not in the cache is merged again, so the counts do not depend on it).
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 # Characters up to U+024F: letters, numbers and white space stated for the standard
 # library's matcher; texts with other characters use Unicode properties (regex module).
@@ -149,12 +149,12 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048, id_col: st
 
     A null text is the empty text (no tokens); ids may be null or repeat; an empty table
     gives an empty result.  A word of any length is merged in n log n steps."""
-    thin = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
+    thin = bounded_batches(docs).select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
     kind = thin.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = merger(vocabulary)
-        for b in batches:
+        for b in slices(batches):
             texts = text_column(b, "_text")
             n = [m.count(t) for t in texts]
             size = [len(t.encode("utf-8", "surrogatepass")) for t in texts]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -37,13 +38,27 @@ def shared_folder(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+#: bytes of an Arrow batch between Spark and Python workers; a batch of texts at Spark's default
+#: of 64 MB is held several times over on both sides
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches bounded (a smaller bound is left alone)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    if int(re.sub(r"[^0-9]", "", conf.get(key))) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut, the
     rows survive lost executors, and later steps read only the columns they use.  The
     files are deleted when the driver program ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/corpus-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    bounded_batches(df).write.parquet(path)
     if not _WRITTEN:
         atexit.register(_clean)
     _WRITTEN.append((spark, path))

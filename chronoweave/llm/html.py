@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.llm.common import text_column
+from chronoweave.llm.common import bounded_batches, slices, text_column
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
@@ -349,12 +349,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
 
     A null or empty page renders to the empty text; broken markup never fails; ids may be
     null or repeat; an empty table gives an empty result."""
-    thin = pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html"))
+    thin = bounded_batches(pages).select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html"))
     kind = thin.schema["_id"].dataType.simpleString()
     counts = ("n_chars", "n_lines", "n_tables", "n_list_items", "n_hidden")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts, cols = [], []
             for s in text_column(b, "_html"):
                 t, st = render(parse(s))

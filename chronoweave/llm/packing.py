@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.llm.common import materialize, text_column
+from chronoweave.llm.common import bounded_batches, materialize, slices, text_column
 
 _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 #: the byte-level pre-tokenizer's public pattern, a fixed value of the vocabulary
@@ -40,9 +40,8 @@ class Encoder:
     ids several times faster; all others through the tokenizers library itself."""
 
     def __init__(self, json_path: str, ranks_path: str | None):
-        from tokenizers import Tokenizer
-        self.full = Tokenizer.from_file(json_path)
-        self.fast = None
+        self.json_path = json_path
+        self.full = self.fast = None
         if ranks_path:
             import tiktoken
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks_path, "rb"))}
@@ -51,6 +50,9 @@ class Encoder:
     def ids(self, text: str) -> list[int]:
         if self.fast is not None and "<|" not in text and not _BEYOND_LATIN.search(text):
             return self.fast.encode_ordinary(text)
+        if self.full is None:  # loaded by the first text that needs it
+            from tokenizers import Tokenizer
+            self.full = Tokenizer.from_file(self.json_path)
         return self.full.encode(text, add_special_tokens=False).ids
 
 
@@ -63,12 +65,12 @@ def encoder(json_path: str, ranks_path: str | None) -> Encoder:
 def cut_pieces(docs: DataFrame, json_path: str, ranks_path: str | None = None, size: int = 1024, end_id: int = 2,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, piece, start, length, ids_crc32): the pieces of every document."""
-    thin = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    thin = bounded_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = thin.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(json_path, ranks_path)
-        for b in batches:
+        for b in slices(batches):
             row, piece, start, length, crc = [], [], [], [], []
             for i, t in enumerate(text_column(b, "_text")):
                 ids = np.array([*enc.ids(t), end_id], dtype="<u4")

@@ -29,8 +29,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from chronoweave.llm.common import materialize, small_side, text_column
+from chronoweave.llm.common import bounded_batches, materialize, slices, small_side, text_column
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -44,6 +45,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGITS = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"\w+")
+#: different words a worker counts before it passes the counts on
+COUNTED_WORDS = 150_000
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -130,21 +133,34 @@ _COLS = [c.split(" ")[0] for c in _SCAN.split(", ")]
 def scan(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """One pass over the texts: document rows (row_kind 0), words near mentions (1) and the
     word counts of each batch (2)."""
-    thin = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *row_key(id_col, text_col))
+    thin = bounded_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *row_key(id_col, text_col))
     kind = thin.schema["_id"].dataType.simpleString()
+    id_type = to_arrow_type(thin.schema["_id"].dataType)
+    types = {"base_sha256": pa.string(), "base_spans": pa.string(), "entity": pa.string(), "term": pa.string()}
+
+    def part(which: int, n: int, given: dict[str, pa.Array]) -> pa.RecordBatch:
+        cols = {"_id": pa.nulls(n, id_type), "row_kind": pa.array([which] * n, pa.int8())} | given
+        return pa.RecordBatch.from_arrays(
+            [cols[c] if c in cols else pa.nulls(n, types.get(c, pa.int64())) for c in ["_id", *_COLS]], names=["_id", *_COLS])
+
+    def counted(counts: Counter) -> pa.RecordBatch:
+        low: Counter = Counter()
+        for w, c in counts.items():
+            low[w.lower()] += c
+        counts.clear()
+        return part(2, len(low), {"term": pa.array(list(low), pa.string()), "n": pa.array(list(low.values()), pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = text_column(b, "_text")
-            counts: Counter = Counter()
+        counts: Counter = Counter()
+        for b in slices(batches):
             doc, near, owner = [], [], []
-            for i, t in enumerate(texts):
+            for i, t in enumerate(text_column(b, "_text")):
                 base = find_base(t)
                 if base:
-                    c, ctx = near_mentions(t, base, window)
+                    c, found = near_mentions(t, base, window)
                     counts.update(c)
-                    near += ctx
-                    owner += [i] * len(ctx)
+                    near += found
+                    owner += [i] * len(found)
                 else:
                     counts.update(_WORD.findall(t))
                 spans = ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in base)
@@ -152,33 +168,20 @@ def scan(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
                 for k, _, _ in base:
                     n[k] += 1
                 doc.append((*n, hashlib.sha256(spans.encode()).hexdigest(), spans))
-            low: Counter = Counter()
-            for w, c in counts.items():
-                low[w.lower()] += c
-            sizes = [len(doc), len(near), len(low)]
-            ids, k1, k2 = (b.column(c) for c in ("_id", "k1", "k2"))
-            own = pa.array(owner, pa.int64())
-
-            def part(which: int, given: dict[str, pa.Array]) -> pa.RecordBatch:
-                n = sizes[which]
-                cols = {"_id": pa.nulls(n, ids.type), "row_kind": pa.array([which] * n, pa.int8())} | given
-                types = {"base_sha256": pa.string(), "base_spans": pa.string(), "entity": pa.string(), "term": pa.string()}
-                return pa.RecordBatch.from_arrays(
-                    [cols[c] if c in cols else pa.nulls(n, types.get(c, pa.int64())) for c in ["_id", *_COLS]],
-                    names=["_id", *_COLS])
-
-            if doc:
-                e = list(zip(*doc))
-                yield part(0, {"_id": ids, "k1": k1, "k2": k2, **{
-                    c: pa.array(e[j], pa.string() if j > 3 else pa.int64())
-                    for j, c in enumerate(("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base_spans"))}})
+            k1, k2 = b.column("k1"), b.column("k2")
+            e = list(zip(*doc))
+            yield part(0, len(doc), {"_id": b.column("_id"), "k1": k1, "k2": k2, **{
+                c: pa.array(e[j], pa.string() if j > 3 else pa.int64())
+                for j, c in enumerate(("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base_spans"))}})
             if near:
-                e = list(zip(*near))
-                yield part(1, {"k1": k1.take(own), "k2": k2.take(own), **{
+                own, e = pa.array(owner, pa.int64()), list(zip(*near))
+                yield part(1, len(near), {"k1": k1.take(own), "k2": k2.take(own), **{
                     c: pa.array(e[j], pa.string() if j < 2 else pa.int64())
                     for j, c in enumerate(("entity", "term", "ctx", "start", "end"))}})
-            if low:
-                yield part(2, {"term": pa.array(list(low), pa.string()), "n": pa.array(list(low.values()), pa.int64())})
+            if len(counts) > COUNTED_WORDS:
+                yield counted(counts)
+        if counts:
+            yield counted(counts)
 
     return thin.mapInArrow(run, f"_id {kind}, {_SCAN}")
 

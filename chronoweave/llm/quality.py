@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.llm.common import text_column
+from chronoweave.llm.common import bounded_batches, slices, text_column
 
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 SYMBOLS = "#*$%&|<>"
@@ -105,12 +105,12 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     rows each have their row.  ``keep`` names columns of ``docs`` that travel along (names
     of measurements among them are replaced by a prefix ``doc_``)."""
     carried = [F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(k).alias(f"_doc_{k}") for k in keep]]
-    thin = docs.select(*carried)
+    thin = bounded_batches(docs).select(*carried)
     kept = [f for f in thin.schema.fields if f.name != "_text"]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], *[f"{m} long" for m in MEASURES]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [measure(t) for t in text_column(b, "_text")]
             cols = list(zip(*got)) if got else [()] * len(MEASURES)
             yield pa.RecordBatch.from_arrays(

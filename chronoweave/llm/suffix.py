@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.llm.common import materialize, runs, whole_groups
+from chronoweave.llm.common import bounded_batches, materialize, runs, whole_groups
 
 KMER = 32
 PIECE = 1_000_000  # windows hashed at a time; a longer text is hashed in pieces
@@ -414,7 +414,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     text = F.coalesce(F.col(text_col), F.lit(""))
     # where ids repeat, a hash of the text tells their rows apart
     repeated = not docs.groupBy(id_col).count().where("count > 1").isEmpty()
-    keyed = docs.select(F.col(id_col).cast("long").alias("id"),
+    keyed = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"),
                         F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("did"),
                         (F.pmod(F.xxhash64(text), F.lit(1 << 32)) if repeated else F.lit(0).cast("long")).alias("alt"), text.cast("binary").alias("bytes"))
     long_enough = F.octet_length("bytes") >= length
