@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.llm.common import materialize
+from chronoweave.llm.common import bounded_batches, materialize, slices
 
 MAX_WORD = 20  # letters of the longest dictionary word that is tried
 MAX_LABEL = 63  # a longer run of letters is no host label (DNS) and stays one unknown word
@@ -153,7 +153,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[HostRule] = RULES, seeds: Sequ
     urls, urls without ``://`` and an empty table are defined: no host, no path, no tokens,
     score 0, allowed.  Repeated rows and null ids keep a row each."""
     host, path = host_and_path(F.col(url_col))
-    thin = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
+    thin = bounded_batches(pages).select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     hosts = materialize(thin.groupBy("host").count().select("host"), "url-hosts")
     counts = materialize(word_counts(pages, url_col, html_col), "url-words")
     total = counts.agg(F.sum("c")).first()[0] or 0
@@ -164,12 +164,16 @@ def filter_urls(pages: DataFrame, rules: Sequence[HostRule] = RULES, seeds: Sequ
     order = F.xxhash64("host", "path", "id")
     label = rows.select(F.coalesce(block, F.lit(False)).alias("block"), F.concat(F.coalesce("host_words", F.array().cast("array<string>")), "path_words").alias("t"),
                         order.alias("o"), "host", "path")
-    sample = [r for b in (True, False)  # at most train_rows rows of each class reach the driver
-              for r in label.where(F.col("block") == b).orderBy("o", "host", "path").limit(train_rows).select("block", "t").collect()]
+    sizes = {r["block"]: r["count"] for r in label.groupBy("block").count().collect()}
+    sample = []
+    for b in (True, False):  # at most train_rows rows of each class reach the driver
+        share = min(1.0, 2 * train_rows / max(sizes.get(b, 0), 1))  # twice as many are drawn by hash, the smallest hashes stay
+        drawn = label.where((F.col("block") == b) & (F.pmod("o", F.lit(1 << 30)) <= int(share * (1 << 30))))
+        sample += drawn.orderBy("o", "host", "path").limit(train_rows).select("block", "t").collect()
     model = NaiveBayes((r.block, r.t) for r in sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [model.score([*(h or ()), *(p or ())]) for h, p in
                    zip(b.column("host_words").to_pylist(), b.column("path_words").to_pylist())]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("id", "host", "path", "host_words")], pa.array(got, pa.float64())],
