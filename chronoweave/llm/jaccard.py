@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.llm.common import materialize, runs, slices, small_side, text_column, whole_groups
+from chronoweave.llm.common import bounded_batches, materialize, runs, slices, small_side, text_column, whole_groups
 
 SHINGLE = 5
 POSITIONS = 64  # signature positions that paths are chosen from; as many again are only compared
@@ -350,11 +350,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(edges: DataFrame) -> DataFrame:
     """(rid, root): the smallest node of each connected component, by alternating large-star
-    and small-star steps until no edge changes."""
+    and small-star steps until the edges are stars."""
     def star(e: DataFrame, large: bool) -> DataFrame:
         if large:
             e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = e.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # a table of its own, so that the join can split a node with very many edges
+        low = materialize(e.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "edges-low")
         joined = e.join(low, "a")
         if large:
             return joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
@@ -363,13 +364,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     down = edges.select(F.greatest("rid", "other").alias("a"), F.least("rid", "other").alias("b")).where("a != b").distinct()
     now = materialize(down, "edges")
-    mark = None
     while True:
-        now = materialize(star(star(now, True), False), "edges")
-        new = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if new == mark:
+        now = materialize(star(materialize(star(now, True), "edges-large"), False), "edges")
+        # done when every node has one edge and no node is both child and root
+        ends = now.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                            F.struct(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("x")) \
+            .groupBy("x.v").agg(F.sum("x.up").alias("up"), F.max("x.down").alias("down"))
+        if ends.where("up > 1 or up > 0 and down > 0").isEmpty():
             return now.select(F.col("a").alias("rid"), F.col("b").alias("root"))
-        mark = new
 
 
 def _text_key(text: str):
@@ -380,7 +382,7 @@ def classes(docs: DataFrame, threshold: float, recall: float, n_runs: int, max_r
             id_col: str, text_col: str, emit_pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Rows (id, t1, t2), one row per text (t1, t2, rid, n, copy_of, copies, class_id,
     n_links, first: whether it stands for its class), and the verified links."""
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
+    given = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
         .select("id", *_text_key("text"), "text")
     rows = materialize(given.mapInArrow(_scan, "id long, t1 long, t2 long, n long, sig binary"), "near-rows")
     reps = materialize(rows.groupBy("t1", "t2").agg(F.min("id").alias("copy_of"), F.first("n").alias("n"), F.first("sig").alias("sig"),
