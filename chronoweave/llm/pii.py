@@ -47,6 +47,8 @@ _NOT_DIGITS = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"\w+")
 #: different words a worker counts before it passes the counts on
 COUNTED_WORDS = 150_000
+#: rows of one batch of counts (most of its columns are null, but take their width)
+OUTPUT_ROWS = 10_000
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -143,12 +145,15 @@ def scan(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [cols[c] if c in cols else pa.nulls(n, types.get(c, pa.int64())) for c in ["_id", *_COLS]], names=["_id", *_COLS])
 
-    def counted(counts: Counter) -> pa.RecordBatch:
+    def counted(counts: Counter) -> Iterator[pa.RecordBatch]:
         low: Counter = Counter()
         for w, c in counts.items():
             low[w.lower()] += c
         counts.clear()
-        return part(2, len(low), {"term": pa.array(list(low), pa.string()), "n": pa.array(list(low.values()), pa.int64())})
+        words = list(low)
+        for at in range(0, len(words), OUTPUT_ROWS):
+            some = words[at:at + OUTPUT_ROWS]
+            yield part(2, len(some), {"term": pa.array(some, pa.string()), "n": pa.array([low[w] for w in some], pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -179,9 +184,9 @@ def scan(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
                     c: pa.array(e[j], pa.string() if j < 2 else pa.int64())
                     for j, c in enumerate(("entity", "term", "ctx", "start", "end"))}})
             if len(counts) > COUNTED_WORDS:
-                yield counted(counts)
+                yield from counted(counts)
         if counts:
-            yield counted(counts)
+            yield from counted(counts)
 
     return thin.mapInArrow(run, f"_id {kind}, {_SCAN}")
 
