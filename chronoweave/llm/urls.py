@@ -4,7 +4,9 @@ Host names are runs of letters without spaces ("cheappills").  A unigram Viterbi
 splits every run into its most probable words; a multinomial naive Bayes model then scores
 the words of the host and the tokens of the path.
 
-* Word counts come from all pages: the letters of every URL and the visible words.
+* Word counts come from all pages: the visible words and the letters of URL paths.  Host names
+  are left out, in URLs and where the text mentions them: a name written without spaces would
+  else be a word of the dictionary and never be split.  The ``seeds`` are words in any case.
 * Every distinct run of letters in a host is split once: its substrings are joined with the
   word counts, so the dictionary is never broadcast, and the search runs over the few
   substrings that are words.
@@ -29,6 +31,9 @@ from chronoweave.llm.common import bounded_batches, materialize, slices
 MAX_WORD = 20  # letters of the longest dictionary word that is tried
 MAX_LABEL = 63  # a longer run of letters is no host label (DNS) and stays one unknown word
 NUMBER = "#"
+SEED_SHARE = 1e-6  # a seed counts as at least one occurrence, and as this share of all words
+#: tags, and (with the scheme or without) host names in a text in lower case
+_TAG_OR_HOST = r"<[^>]*>|://[^\s/?#<]*|(?<![a-z0-9-])[a-z0-9-]++(?:\.[a-z0-9-]++)+"
 #: words whose presence in a host marks a training example of the block class
 SEEDS = ("adult", "bets", "casino", "cheap", "farm", "free", "pills", "porn", "spam", "track", "ads", "viagra", "win", "xxx")
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -116,13 +121,20 @@ def host_labels(host: Column) -> Column:
 
 
 def word_counts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(w, c): lower-case words of letters in all URLs and in the text between tags."""
-    text = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), r"<[^>]*>", " ")
-    both = F.concat_ws(" ", F.translate(F.coalesce(F.col(url_col), F.lit("")), _UP, _LOW), F.translate(text, _UP, _LOW))
-    return pages.select(F.explode(F.regexp_extract_all(both, F.lit("[a-z]+"), F.lit(0))).alias("w")) \
+    """(w, c): lower-case words of letters in the URLs after their hosts and in the text between tags."""
+    text = F.regexp_replace(F.translate(F.coalesce(F.col(html_col), F.lit("")), _UP, _LOW), _TAG_OR_HOST, " ")
+    url = F.regexp_replace(F.translate(F.coalesce(F.col(url_col), F.lit("")), _UP, _LOW), r"(?s)^.*?://[^/?#]*", "")
+    return pages.select(F.explode(F.regexp_extract_all(F.concat_ws(" ", url, text), F.lit("[a-z]+"), F.lit(0))).alias("w")) \
         .groupBy("w").agg(F.count(F.lit(1)).alias("c"))
 
 
+def with_seeds(counts: DataFrame, total: int, seeds: Sequence[str]) -> DataFrame:
+    """``counts`` in which every seed is a word."""
+    least = F.lit(max(1, math.ceil(SEED_SHARE * total))).cast("long")
+    given = counts.sparkSession.createDataFrame([(w,) for w in sorted(set(seeds))], "w string").select("w", least.alias("c"))
+    return counts.unionByName(given).groupBy("w").agg(F.max("c").alias("c"))
+
+
 def split_hosts(hosts: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     """(host, host_words) for a table of distinct hosts."""
     labels = hosts.select(F.explode(host_labels(F.col("host"))).alias("label")).distinct()
@@ -157,7 +169,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[HostRule] = RULES, seeds: Sequ
     hosts = materialize(thin.groupBy("host").count().select("host"), "url-hosts")
     counts = materialize(word_counts(pages, url_col, html_col), "url-words")
     total = counts.agg(F.sum("c")).first()[0] or 0
-    split = materialize(split_hosts(hosts, counts, total), "url-split")
+    split = materialize(split_hosts(hosts, with_seeds(counts, total, seeds), total), "url-split")
 
     rows = materialize(thin.join(split, "host", "left").withColumn("path_words", path_tokens(F.col("path"))), "url-rows")
     block = F.arrays_overlap("host_words", F.array(*[F.lit(s) for s in seeds])) if seeds else F.lit(False)

@@ -90,5 +90,19 @@ def test_concatenated_names_are_caught(spark):
     assert sum(a == b for a, b in labelled) / len(labelled) > 0.95
 
 
+def test_concatenated_hosts_over_the_words_of_real_pages(spark):
+    from pyspark.sql import functions as F
+    planted = {"casinowin": 1, "freebets": 3, "cheappills": 10, "spamfarm": 100}
+    rows = [(10**9 + 1000 * k + i, f"https://{h}.example.net/{i}", f"<p>see {h}.example.net and https://{h}.example.net/{i}</p>")
+            for k, (h, n) in enumerate(planted.items()) for i in range(n)]
+    given = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select(*PAGE.names).unionByName(pages(spark, rows))
+    got = urls.filter_urls(given, rules=()).where(F.col("page_id") >= 10**9).collect()
+    assert len(got) == len(rows)
+    split = {"casinowin": ["casino", "win"], "freebets": ["free", "bets"], "cheappills": ["cheap", "pills"], "spamfarm": ["spam", "farm"]}
+    for r in got:
+        want = split[r["host"].split(".")[0]]
+        assert r["host_words"].split()[:2] == want and r["verdict"] == "block", r
+
+
 def test_empty_table(spark):
     assert urls.filter_urls(pages(spark, [])).collect() == []
