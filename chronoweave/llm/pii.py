@@ -2,21 +2,22 @@
 
 Personal data found by fixed patterns (email, ip, card, phone) are the protected entities.
 Corpus co-occurrence then estimates how strongly the words around a mention reveal its
-entity.  With ``n_t`` occurrences of a term in the corpus, ``n_e`` word places within
-``window`` words of a mention of the entity, ``n_te`` occurrences of the term in those
-places and ``N`` word places in all,
-
-    PMI(t; e) = log2(n_te N / (n_t n_e)),    IC(e) = log2(N / n_e),
-    disclosure(t, e) = PMI / IC  =  1 + log2 P(e | t) / IC(e),
-
-which is 1 when the term never stands anywhere but near the entity.  A term seen with the
-entity in at least ``contexts`` different surroundings (copies of one text count once) is
-generalised from ``generalise_at`` on and removed from ``remove_at`` on, wherever it stands
-near a mention of that entity.
-
-Scale.  One pass over the texts writes document rows, the words near mentions and the word
-counts of each batch; the rest are partial aggregates and joins on (entity, term), linear
-in mentions and distinct words.  No group of one entity is ever gathered.
+entity.  ``n_t`` are the occurrences of a term in the corpus and ``n_te`` those within
+``window`` words of a mention of the entity; copies of one surrounding count once in both.
+``n_e`` is the sum of ``n_te`` over the terms and ``N`` the number of word places.  A few
+occurrences prove little, so ``contexts`` further ones away from the entity are assumed:
+
+    P(e | t) = n_te / (n_t + contexts),    IC(e) = log2(N / n_e),
+    disclosure(t, e) = 1 + log2 P(e | t) / IC(e)  =  PMI / IC,
+
+which nears 1 for a term that often stands near the entity and never elsewhere.  No entity is
+too rare to be scored: IC is largest for those.  A term is generalised from ``generalise_at``
+on and removed from ``remove_at`` on, wherever it stands in a text that mentions the entity.
+
+Scale.  One pass over the texts writes document rows, the words near mentions, all words of
+texts with a mention and the word counts of each batch; the rest are partial aggregates and
+joins.  Words are joined with the disclosing terms first: such a term is rare and has few
+entities, so the join is linear in the words, where terms by texts of an entity are not.  No group of one entity is ever gathered.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ _WORD = re.compile(r"\w+")
 COUNTED_WORDS = 150_000
 #: rows of one batch of counts (most of its columns are null, but take their width)
 OUTPUT_ROWS = 10_000
+#: disclosing (entity, term) pairs up to which they are broadcast
+BROADCAST_TERMS = 100_000
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -101,9 +104,8 @@ def entity(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{_NOT_DIGITS.sub('', value) if kind > 1 else value.lower()}"
 
 
-def near_mentions(text: str, base: list[tuple[int, int, int]], window: int):
-    """Words outside base spans: their counts, and (entity, term, context, start, end) of
-    those within ``window`` words of a mention.  The context is a hash of the window."""
+def words_outside(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
+    """(start, end, word) of the words outside base spans."""
     taken = sorted((s, e) for _, s, e in base)
     words, k = [], 0
     for m in _WORD.finditer(text):
@@ -111,6 +113,13 @@ def near_mentions(text: str, base: list[tuple[int, int, int]], window: int):
             k += 1
         if k == len(taken) or m.end() <= taken[k][0]:
             words.append((m.start(), m.end(), m.group()))
+    return words
+
+
+def near_mentions(text: str, base: list[tuple[int, int, int]], window: int, words: list[tuple[int, int, str]] | None = None):
+    """Words outside base spans: their counts, and (entity, term, context, start, end) of
+    those within ``window`` words of a mention.  The context is a hash of the window."""
+    words = words_outside(text, base) if words is None else words
     starts = [w[0] for w in words]
     from bisect import bisect_left
     seen, near = set(), []
@@ -133,8 +142,8 @@ _COLS = [c.split(" ")[0] for c in _SCAN.split(", ")]
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """One pass over the texts: document rows (row_kind 0), words near mentions (1) and the
-    word counts of each batch (2)."""
+    """One pass over the texts: document rows (row_kind 0), words near mentions (1), the
+    word counts of each batch (2) and all words of texts with a mention (3)."""
     thin = bounded_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *row_key(id_col, text_col))
     kind = thin.schema["_id"].dataType.simpleString()
     id_type = to_arrow_type(thin.schema["_id"].dataType)
@@ -155,17 +164,30 @@ def scan(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
             some = words[at:at + OUTPUT_ROWS]
             yield part(2, len(some), {"term": pa.array(some, pa.string()), "n": pa.array([low[w] for w in some], pa.int64())})
 
+    def placed(places: list, k1: pa.Array, k2: pa.Array) -> pa.RecordBatch:
+        own, term, start, end = zip(*places)
+        own = pa.array(own, pa.int64())
+        return part(3, len(places), {"k1": k1.take(own), "k2": k2.take(own), "term": pa.array(term, pa.string()),
+                                     "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for b in slices(batches):
-            doc, near, owner = [], [], []
+            doc, near, owner, places = [], [], [], []
+            k1, k2 = b.column("k1"), b.column("k2")
             for i, t in enumerate(text_column(b, "_text")):
                 base = find_base(t)
                 if base:
-                    c, found = near_mentions(t, base, window)
+                    words = words_outside(t, base)
+                    c, found = near_mentions(t, base, window, words)
                     counts.update(c)
                     near += found
                     owner += [i] * len(found)
+                    for s, e, w in words:
+                        places.append((i, w.lower(), s, e))
+                        if len(places) >= OUTPUT_ROWS:
+                            yield placed(places, k1, k2)
+                            places = []
                 else:
                     counts.update(_WORD.findall(t))
                 spans = ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in base)
@@ -173,7 +195,8 @@ def scan(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
                 for k, _, _ in base:
                     n[k] += 1
                 doc.append((*n, hashlib.sha256(spans.encode()).hexdigest(), spans))
-            k1, k2 = b.column("k1"), b.column("k2")
+            if places:
+                yield placed(places, k1, k2)
             e = list(zip(*doc))
             yield part(0, len(doc), {"_id": b.column("_id"), "k1": k1, "k2": k2, **{
                 c: pa.array(e[j], pa.string() if j > 3 else pa.int64())
@@ -202,14 +225,13 @@ def disclosing(scanned: DataFrame, contexts: int, generalise_at: float, remove_a
     near = scanned.where("row_kind = 1")
     places = scanned.where("row_kind = 2").groupBy("term").agg(F.sum("n").alias("n_t"))
     total = scanned.where("row_kind = 2").agg(F.sum("n")).first()[0] or 0
-    ent = near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     pair = (near.groupBy("entity", "term", "ctx").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("entity", "term").agg(F.sum("c").alias("n_te"), F.count(F.lit(1)).alias("n_ctx"))
-            .where(F.col("n_ctx") >= contexts))
+            .groupBy("entity", "term").agg(F.sum("c").alias("n_all"), F.count(F.lit(1)).alias("n_te")))
+    ent = pair.groupBy("entity").agg(F.sum("n_te").alias("n_e"))
     ic = F.log2(F.lit(float(total)) / F.col("n_e"))
-    pmi = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
+    share = F.col("n_te") / (F.col("n_t") - F.col("n_all") + F.col("n_te") + F.lit(contexts))
     return (pair.join(ent, "entity").join(places, "term")
-            .withColumn("disclosure", F.when(ic > 0, pmi / ic).otherwise(0.0))
+            .withColumn("disclosure", F.when(ic > 0, 1 + F.log2(share) / ic).otherwise(0.0))
             .where(F.col("disclosure") >= generalise_at)
             .select("entity", "term", "disclosure",
                     F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise").alias("action")))
@@ -225,7 +247,10 @@ def sanitise_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     result; matches and texts of any length are handled in linear time."""
     scanned = materialize(scan(docs, id_col, text_col, window), "pii-scan")
     reveal = materialize(disclosing(scanned, contexts, generalise_at, remove_at), "pii-terms")
-    spans = (scanned.where("row_kind = 1").join(reveal, ["entity", "term"])
+    mentions = scanned.where("row_kind = 1").select("k1", "k2", "entity").distinct()
+    spans = (scanned.where("row_kind = 3").select("k1", "k2", "term", "start", "end")
+             .join(small_side(reveal, BROADCAST_TERMS).select("entity", "term", "action"), "term")
+             .join(mentions, ["k1", "k2", "entity"])
              .groupBy("k1", "k2", "start", "end").agg(F.max("action").alias("action"))  # remove beats generalise
              .groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("term_spans")))
     none = F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")

@@ -86,6 +86,18 @@ def test_copies_are_one_context(make_docs):
     assert got[3]["n_email"] == 1
 
 
+def test_rare_entities_are_scored_and_terms_masked_in_the_whole_text(make_docs):
+    docs = [(i, " ".join(f"plain{(i * 7 + k) % 97}" for k in range(1000))) for i in range(900)]
+    far = " ".join(f"plain{k}" for k in range(30))
+    docs += [(1000, f"quixotry plain1 rare@isle.example plain2 plain3 {far} Quixotry {far}"), (1001, f"plain4 plain5 {far}"),
+             (1002, "plain1 quixotry plain2")]
+    got = rows_of(pii.sanitise_spans(make_docs(docs), window=2))
+    text = dict(docs)
+    words = {i: [text[i][x["start"]:x["end"]] for x in r["term_spans"]] for i, r in got.items()}
+    assert words.pop(1000) == ["quixotry", "Quixotry"]
+    assert not any(words.values())  # no mention, no term
+
+
 def test_sanitise_keeps_columns_and_clean_texts(make_docs, odd):
     docs = make_docs(odd + [(50, "call +1 (499) 555-6503 or 10.0.0.1 now")] + corpus(), clash=True)
     out = pii.sanitise(docs)
