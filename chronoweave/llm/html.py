@@ -1,7 +1,8 @@
 """Layout-aware rendering of HTML to text.
 
 A tree builder adds implied end tags (a block closes an open paragraph, a list item or a
-table cell closes the one before) and visibility rules drop what a browser would not show.
+table cell closes the one before, what a head may not contain closes it, HTML elements end
+an open svg or math) and visibility rules drop what a browser would not show.
 The renderer emits all visible text: blocks and paragraphs keep their spacing, list items
 their markers and nesting, preformatted text its lines, and table cells are aligned in
 columns.  Everything is iterative, so depth and length of a page are unbounded.
@@ -21,12 +22,21 @@ from chronoweave.llm.common import bounded_batches, slices, text_column
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas svg math".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas".split())
+HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())  # a head may contain these
+# svg and math: what they do not show, what holds HTML in them, and the HTML that ends them
+FOREIGN_HIDDEN = frozenset("title desc defs metadata symbol clippath mask marker pattern lineargradient radialgradient filter style script "
+                           "annotation annotation-xml mphantom".split())
+HTML_POINT = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+                     "pre ruby s small span strong strike sub sup table tt u ul var".split())
+APART = frozenset("mfrac msup msub msubsup mroot munder mover munderover mmultiscripts".split())  # their parts are not one word
 # lines before and after an element: 1 starts a new line, 2 leaves an empty one
 SPACING = {t: 1 for t in "html body div section article header footer nav aside main address form fieldset legend figcaption li dt dd "
            "tr caption summary details option optgroup hgroup center dir".split()}
 SPACING |= {t: 2 for t in "p h1 h2 h3 h4 h5 h6 ul ol dl menu blockquote pre table figure hr".split()}
-CLOSES_P = frozenset(t for t in SPACING if t not in ("tr", "caption", "option", "optgroup", "html", "body"))
+SPACING |= {"text": 1, "mtr": 1}  # of svg and math
+CLOSES_P = frozenset(t for t in SPACING if t not in ("tr", "caption", "option", "optgroup", "html", "body", "text", "mtr"))
 # an opening tag closes these open elements, up to a boundary
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
@@ -41,14 +51,16 @@ _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _CLOSE = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 _SPACE = re.compile(r"[ \t\n\r\f]+")
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+/$")  # the slash belongs to the value
 _INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hidden")
+    __slots__ = ("tag", "attrs", "children", "hidden", "foreign")
 
-    def __init__(self, tag: str, attrs: dict[str, str], hidden: bool):
+    def __init__(self, tag: str, attrs: dict[str, str], hidden: bool, foreign: bool = False):
         self.tag, self.attrs, self.children, self.hidden = tag, attrs, [], hidden
+        self.foreign = foreign  # the children are svg or math
 
 
 def _tag_end(s: str, at: int, missing: set[str]) -> int:
@@ -69,7 +81,9 @@ def _tag_end(s: str, at: int, missing: set[str]) -> int:
             at = close + 1
 
 
-def _shown(tag: str, attrs: dict[str, str]) -> bool:
+def _shown(tag: str, attrs: dict[str, str], foreign: bool) -> bool:
+    if foreign and (tag in FOREIGN_HIDDEN or attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse")):
+        return False
     if tag in HIDDEN or "hidden" in attrs or tag == "dialog" and "open" not in attrs:
         return False
     return not ("style" in attrs and _INVISIBLE.search(attrs["style"]))
@@ -91,18 +105,27 @@ def parse(s: str) -> Node:
             if t in boundary:
                 return None
 
+    def put(t: str) -> None:
+        if stack[-1].tag == "head" and unescape(t).strip(" \t\n\r\f"):
+            stack.pop()
+        stack[-1].children.append(t)
+
     while at < n:
         lt = s.find("<", at)
         if lt < 0:
-            stack[-1].children.append(s[at:])
+            put(s[at:])
             break
         if lt > at:
-            stack[-1].children.append(s[at:lt])
+            put(s[at:lt])
         nxt = s[lt + 1:lt + 2]
         if nxt == "!":
             if s.startswith("<!--", lt):
                 end = s.find("-->", lt + 4)
                 at = n if end < 0 else end + 3
+            elif stack[-1].foreign and s.startswith("<![CDATA[", lt):
+                end = s.find("]]>", lt)
+                put(s[lt + 9:n if end < 0 else end].replace("&", "&amp;"))
+                at = n if end < 0 else end + 3
             else:
                 end = s.find(">", lt)
                 at = n if end < 0 else end + 1
@@ -113,7 +136,7 @@ def parse(s: str) -> Node:
                 end = s.find(">", lt)
                 at = n if end < 0 else end + 1
             else:
-                stack[-1].children.append("<")
+                put("<")
                 at = lt + 1
             continue
         tag = m.group().lower()
@@ -122,6 +145,8 @@ def parse(s: str) -> Node:
         at = end + 1
         if nxt == "/":
             if tag == "br":
+                if stack[-1].tag == "head":
+                    stack.pop()
                 stack[-1].children.append(Node("br", {}, False))
                 continue
             for k in range(len(stack) - 1, 0, -1):
@@ -135,13 +160,26 @@ def parse(s: str) -> Node:
         attrs = {a.lower(): unescape(b or c or d) for a, b, c, d in reversed(_ATTR.findall(body))} if body.strip(" /\n\t") else {}
         if tag in ("html", "body") and len(stack) > 1 and any(x.tag == tag for x in stack) or tag == "html":
             continue
-        if tag in CLOSES_P:
+        if stack[-1].tag == "head":
+            if tag == "head":
+                continue
+            if tag not in HEAD:
+                stack.pop()
+        if tag in BREAKOUT:
+            while stack[-1].foreign:
+                stack.pop()
+        inside = stack[-1].foreign
+        if tag in CLOSES_P and not inside:
             close(("p",), SCOPE)
-        if tag in IMPLIED:
+        if tag in IMPLIED and not inside:
             close(*IMPLIED[tag])
-        node = Node(tag, attrs, stack[-1].hidden or not _shown(tag, attrs))
+        node = Node(tag, attrs, stack[-1].hidden or not _shown(tag, attrs, inside),
+                    tag in ("svg", "math") or inside and tag not in HTML_POINT)
         stack[-1].children.append(node)
-        if tag in RAW:
+        if inside or node.foreign:
+            if not (body.endswith("/") and not _UNQUOTED_END.search(body)):
+                stack.append(node)
+        elif tag in RAW:
             m = _CLOSE[tag].search(s, at)
             stop = m.start() if m else n
             if tag in ("textarea", "xmp") and stop > at:
@@ -308,6 +346,8 @@ def render(root: Node) -> tuple[str, dict[str, int]]:
             kids = node.children
             if tag == "details" and "open" not in node.attrs:
                 kids = [k for k in kids if isinstance(k, Node) and k.tag == "summary"][:1]
+            if tag in APART:
+                kids = [x for k in kids for x in (k, " ")][:-1]
             for k in reversed(kids):
                 if not (tag in ("table", "tr", "tbody", "thead", "tfoot") and isinstance(k, str) and not k.strip()):
                     todo.append((k, None))

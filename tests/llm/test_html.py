@@ -30,6 +30,23 @@ def test_visibility():
     assert text("<details><summary>s</summary>more</details><details open><summary>t</summary>shown</details>") == "s\nt\nshown"
 
 
+def test_head_without_end_tag():
+    assert text("<html><head><title>T</title><p>Hello") == "Hello"
+    assert text("<head><meta charset=x><style>p{}</style>\n <script>1</script>plain <b>text") == "plain text"
+    assert text("<head><title>T</title><link rel=x></head><body>a") == "a" and text("<head><title>T</title><body>a") == "a"
+    assert text("<head><template><p>no</template><noscript><img alt=no></noscript><div>a</div>") == "a"
+    assert text("<head> \n<head>&nbsp;a").strip("\xa0") == "a"
+
+
+def test_svg_and_math_text():
+    assert text("<p>a</p><svg><title>no</title><desc>no</desc><defs><text>no</text></defs><g><path d='x'/><text>b <tspan>c</tspan></text>"
+                "<text>d</text></g></svg><p>e") == "a\n\nb c\nd\n\ne"
+    assert text("<svg><title/><defs/><text>b</text></svg>c") == "b\nc" and text("<svg><text><![CDATA[x &lt; y]]></text></svg>") == "x &lt; y"
+    assert text("<svg><foreignObject><p>f</p></foreignObject><text display=none>no</text></svg>g") == "f\n\ng"
+    assert text("<svg><path d=x><p>out") == "out"
+    assert text("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math> holds") == "so x=1 2 holds"
+
+
 def test_broken_markup():
     assert text("3 < 4 <a title='x>y'>l</a> <b unclosed=\"q>z</b>") == "3 < 4 l z"
     assert text("</p></div>x</table>") == "x"
