@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from chronoweave.functions import calendar, transforms
-from chronoweave.operators import aggregate, backtest, baselines, diagnostics, ensemble, metrics, ml, outliers, regression, search, smoothing, windows
+from chronoweave.operators import aggregate, anomaly, backtest, baselines, diagnostics, ensemble, metrics, ml, outliers, regression, search, smoothing, windows
 from chronoweave.operators.baselines import MODEL, YHAT
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans import workflow
@@ -55,7 +55,9 @@ def u05(spark, sf):
 
 @register("J06_gesd_outliers", None, ids=("J06",))
 def j06(spark, sf):
-    return outliers.gesd(padded_daily(spark, sf).select(ID, DS, Y))
+    """GESD on the remainder of the median (Twitter) decomposition."""
+    d = anomaly.median_decomposition(padded_daily(spark, sf).select(ID, DS, Y), Y, 7, 91, "D")
+    return outliers.gesd(d.select(ID, DS, Y, "remainder"), "remainder").withColumn("remainder", F.round("remainder", 6))
 
 
 @register("H02_weekend_feature", cte(p=padded(ORDERS_DAILY)) + """

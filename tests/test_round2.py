@@ -124,6 +124,30 @@ def test_gesd_against_brute_force(spark):
     assert max(map(len, want.values())) >= 6
 
 
+def test_gesd_query_is_on_the_twitter_remainder(spark, monkeypatch):
+    from chronoweave.plans import catalog_extras
+    rng = np.random.default_rng(6)
+    frames = None
+    for u in range(3):  # trend, weekly season, and days out of line that lie inside the range of y
+        y = [0.1 * i + 12 * (i % 7 == 2) + float(rng.normal()) for i in range(300)]
+        for k in rng.choice(np.arange(60, 240), 5, replace=False):
+            y[k] += 15 * float(rng.choice([-1, 1]))
+        f = series(spark, y, uid=f"s{u}")
+        frames = f if frames is None else frames.unionByName(f)
+    monkeypatch.setattr(catalog_extras, "padded_daily", lambda spark, sf: frames)
+    got = catalog_extras.j06(spark, "").toPandas().sort_values(["unique_id", "ds"])
+    differs = 0
+    for _, g in got.groupby("unique_id"):
+        y = g.y.astype(float).reset_index(drop=True)
+        off = y - y.rolling(91, center=True, min_periods=1).median()
+        rest = off - off.groupby(y.index % 7).transform("median")
+        assert np.allclose(rest, g.remainder, atol=1e-6)
+        want = brute_gesd(rest.tolist(), 20)
+        assert set(np.flatnonzero(g.outlier)) == want
+        differs += len(want) >= 5 and not brute_gesd(y.tolist(), 20)
+    assert differs == 3  # raw values hide them
+
+
 def test_recursive_user_function(spark):
     y = [float(v) for v in range(1, 20)]
     fn = lambda h: (F.element_at(h, -1) + F.element_at(h, -3)) / 2
