@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontam, html, jaccard, packing, pii, quality, sharding, suffix, urls
+from chronoweave.llm import bpe, decontam, html, jaccard, langid, packing, pii, quality, sharding, suffix, treap, urls, whiten
 from chronoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"), size=1024, end_id=2)
+
+
+@query("op11_byte_network_language")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.fit_and_identify(table(spark, sf_dir, "documents"))
+
+
+@query("op12_lanczos_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), count=4, scale=256.0)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+g AS (SELECT count(*) AS nn, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+q AS (SELECT row_number() OVER () AS qid, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ts FROM benchmark),
+qt AS (SELECT qid, item_id, unnest(ts) AS t FROM q),
+p AS (SELECT rid, doc_id, n, t, count(*) AS tf FROM (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS t FROM d)
+      WHERE t IN (SELECT t FROM qt) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT t, count(*) AS df FROM p GROUP BY t), g),
+s AS (SELECT qid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nn) // l))))::BIGINT AS score
+      FROM p JOIN w USING (t) JOIN qt USING (t), g GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op13_k2_treap_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)

@@ -12,6 +12,8 @@ import test_packing
 import test_pii
 import test_quality
 import test_suffix
+import test_treap
+import test_whiten
 from tokenizers import Tokenizer
 
 from chronoweave.llm import pii, urls
@@ -36,7 +38,7 @@ def run(spark, n, columns):
 
 
 def test_names():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 def test_op1(spark, texts):
@@ -148,3 +150,22 @@ def test_op10(spark, texts):
         ends[r["sequence_id"]] = max(ends[r["sequence_id"]], r["offset"] + r["length"])
     assert fill == ends and max(fill.values()) <= 1024
     assert len(fill) <= -(-sum(fill.values()) // 1024) + 2
+
+
+def test_op11(spark, texts):
+    rows = run(spark, 11, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    assert sorted(r["doc_id"] for r in rows) == sorted(i for i, _ in texts)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_op12(spark):
+    rows = run(spark, 12, "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double")
+    data = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
+    test_whiten.compare(rows, [r["vec_id"] for r in data], [r["embedding"] for r in data])
+
+
+def test_op13(spark, texts):
+    rows = run(spark, 13, "item_id bigint, rank int, doc_id bigint, score bigint")
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    want = test_treap.brute(texts, items)
+    assert {(r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in rows} == set(want) and len(rows) == len(want)
