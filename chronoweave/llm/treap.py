@@ -18,7 +18,7 @@ from range to range of a task, so later ranges are pruned by them.
 Statistics.  N, L and every document frequency are counted over all documents; the index holds
 every document and every term.
 
-Scale.  One pass counts terms, one builds the index (no shuffle, one task holds one range), and
+Scale.  One pass reads the texts, one builds the index (no shuffle, one task holds one range), and
 a block of queries is one pass over the index: tasks send their k best of each query, ranked in
 two steps.  Queries are taken in blocks of about ``block_terms`` terms; a block is what is sent to
 the tasks.  Nothing is keyed by a term while scores are made, so a very frequent term is no hot key;
@@ -28,7 +28,6 @@ document frequencies are added up within tasks before they are shuffled.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -42,16 +41,17 @@ from pyspark.sql import functions as F
 from chronoweave.llm.common import bounded_batches, materialize, slices
 
 PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-TERM = re.compile(PATTERN)
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: in UTF-8 the pattern's characters are the ASCII letters and digits and every byte from 128 on; A-Z go
+#: to lower case, all others to a space
+BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 NO_ID = np.iinfo(np.int64).max
 #: halves of document ranges opened at a time
 OPEN = 128
 
 
-def terms(text: str | None) -> list[str]:
-    """Terms of a text, A-Z in lower case; a null text has none."""
-    return TERM.findall(text.translate(LOWER)) if text else []
+def terms(text: bytes | None) -> list[bytes]:
+    """Terms of a UTF-8 text, A-Z in lower case; a null text has none."""
+    return text.translate(BYTES).split() if text else []
 
 
 def damping(n: np.ndarray, docs: int, total: int) -> np.ndarray:
@@ -97,29 +97,34 @@ def build(rows: np.ndarray, cols: np.ndarray, values: np.ndarray) -> tuple[int,
     return levels, masks[::-1], maxima[::-1]
 
 
-_COUNT = np.array([bin(i).count("1") for i in range(16)], np.uint8)
+_COUNT = np.array([bin(i).count("1") for i in range(16)], np.int64)
 
 
 class Grid:
-    """A range's quadtree, opened for searching."""
-
-    def __init__(self, levels: int, masks: list[np.ndarray], maxima: list[np.ndarray], ids: np.ndarray, names: list[str]):
-        self.levels, self.masks, self.maxima, self.ids = levels, masks, maxima, ids
-        self.first = [np.cumsum(_COUNT[m], dtype=np.int64) - _COUNT[m] for m in masks]
-        self.names = names
-
-    def child(self, level: int, node: np.ndarray, quadrant: np.ndarray) -> np.ndarray:
-        """Child of nodes (-1: none) in a quadrant (2 * row half + column half); -1 where empty."""
-        at = np.maximum(node, 0)
-        m = self.masks[level][at]
-        has = (node >= 0) & ((m >> quadrant) & 1).astype(bool)
-        before = _COUNT[m & ((1 << quadrant) - 1)]
-        return np.where(has, self.first[level][at] + before, -1)
+    """A range's quadtree, opened for searching.  Node -1 is the empty square: the last entry of
+    every level stands for it."""
+
+    def __init__(self, levels: int, masks: list[np.ndarray], maxima: list[np.ndarray], ids: np.ndarray, names: list[bytes]):
+        self.levels, self.ids, self.names = levels, ids, names
+        self.cells = len(maxima[-1]) if maxima else 0
+        self.masks = [np.r_[m, np.uint8(0)] for m in masks]
+        self.first = [np.r_[np.cumsum(_COUNT[m]) - _COUNT[m], 0] for m in masks]
+        # sums of weight x maximum stay far below 2^53, so doubles hold them exactly
+        self.maxima = [np.r_[v.astype(np.float64), 0.0] for v in maxima]
+
+    def children(self, level: int, node: np.ndarray, row_half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Children of nodes in the given row halves, in the left and in the right half of the columns."""
+        m, first = self.masks[level][node], self.first[level][node]
+        left = row_half * 2
+        below = _COUNT[m & ((1 << left) - 1)]
+        has_left = (m >> left) & 1
+        a = np.where(has_left, first + below, -1)
+        b = np.where((m >> (left + 1)) & 1, first + below + has_left, -1)
+        return a, b
 
     def bounds(self, level: int, node: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Sum of weight x maximum over the terms (second axis)."""
-        v = self.maxima[level][np.maximum(node, 0)].astype(np.int64)
-        return (np.where(node >= 0, v, 0) * weights).sum(axis=1)
+        return self.maxima[level][node] @ weights
 
 
 def search(grid: Grid, rows: np.ndarray, weights: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
@@ -128,8 +133,11 @@ def search(grid: Grid, rows: np.ndarray, weights: np.ndarray, best: list[tuple[i
     ``rows`` are the query's terms among the grid's rows, ``weights`` their weights."""
     live = weights > 0
     rows, weights = rows[live], weights[live]
-    if len(rows) == 0 or len(grid.maxima[0]) == 0:
+    if len(rows) == 0 or grid.cells == 0:
         return best
+    if float(grid.maxima[0][0]) * float(weights.sum()) >= 2.0 ** 53:
+        raise ValueError("too many terms for exact scores in doubles")
+    weights = weights.astype(np.float64)
     bits = ((rows[:, None] >> np.arange(grid.levels)[::-1]) & 1).astype(np.uint8)
     size = len(grid.ids)
     start = np.zeros((1, len(rows)), np.int64)
@@ -152,15 +160,12 @@ def search(grid: Grid, rows: np.ndarray, weights: np.ndarray, best: list[tuple[i
             order = order[:OPEN]
             bound, col, node = bound[order], col[order], node[order]
         if level == grid.levels:
-            best = sorted(best + list(zip(bound.tolist(), grid.ids[col].tolist())), key=lambda x: (-x[0], x[1]))[:k]
+            best = sorted(best + list(zip(bound.astype(np.int64).tolist(), grid.ids[col].tolist())), key=lambda x: (-x[0], x[1]))[:k]
             continue
-        halves = []
-        for half in (0, 1):
-            c = col * 2 + half
-            inside = (c << (shift - 1)) < size
-            n = grid.child(level, node[inside], (bits[:, level] * 2 + half)[None, :])
-            halves.append((grid.bounds(level + 1, n, weights), c[inside], n))
-        b, c, n = (np.concatenate([h[i] for h in halves]) for i in range(3))
+        left, right = grid.children(level, node, bits[None, :, level])
+        c = np.r_[col * 2, col * 2 + 1]
+        n = np.concatenate([left, right])
+        b = grid.bounds(level + 1, n, weights)
         keep = b > 0
         b, c, n = b[keep], c[keep], n[keep]
         if len(b):
@@ -173,35 +178,62 @@ def search(grid: Grid, rows: np.ndarray, weights: np.ndarray, best: list[tuple[i
 
 # ---- the index ------------------------------------------------------------------------------
 
-INDEX = "levels int, ids array<long>, names string, df array<int>, masks binary, mask_sizes array<int>, maxima binary"
-
-
-def _range_row(ids: list[int | None], texts: list[list[str]], docs: int, total: int) -> pa.RecordBatch:
-    """One range of the index; texts are the documents' terms."""
-    key = np.array([NO_ID if i is None else i for i in ids], np.int64)
-    order = np.argsort(key, kind="stable")
-    lexicon: dict[str, int] = {}
-    row, col, tf, n = [], [], [], np.zeros(len(ids), np.int64)
-    for c, d in enumerate(order):
-        counts = Counter(texts[d])
-        n[c] = len(texts[d])
-        row.extend([lexicon.setdefault(t, len(lexicon)) for t in counts])
-        tf.extend(counts.values())
-        col.append(np.full(len(counts), c, np.int64))
-    r, t = np.array(row, np.int64), np.array(tf, np.int64)
-    c = np.concatenate(col) if col else np.zeros(0, np.int64)
-    value = (1_000_000_000 * t) // (1000 * t + 8 * damping(n, docs, total)[c]) if len(t) else t
-    names = list(lexicon)
+FORWARD = "docs int, total long, ids array<long>, lengths array<int>, names binary, held binary, rows binary, tfs binary"
+INDEX = "levels int, ids array<long>, names binary, df array<int>, masks binary, mask_sizes array<int>, maxima binary"
+
+
+class Range:
+    """The documents of a range as they are read: ids, lengths, and for every document its terms' numbers in
+    the range's lexicon with their frequencies.  Texts and their words are not kept."""
+
+    def __init__(self):
+        self.lexicon: dict[bytes, int] = {}
+        self.ids: list[int] = []
+        self.lengths: list[int] = []
+        self.rows: list[np.ndarray] = []
+        self.tfs: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, doc_id: int | None, text: bytes | None) -> None:
+        words = terms(text)
+        if not words:
+            return
+        counts = Counter(words)
+        number = self.lexicon.setdefault
+        # a new term gets the next number
+        self.rows.append(np.fromiter([number(t, len(self.lexicon)) for t in counts], np.int32, len(counts)))
+        self.tfs.append(np.fromiter(counts.values(), np.int32, len(counts)))
+        self.ids.append(NO_ID if doc_id is None else doc_id)
+        self.lengths.append(len(words))
+        self.size += len(text)
+
+    def batch(self) -> pa.RecordBatch:
+        held = np.array([len(r) for r in self.rows], np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([len(self.ids)], pa.int32()), pa.array([sum(self.lengths)], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())),
+             pa.array([self.lengths], pa.list_(pa.int32())), pa.array([b"\n".join(self.lexicon)]), pa.array([held.tobytes()]),
+             pa.array([np.concatenate(self.rows).tobytes()]), pa.array([np.concatenate(self.tfs).tobytes()])],
+            ["docs", "total", "ids", "lengths", "names", "held", "rows", "tfs"])
+
+
+def _grid(ids: np.ndarray, lengths: np.ndarray, names: list[bytes], held: np.ndarray, r: np.ndarray, tf: np.ndarray, docs: int,
+          total: int) -> pa.RecordBatch:
+    """A range's row of the index."""
+    order = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    m = 8 * damping(lengths.astype(np.int64), docs, total)
+    value = (1_000_000_000 * tf.astype(np.int64)) // (1000 * tf.astype(np.int64) + np.repeat(m, held))
     df = np.bincount(r, minlength=len(names))
     largest = np.zeros(len(names), np.int64)
     np.maximum.at(largest, r, value)
     rank = np.argsort(-largest, kind="stable")
-    place = np.empty(len(names), np.int64)
-    place[rank] = np.arange(len(names))
-    levels, masks, maxima = build(place[r], c, value) if len(r) else (1, [], [])
+    row = np.empty(len(names), np.int64)
+    row[rank] = np.arange(len(names))
+    levels, masks, maxima = build(row[r], np.repeat(place, held), value)
     return pa.RecordBatch.from_arrays(
-        [pa.array([levels], pa.int32()), pa.array([key[order].tolist()], pa.list_(pa.int64())),
-         pa.array(["\n".join(names[i] for i in rank)]), pa.array([df[rank].tolist()], pa.list_(pa.int32())),
+        [pa.array([levels], pa.int32()), pa.array([ids[order].tolist()], pa.list_(pa.int64())),
+         pa.array([b"\n".join(names[i] for i in rank)]), pa.array([df[rank].tolist()], pa.list_(pa.int32())),
          pa.array([b"".join(m.tobytes() for m in masks)]), pa.array([[len(m) for m in masks]], pa.list_(pa.int32())),
          pa.array([b"".join(m.tobytes() for m in maxima)])],
         ["levels", "ids", "names", "df", "masks", "mask_sizes", "maxima"])
@@ -220,54 +252,58 @@ def open_range(row: dict) -> Grid:
     for s in [*sizes, len(values) - sum(sizes)]:
         maxima.append(values[at:at + s])
         at += s
-    names = row["names"].split("\n") if row["names"] else []
+    names = row["names"].split(b"\n") if row["names"] else []
     return Grid(row["levels"], masks, maxima, np.array(row["ids"], np.int64), names)
 
 
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_docs: int = 8192,
-          range_bytes: int = 24 << 20) -> tuple[DataFrame, int, int]:
+          range_bytes: int = 8 << 20) -> tuple[DataFrame, int, int]:
     """(index table, N, L) of all rows of ``docs``.  A null text has no terms; documents without terms
-    are in no grid.  A null id counts as the largest; rows that repeat an id are documents each."""
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(PATTERN)).cast("long")
-    s = base.select(n.alias("n")).agg(F.count(F.when(F.col("n") > 0, 1)).alias("docs"), F.sum("n").alias("total")).first()
-    docs_n, total = int(s["docs"]), int(s["total"] or 0)
+    are in no grid.  A null id counts as the largest; rows that repeat an id are documents each.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[int | None] = []
-        texts: list[list[str]] = []
-        size = 0
+    Texts are read once: the ranges are stored as term numbers and frequencies, N and L are added up from them, and
+    the quadtrees, whose impacts need N and L, are built from the stored ranges."""
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Range()
         for b in slices(batches, 256):
             for i, t in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-                words = terms(t)
-                if not words:
-                    continue
-                ids.append(i)
-                texts.append(words)
-                size += len(t)
-                if len(ids) >= range_docs or size >= range_bytes:
-                    yield _range_row(ids, texts, docs_n, total)
-                    ids, texts, size = [], [], 0
-        if ids:
-            yield _range_row(ids, texts, docs_n, total)
-
-    return materialize(bounded_batches(base).mapInArrow(work, INDEX), "treap-index"), docs_n, total
-
-
-def _frequencies(idx: DataFrame, wanted: set[str]) -> dict[str, int]:
+                held.add(i, t)
+                if len(held.ids) >= range_docs or held.size >= range_bytes:
+                    yield held.batch()
+                    held = Range()
+        if held.ids:
+            yield held.batch()
+
+    forward = materialize(bounded_batches(base).mapInArrow(read, FORWARD), "treap-forward")
+    s = forward.agg(F.sum("docs").alias("docs"), F.sum("total").alias("total")).first()
+    n_docs, total = int(s["docs"] or 0), int(s["total"] or 0)
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            row = {c: b.column(c)[0] for c in ("names", "held", "rows", "tfs")}
+            ids, lengths = (b.column(c).flatten().to_numpy() for c in ("ids", "lengths"))
+            ints = [np.frombuffer(row[c].as_py(), np.int32) for c in ("held", "rows", "tfs")]
+            yield _grid(ids, lengths, row["names"].as_py().split(b"\n"), *ints, n_docs, total)
+
+    return materialize(bounded_batches(forward.drop("docs", "total")).mapInArrow(grow, INDEX), "treap-index"), n_docs, total
+
+
+def _frequencies(idx: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
     """Document frequencies of the wanted terms, added up within tasks first."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for b in slices(batches, 1):
-            names = b.column("names")[0].as_py().split("\n")
+            names = b.column("names")[0].as_py().split(b"\n")
             df = b.column("df").flatten().to_numpy(zero_copy_only=False)
-            for t, d in zip(names, df):
+            for i, t in enumerate(names):
                 if t in wanted:
-                    total[t] += int(d)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["t", "df"])
+                    total[t] += int(df[i])
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["t", "df"])
 
-    rows = idx.select("names", "df").mapInArrow(work, "t string, df long").groupBy("t").agg(F.sum("df").alias("df")).collect()
-    return {r["t"]: int(r["df"]) for r in rows}
+    rows = idx.select("names", "df").mapInArrow(work, "t binary, df long").groupBy("t").agg(F.sum("df").alias("df")).collect()
+    return {bytes(r["t"]): int(r["df"]) for r in rows}
 
 
 def rank(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -290,7 +326,7 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id
     for b in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b).collect()
         if rows and n_docs:
-            found.append(_block(idx, {r["qid"]: list(r["terms"]) for r in rows}, n_docs, k))
+            found.append(_block(idx, {r["qid"]: [t.encode() for t in r["terms"]] for r in rows}, n_docs, k))
     spark = docs.sparkSession
     hits = reduce(DataFrame.union, found) if found else spark.createDataFrame([], "qid long, score long, id long")
     order = W.partitionBy("qid").orderBy(F.desc("score"), F.asc("id"))
@@ -300,7 +336,7 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id
                       F.when(F.col("id") != NO_ID, F.col("id")).alias(id_col), "score")
 
 
-def _block(idx: DataFrame, queries: dict[int, list[str]], n_docs: int, k: int) -> DataFrame:
+def _block(idx: DataFrame, queries: dict[int, list[bytes]], n_docs: int, k: int) -> DataFrame:
     """(qid, score, id): every task's k best of each query of a block."""
     df = _frequencies(idx, {t for q in queries.values() for t in q})
     weights = {t: weight(d, n_docs) for t, d in df.items()}

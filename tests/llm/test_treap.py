@@ -112,7 +112,8 @@ def test_tree_holds_every_cell():
     for level in range(levels):
         shift = levels - level - 1
         assert (g.maxima[level][node] >= v).all()
-        node = g.child(level, node, (((r >> shift) & 1) * 2 + ((c >> shift) & 1)).astype(np.uint8))
+        left, right = g.children(level, node, ((r >> shift) & 1).astype(np.uint8))
+        node = np.where((c >> shift) & 1, right, left)
         assert (node >= 0).all()
     assert (g.maxima[levels][node] == v).all() and len(maxima[levels]) == len(key)
 
@@ -131,5 +132,6 @@ def test_pruning_opens_few_nodes(monkeypatch):
 
 
 def test_weight_and_terms():
-    assert treap.terms("Ab1 c_d\tÄx—y") == words("Ab1 c_d\tÄx—y") and treap.terms(None) == []
+    odd = "Ab1 c_d\tÄx—y\x00Z\x85É\u2003q\x7f 😀😀"
+    assert [t.decode() for t in treap.terms(odd.encode())] == words(odd) and treap.terms(None) == []
     assert treap.weight(1, 1) == math.floor(1000 * math.log(4 / 3))
