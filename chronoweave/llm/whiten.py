@@ -2,26 +2,26 @@
 
 Vectors are scaled to integers x = floor(scale * c); the *fit list* holds each distinct x once.
 With X the centred rows of the fit list (x - S/n), the principal components are the right
-singular vectors of X.  A chain of the bidiagonalisation alternates
+singular vectors of X.  The bidiagonalisation alternates, block by block of right vectors V_j,
 
-    u_j ~ X v_j - beta_(j-1) u_(j-1)         v_(j+1) ~ X'u_j - alpha_j v_j
+    U_j A_j ~ X V_j - U (U'X V_j)            V_(j+1) B_j ~ X'U_j - V (V'X'U_j)
 
-with full reorthogonalisation of both sides, and the SVD of the small bidiagonal matrix gives
-its components and deviations.
+with full reorthogonalisation of both sides; the SVD of the small block-bidiagonal matrix U'X V
+gives components and deviations.
 
-How it is distributed.  Every u_j is a product X p_j with a vector p_j of the dimension's length, so
-nothing as long as the list is stored: a step is one pass that computes w = X v_j and X p_1 .. X p_(j-1)
-block by block and adds up U'w (for the reorthogonalisation), w'w and X'w.  From these the
-driver has alpha_j, p_j, and X'u_j, since X'u_i of earlier steps is known.
+How it is distributed.  Every left vector is a product u = X p with a vector p of the dimension's length,
+so nothing as long as the list is stored: a step is one pass that computes W = X V_j and U = X P
+rows by rows and adds up U'W (for the reorthogonalisation), W'W and X'W.  From these the
+driver has A_j, P_j, and X'U_j, since X'U of earlier steps is known.
 
-As many chains as components are asked for run in the same passes from different start vectors.
-One chain finds one vector only of an eigenvalue that occurs several times; the chains
-together find as many as they are.  A last Rayleigh-Ritz pass over the span of all chains'
-components gives the eigenvectors and their residuals; chains go on until these are small.
+A block has as many vectors as components are asked for: one vector would find one direction only of an
+eigenvalue that occurs several times, and needs that many times the passes.  A last Rayleigh-Ritz pass
+over the span of all right vectors gives the eigenvectors and their residuals; steps go on until
+these are small or no direction is left.
 
 Scale.  Rows shuffle once, to find distinct vectors (equal ones are pre-aggregated, so a vector held
 by a third of the rows is no hot key).  Every pass reads the stored list and returns sums of
-fixed size, added up in two stages.  Passes number at most the dimension.
+fixed size, added up in two stages.  Steps number at most the dimension over the components.
 """
 
 from __future__ import annotations
@@ -106,113 +106,95 @@ def _exact_sums(df: DataFrame, column: str, dims: int) -> tuple[int, list[int]]:
     return n, s
 
 
-class Chain:
-    """One bidiagonalisation: right vectors ``v``, left vectors as ``p`` (u = X p), ``z`` = X'u."""
-
-    def __init__(self, start: np.ndarray):
-        self.v = [start / np.linalg.norm(start)]
-        self.p: list[np.ndarray] = []
-        self.z: list[np.ndarray] = []
-        self.alpha: list[float] = []
-        self.beta: list[float] = []
-        self.done = False
-
-    def step(self, uw: np.ndarray, ww: float, xw: np.ndarray, small: float) -> None:
-        """Take in U'w, w'w and X'w of w = X v_j."""
-        c = uw
-        norm2 = ww - float(c @ c)
-        if norm2 <= small:
-            self.done = True
-            return
-        a = np.sqrt(norm2)
-        p, z = self.v[-1].copy(), xw.copy()
-        for ci, pi, zi in zip(c, self.p, self.z):
-            p -= ci * pi
-            z -= ci * zi
-        self.alpha.append(float(a))
-        self.p.append(p / a)
-        self.z.append(z / a)
-        r = self.z[-1] - a * self.v[-1]
-        basis = np.array(self.v)
+class Bidiagonalisation:
+    """The block recurrence: right vectors ``v`` (rows), left vectors as ``p`` (u = X p), ``z`` = X'u.
+
+    ``new`` is the newest block of right vectors, None when no direction is left."""
+
+    def __init__(self, start: np.ndarray, small: float):
+        self.v = np.linalg.qr(start.T)[0].T
+        self.new: np.ndarray | None = self.v
+        self.p = np.zeros((0, start.shape[1]))
+        self.z = np.zeros((0, start.shape[1]))
+        self.small = small
+
+    def step(self, products: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """Take in the newest block; ``products(new, p)`` returns U'W, W'W and X'W of W = X new."""
+        p = self.new
+        while True:
+            uw, ww, xw = products(p, self.p)
+            gram = ww - uw.T @ uw
+            value, vector = np.linalg.eigh((gram + gram.T) / 2)
+            keep = value > max(self.small, 1e-14 * np.diag(ww).max(initial=0.0))
+            turn = vector[:, keep] / np.sqrt(value[keep])
+            p, z = turn.T @ (p - uw.T @ self.p), turn.T @ (xw.T - uw.T @ self.z)
+            # where most of W lay in the span of U, rounding is left: orthogonalise once more
+            if not keep.any() or value[keep].min() > 1e-6 * np.diag(ww).max():
+                break
+        self.p, self.z = np.r_[self.p, p], np.r_[self.z, z]
+        rest = z
         for _ in range(2):
-            r -= basis.T @ (basis @ r)
-        b = float(np.linalg.norm(r))
-        self.beta.append(b)
-        if b * b <= small or len(self.v) == len(r):
-            self.done = True
-        else:
-            self.v.append(r / b)
-
-    def right(self, count: int) -> tuple[np.ndarray, float]:
-        """The leading right singular vectors (count, dims) and the largest residual among them,
-        relative to the largest singular value."""
-        k = len(self.alpha)
-        if k == 0:
-            return np.array(self.v)[:1], 0.0
-        bd = np.zeros((k, k + (len(self.v) > k)))
-        for i in range(k):
-            bd[i, i] = self.alpha[i]
-            if i + 1 < bd.shape[1]:
-                bd[i, i + 1] = self.beta[i]
-        left, sigma, right = np.linalg.svd(bd, full_matrices=False)
-        tail = self.beta[-1] if not self.done else 0.0
-        gap = float(np.max(np.abs(left[-1, :count]) * tail)) / sigma[0] if k >= min(count, bd.shape[1]) else 1.0
-        return right[:count] @ np.array(self.v[:bd.shape[1]]), 0.0 if self.done else gap
+            rest = rest - (rest @ self.v.T) @ self.v
+        _, size, basis = np.linalg.svd(rest, full_matrices=False)
+        basis = basis[size ** 2 > max(self.small, 1e-26 * (self.z ** 2).sum())]
+        for _ in range(2):
+            basis = basis - (basis @ self.v.T) @ self.v
+        self.last = rest
+        self.new = np.linalg.qr(basis.T)[0].T if len(basis) and len(self.v) < self.v.shape[1] else None
+
+    def residual(self, count: int) -> float:
+        """Largest part of X'u outside the right vectors among the ``count`` leading singular triplets of the small
+        matrix U'X V, relative to the largest singular value."""
+        if self.new is None:
+            return 0.0
+        left, sigma, _ = np.linalg.svd(self.z @ self.v.T, full_matrices=False)
+        if len(sigma) < count:
+            return 1.0
+        tail = left[len(left) - len(self.last):, :count].T @ self.last
+        return float(np.linalg.norm(tail, axis=1).max() / sigma[0])
+
+    def grow(self) -> None:
+        self.v = np.r_[self.v, self.new]
 
 
 def components(fit: DataFrame, column: str, n: int, mean: np.ndarray, count: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, float]:
     """(components (k, dims), eigenvalues (k), trace) of the fit list's covariance, k <= count:
     directions without variance are left out."""
     dims = len(mean)
-    rng = np.random.default_rng(seed)
-    chains = [Chain(rng.normal(size=dims)) for _ in range(min(count, dims))]
     trace = float(_sums(fit, column, lambda x: np.array([((x - mean) ** 2).sum()]), 1, dims)[0]) / n
     if not trace > 0:
         return np.zeros((0, dims)), np.zeros(0), 0.0
-    small = n * trace * 1e-26
+
+    def products(new: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        b, k = len(new), len(p)
+
+        def fold(x: np.ndarray) -> np.ndarray:
+            xc = x - mean
+            w = xc @ new.T
+            return np.concatenate([((xc @ p.T).T @ w).ravel(), (w.T @ w).ravel(), (xc.T @ w).ravel()])
+        s = _sums(fit, column, fold, (k + b + dims) * b, dims)
+        return s[:k * b].reshape(k, b), s[k * b:(k + b) * b].reshape(b, b), s[(k + b) * b:].reshape(dims, b)
+
+    run = Bidiagonalisation(np.random.default_rng(seed).normal(size=(min(count, dims), dims)), n * trace * 1e-26)
     want = RESIDUAL
     while True:
-        live = [c for c in chains if not c.done]
-        if live:
-            _advance(fit, column, mean, live, small)
-        if any(not c.done and c.right(count)[1] > want for c in chains):
+        run.step(products)
+        if run.residual(count) > want:
+            run.grow()
             continue
-        # Rayleigh-Ritz over the chains' components
-        q = np.concatenate([c.right(count)[0] for c in chains])
-        left, s, basis = np.linalg.svd(q, full_matrices=False)
-        basis = basis[s > 1e-6]
+        # Rayleigh-Ritz over all right vectors
+        basis = run.v
         vq = _sums(fit, column, lambda x: ((x - mean).T @ ((x - mean) @ basis.T)).ravel(), dims * len(basis), dims).reshape(dims, -1) / n
-        small_v = basis @ vq
-        e, w = np.linalg.eigh((small_v + small_v.T) / 2)
+        small = basis @ vq
+        e, w = np.linalg.eigh((small + small.T) / 2)
         keep = np.argsort(-e)[:count]
         keep = keep[e[keep] > trace * 1e-14]
         found, value = (w[:, keep].T @ basis), e[keep]
         residual = np.linalg.norm(vq @ w[:, keep] - found.T * value, axis=0) if len(keep) else np.zeros(1)
-        if residual.max() <= 10 * RESIDUAL * max(value.max(initial=0), 1e-300) or all(c.done for c in chains):
+        if run.new is None or residual.max() <= 10 * RESIDUAL * max(value.max(initial=0), 1e-300):
             return found, value, trace
         want /= 10
-
-
-def _advance(fit: DataFrame, column: str, mean: np.ndarray, chains: list[Chain], small: float) -> None:
-    """One step of every chain, in one pass over the list."""
-    dims = len(mean)
-    vs = [c.v[-1] for c in chains]
-    ps = [np.array(c.p).reshape(-1, dims) for c in chains]
-
-    def fold(x: np.ndarray) -> np.ndarray:
-        xc = x - mean
-        out = []
-        for v, p in zip(vs, ps):
-            w = xc @ v
-            out += [(xc @ p.T).T @ w, [w @ w], xc.T @ w]
-        return np.concatenate(out)
-
-    total = _sums(fit, column, fold, sum(len(p) + 1 + dims for p in ps), dims)
-    at = 0
-    for c, p in zip(chains, ps):
-        k = len(p)
-        c.step(total[at:at + k], float(total[at + k]), total[at + k + 1:at + k + 1 + dims], small)
-        at += k + 1 + dims
+        run.grow()
 
 
 def whiten(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", count: int = 4, scale: float = 256.0,
