@@ -97,7 +97,7 @@ def build(rows: np.ndarray, cols: np.ndarray, values: np.ndarray) -> tuple[int,
     return levels, masks[::-1], maxima[::-1]
 
 
-_COUNT = np.array([bin(i).count("1") for i in range(16)], np.int64)
+_COUNT = np.array([bin(i).count("1") for i in range(16)], np.int32)
 
 
 class Grid:
@@ -108,9 +108,8 @@ class Grid:
         self.levels, self.ids, self.names = levels, ids, names
         self.cells = len(maxima[-1]) if maxima else 0
         self.masks = [np.r_[m, np.uint8(0)] for m in masks]
-        self.first = [np.r_[np.cumsum(_COUNT[m]) - _COUNT[m], 0] for m in masks]
-        # sums of weight x maximum stay far below 2^53, so doubles hold them exactly
-        self.maxima = [np.r_[v.astype(np.float64), 0.0] for v in maxima]
+        self.first = [np.r_[np.cumsum(_COUNT[m]) - _COUNT[m], 0].astype(np.int32) for m in masks]
+        self.maxima = [np.r_[v, 0].astype(np.uint32) for v in maxima]
 
     def children(self, level: int, node: np.ndarray, row_half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Children of nodes in the given row halves, in the left and in the right half of the columns."""
@@ -124,7 +123,8 @@ class Grid:
 
     def bounds(self, level: int, node: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Sum of weight x maximum over the terms (second axis)."""
-        return self.maxima[level][node] @ weights
+        # sums of weight x maximum stay below 2^53 (checked by the search), so doubles hold them exactly
+        return self.maxima[level][node].astype(np.float64) @ weights
 
 
 def search(grid: Grid, rows: np.ndarray, weights: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
@@ -140,7 +140,7 @@ def search(grid: Grid, rows: np.ndarray, weights: np.ndarray, best: list[tuple[i
     weights = weights.astype(np.float64)
     bits = ((rows[:, None] >> np.arange(grid.levels)[::-1]) & 1).astype(np.uint8)
     size = len(grid.ids)
-    start = np.zeros((1, len(rows)), np.int64)
+    start = np.zeros((1, len(rows)), np.int32)
     wait: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {0: (grid.bounds(0, start, weights), np.zeros(1, np.int64), start)}
     while wait:
         floor, floor_id = best[-1] if len(best) == k else (0, NO_ID)
@@ -179,7 +179,38 @@ def search(grid: Grid, rows: np.ndarray, weights: np.ndarray, best: list[tuple[i
 # ---- the index ------------------------------------------------------------------------------
 
 FORWARD = "docs int, total long, ids array<long>, lengths array<int>, names binary, held binary, rows binary, tfs binary"
-INDEX = "levels int, ids array<long>, names binary, df array<int>, masks binary, mask_sizes array<int>, maxima binary"
+INDEX = "levels int, ids array<long>, names binary, df array<int>, mask_sizes array<int>, tree binary"
+
+
+def pack(raw: bytes) -> bytes:
+    """Compressed bytes behind their length."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
+def tree_bytes(masks: list[np.ndarray], maxima: list[np.ndarray]) -> bytes:
+    """The quadtree as stored: all masks, the root's maximum, and below it what each maximum falls short of its parent's."""
+    short = [np.repeat(up, _COUNT[m]) - v for m, up, v in zip(masks, maxima[:-1], maxima[1:])]
+    return pack(b"".join(m.tobytes() for m in masks) + np.concatenate([maxima[0], *short]).astype(np.uint32).tobytes())
+
+
+def open_tree(packed: bytes, sizes: list[int]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(masks, maxima) of stored quadtrees; ``sizes`` are the numbers of inner nodes of the levels."""
+    # every node but the root is a child: a level is as large as its parents' masks say, the last one is the cells
+    inner, raw = sum(sizes), unpack(packed)
+    flat, values = np.frombuffer(raw, np.uint8, inner), np.frombuffer(raw[inner:], np.uint32)
+    masks, maxima, at, low = [], [values[:1]], 0, 1
+    for n in sizes:
+        m = flat[at:at + n]
+        at += n
+        below = np.repeat(maxima[-1], _COUNT[m])
+        masks.append(m)
+        maxima.append(below - values[low:low + len(below)])
+        low += len(below)
+    return masks, maxima
 
 
 class Range:
@@ -211,8 +242,8 @@ class Range:
         held = np.array([len(r) for r in self.rows], np.int32)
         return pa.RecordBatch.from_arrays(
             [pa.array([len(self.ids)], pa.int32()), pa.array([sum(self.lengths)], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())),
-             pa.array([self.lengths], pa.list_(pa.int32())), pa.array([b"\n".join(self.lexicon)]), pa.array([held.tobytes()]),
-             pa.array([np.concatenate(self.rows).tobytes()]), pa.array([np.concatenate(self.tfs).tobytes()])],
+             pa.array([self.lengths], pa.list_(pa.int32())), pa.array([b"\n".join(self.lexicon)]), pa.array([pack(held.tobytes())]),
+             pa.array([pack(np.concatenate(self.rows).tobytes())]), pa.array([pack(np.concatenate(self.tfs).tobytes())])],
             ["docs", "total", "ids", "lengths", "names", "held", "rows", "tfs"])
 
 
@@ -234,24 +265,13 @@ def _grid(ids: np.ndarray, lengths: np.ndarray, names: list[bytes], held: np.nda
     return pa.RecordBatch.from_arrays(
         [pa.array([levels], pa.int32()), pa.array([ids[order].tolist()], pa.list_(pa.int64())),
          pa.array([b"\n".join(names[i] for i in rank)]), pa.array([df[rank].tolist()], pa.list_(pa.int32())),
-         pa.array([b"".join(m.tobytes() for m in masks)]), pa.array([[len(m) for m in masks]], pa.list_(pa.int32())),
-         pa.array([b"".join(m.tobytes() for m in maxima)])],
-        ["levels", "ids", "names", "df", "masks", "mask_sizes", "maxima"])
+         pa.array([[len(m) for m in masks]], pa.list_(pa.int32())), pa.array([tree_bytes(masks, maxima)])],
+        ["levels", "ids", "names", "df", "mask_sizes", "tree"])
 
 
 def open_range(row: dict) -> Grid:
     """The quadtree of an index row."""
-    sizes = row["mask_sizes"]
-    masks, flat = [], np.frombuffer(row["masks"], np.uint8)
-    at = 0
-    for s in sizes:
-        masks.append(flat[at:at + s])
-        at += s
-    values = np.frombuffer(row["maxima"], np.uint32)
-    maxima, at = [], 0
-    for s in [*sizes, len(values) - sum(sizes)]:
-        maxima.append(values[at:at + s])
-        at += s
+    masks, maxima = open_tree(row["tree"], row["mask_sizes"])
     names = row["names"].split(b"\n") if row["names"] else []
     return Grid(row["levels"], masks, maxima, np.array(row["ids"], np.int64), names)
 
@@ -284,7 +304,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range
         for b in slices(batches, 1):
             row = {c: b.column(c)[0] for c in ("names", "held", "rows", "tfs")}
             ids, lengths = (b.column(c).flatten().to_numpy() for c in ("ids", "lengths"))
-            ints = [np.frombuffer(row[c].as_py(), np.int32) for c in ("held", "rows", "tfs")]
+            ints = [np.frombuffer(unpack(row[c].as_py()), np.int32) for c in ("held", "rows", "tfs")]
             yield _grid(ids, lengths, row["names"].as_py().split(b"\n"), *ints, n_docs, total)
 
     return materialize(bounded_batches(forward.drop("docs", "total")).mapInArrow(grow, INDEX), "treap-index"), n_docs, total
