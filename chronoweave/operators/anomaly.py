@@ -1,9 +1,8 @@
 """Anomaly detection and cleaning.
 
-Decomposition uses bounded centred windows (halo blocks) and per-phase statistics;
-fences are per-series quantiles of the remainder from the mergeable sketch.  The cap
-on the share of anomalies keeps the most distant ones via the sketch quantile of their
-distances, so no per-series ranking window is needed.
+Decomposition uses bounded centred windows (halo blocks) and per-phase statistics, or STL;
+fences are exact per-series quantiles of the remainder.  The cap on the share of
+anomalies keeps the most distant fence violators.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.aggs import quantile
 from chronoweave.operators import fill, windows
 from chronoweave.operators.diagnostics import classical_decomposition
+from chronoweave.operators.stl import stl
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans.series import POS, _keys, decay_scan, halo_window, positioned
 
@@ -38,13 +38,16 @@ def median_decomposition(df: DataFrame, value_col: str = Y, period: int = 7, tre
 
 def anomalize(df: DataFrame, value_col: str = Y, period: int = 7, trend_window: int = 91, iqr_alpha: float = 0.05,
               max_anomalies: float = 0.2, method: str = "twitter", freq: str | None = None,
-              id_cols: str | Sequence[str] = ID, digits: int = 6) -> DataFrame:
-    """Decomposition -> IQR fence on the remainder (``q1 - f*iqr``, ``q3 + f*iqr``,
+              id_cols: str | Sequence[str] = ID, digits: int = 6, robust: int = 2) -> DataFrame:
+    """Decomposition (``method``: 'twitter', 'stl' or 'classical') -> IQR fence on the remainder (``q1 - f*iqr``, ``q3 + f*iqr``,
     ``f = 0.15 / iqr_alpha``) -> at most ``max_anomalies`` of the rows flagged (the most
-    distant) -> ``observed_clean`` = value clipped to the recomposed bounds."""
+    distant) -> ``observed_clean`` = value clipped to the recomposed bounds.  ``robust`` is the number of
+    outer rounds of STL."""
     keys = _keys(id_cols)
     if method == "twitter":
         d = median_decomposition(df, value_col, period, trend_window, freq, keys)
+    elif method == "stl":
+        d = stl(df, value_col, period, outer=robust, freq=freq, id_cols=keys, digits=12)
     else:
         d = classical_decomposition(df, value_col, period, freq=freq, id_cols=keys, digits=12)
     f = round(0.15 / iqr_alpha, 10)  # 0.15/0.05 is 2.9999999999999996 in binary
@@ -73,12 +76,16 @@ def anomalize(df: DataFrame, value_col: str = Y, period: int = 7, trend_window:
 
 
 def ts_clean(df: DataFrame, value_col: str = Y, period: int = 7, iqr_factor: float = 3.0, freq: str | None = None,
-             id_cols: str | Sequence[str] = ID, within: tuple[str, str] | None = None, digits: int = 6) -> DataFrame:
+             id_cols: str | Sequence[str] = ID, within: tuple[str, str] | None = None, digits: int = 6, method: str = "classical",
+             robust: int = 2) -> DataFrame:
     """J03/J04/J05 ``ts_clean_vec``: flag remainder values beyond ``iqr_factor * IQR``
-    (classical decomposition), set them to NULL and re-fill by seasonal interpolation
-    (B15).  ``within=(start, end)`` applies the cleaned value only inside that range."""
+    (classical decomposition, or STL with ``robust`` outer rounds), set them to NULL and re-fill by
+    seasonal interpolation (B15).  ``within=(start, end)`` applies the cleaned value only inside that range."""
     keys = _keys(id_cols)
-    d = classical_decomposition(df, value_col, period, freq=freq, id_cols=keys, digits=12)
+    if method == "stl":
+        d = stl(df, value_col, period, outer=robust, freq=freq, id_cols=keys, digits=12)
+    else:
+        d = classical_decomposition(df, value_col, period, freq=freq, id_cols=keys, digits=12)
     q = d.groupBy(*keys).agg(quantile("remainder", [0.25, 0.75]).alias("_q"))
     x = d.join(q, keys, "left")
     iqr = F.col("_q")[1] - F.col("_q")[0]

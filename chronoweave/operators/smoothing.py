@@ -317,19 +317,22 @@ def thief(train: DataFrame, h: int, season: int = 7, alpha: float = 0.3, freq: s
     return _emit(base, keys, h, freq, "THIEF", rec)
 
 
-def mstl_forecast(train: DataFrame, h: int, periods: Sequence[int] = (7, 30), alpha: float = 0.3, freq: str = "D",
-                  id_cols: str | Sequence[str] = ID) -> DataFrame:
-    """Multiple seasonal decomposition; the seasonally adjusted series is forecast by
-    SES, each seasonal component by its seasonal naive; the forecasts are summed."""
+def mstl_forecast(train: DataFrame, h: int, periods: Sequence[int] = (7, 30), alpha: float | None = 0.3, freq: str = "D",
+                  id_cols: str | Sequence[str] = ID, method: str = "classical", name: str = "MSTL") -> DataFrame:
+    """Multiple seasonal decomposition (``method`` 'classical' or 'loess'); the seasonally adjusted
+    series is forecast by SES (``alpha=None`` optimises), each seasonal component by its seasonal naive; the
+    forecasts are summed."""
+    from chronoweave.operators import diagnostics, stl
     from chronoweave.operators.baselines import seasonal_naive
-    from chronoweave.operators.diagnostics import mstl
     keys = _keys(id_cols)
+    mstl = stl.mstl if method == "loess" else diagnostics.mstl
     d = mstl(train, Y, periods, freq=freq, id_cols=keys, digits=12)
     seas = sum((F.col(f"seasonal_{p}") for p in periods), F.lit(0.0))
     adj = d.select(*keys, DS, (F.col(Y) - seas).alias(Y))
-    fc = ses(adj, h, alpha, freq, keys).select(*keys, DS, F.col(YHAT).alias("_f"))
+    level = ses_optimized(adj, h, freq, keys) if alpha is None else ses(adj, h, alpha, freq, keys)
+    fc = level.select(*keys, DS, F.col(YHAT).alias("_f"))
     for p in periods:
         sp = seasonal_naive(d.select(*keys, DS, F.col(f"seasonal_{p}").alias(Y)), h, p, freq, keys)
         fc = fc.join(sp.select(*keys, DS, F.col(YHAT).alias(f"_s{p}")), [*keys, DS])
     total = F.col("_f") + sum((F.col(f"_s{p}") for p in periods), F.lit(0.0))
-    return fc.select(*keys, DS, F.lit("MSTL").alias(MODEL), total.alias(YHAT))
+    return fc.select(*keys, DS, F.lit(name).alias(MODEL), total.alias(YHAT))

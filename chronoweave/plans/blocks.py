@@ -200,3 +200,23 @@ def ordered_ranks(df: DataFrame, order_cols: Sequence[str], id_cols: str | Seque
         inner = Window.partitionBy(*keys, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
         y = y.withColumn(cum, (F.col("_woff") + F.coalesce(F.sum(w).over(inner), F.lit(0))).cast("long"))
     return y.drop("_row", "_part", "_first", "_off", "_woff")
+
+
+def group_quantiles(df: DataFrame, value_col: str, qs: Mapping[str, float], id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """One row per series: exact interpolated quantiles of ``value_col`` (NULLs left out), ``qs`` naming them.
+
+    Values are counted, ranked on a range-partitioned order and picked by rank, so a series with
+    billions of different values needs no more memory than others."""
+    keys = _keys(id_cols)
+    v = df.where(F.col(value_col).isNotNull()).select(*keys, F.col(value_col).cast("double").alias("_qv"))
+    counts = v.groupBy(*keys, "_qv").agg(F.count(F.lit(1)).alias("_qm"))
+    ranked = ordered_ranks(counts, ["_qv"], keys, "_qr", "_qm", "_qc")
+    ranked = ranked.join(ranked.groupBy(*keys).agg(F.sum("_qm").alias("_qn")), keys)
+
+    def picked(rank: Column) -> Column:
+        return F.max(F.when((F.col("_qc") <= rank) & (rank < F.col("_qc") + F.col("_qm")), F.col("_qv")))
+    places = {name: F.lit(float(q)) * (F.col("_qn") - 1) for name, q in qs.items()}
+    ends = ranked.groupBy(*keys).agg(*[picked(F.floor(r)).alias(f"_a_{n}") for n, r in places.items()],
+                                     *[picked(F.ceil(r)).alias(f"_b_{n}") for n, r in places.items()],
+                                     *[F.first(r - F.floor(r)).alias(f"_f_{n}") for n, r in places.items()])
+    return ends.select(*keys, *[(F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * F.col(f"_f_{n}")).alias(n) for n in qs])

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from chronoweave.operators import anomaly
+from chronoweave.operators import anomaly, timegrid
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans.catalog_grid import _INTERP
 from chronoweave.plans.catalog_models import padded_daily
 from chronoweave.plans.registry import register
 from chronoweave.plans.sqlpanels import ORDERS_DAILY, cte, padded
+from chronoweave.sources import panels
 
 P = cte(p=padded(ORDERS_DAILY))
 W = "over (partition by unique_id order by ds)"
@@ -44,6 +45,17 @@ def j01(spark, sf):
     return anomaly.anomalize(padded_daily(spark, sf), Y, 7, 91, 0.05, 0.2, "twitter", freq="D")
 
 
+#: revenue with a narrow fence (factor 1) and a cap of 2 %: flags, the cap and cleaning all take effect
+NARROW = (TWITTER + FENCE).replace(padded(ORDERS_DAILY), padded(ORDERS_DAILY.replace("count(*)::double as y, sum(o_totalprice) as rev", "sum(o_totalprice) / 1000 as y"))) \
+    .replace("3.0 * (q3 - q1)", "1.0 * (q3 - q1)").replace("floor(n * 0.2)", "floor(n * 0.02)")
+
+
+@register("J01_anomalize_narrow_fence", NARROW, ids=("J01",))
+def j01n(spark, sf):
+    d = panels.orders_daily(spark, sf).select(ID, DS, (F.col("rev") / 1000).alias(Y))
+    return anomaly.anomalize(timegrid.pad_by_time(d, "D", fill={Y: 0.0}), Y, 7, 91, 0.15, 0.02, "twitter", freq="D")
+
+
 @register("J02_anomaly_diagnostics_classical", CLASSICAL + FENCE, ids=("J02",))
 def j02(spark, sf):
     return anomaly.anomalize(padded_daily(spark, sf), Y, 7, 91, 0.05, 0.2, "classical", freq="D")
