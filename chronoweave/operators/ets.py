@@ -28,7 +28,7 @@ from chronoweave.operators.baselines import MODEL, YHAT
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans.blocks import BLOCK, _bounded, gather
 from chronoweave.plans.series import POS, _keys, positioned
-from chronoweave.session import cut_lineage
+from chronoweave.session import store
 
 BLOCK_ROWS = 2048
 #: blocks (or compositions of blocks) that one task composes
@@ -205,10 +205,10 @@ def fit_ets(train: DataFrame, season: int = 7, forms: Sequence[str] = tuple(FORM
     if season < 2 and any(FORMS[f].seasonal for f in names):
         raise ValueError("a seasonal form needs a season of 2 or more")
     x = positioned(train.select(*keys, DS, F.col(Y).cast("double").alias("_y")), keys, freq)[0]
-    stats = cut_lineage(x.groupBy(*keys).agg(F.avg("_y").alias("mean"), F.count(F.lit(1)).alias("n"), F.max(DS).alias("last"), F.min(POS).alias("_p0"),
+    stats = store(x.groupBy(*keys).agg(F.avg("_y").alias("mean"), F.count(F.lit(1)).alias("n"), F.max(DS).alias("last"), F.min(POS).alias("_p0"),
                                              F.avg(F.col("_y") * F.col("_y")).alias("_sq")))
     x = x.join(stats, keys).select(*keys, (F.col(POS) - F.col("_p0")).alias(POS), (F.col("_y") - F.col("mean")).alias("_v"))
-    blocks = cut_lineage(gather(x, ["_v"], keys, POS, block_rows).select(*keys, BLOCK, "_v"))
+    blocks = store(gather(x, ["_v"], keys, POS, block_rows).select(*keys, BLOCK, "_v"))
     longest = blocks.agg(F.max(BLOCK)).first()[0] or 0
     kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
     head = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
@@ -264,7 +264,7 @@ def fit_ets(train: DataFrame, season: int = 7, forms: Sequence[str] = tuple(FORM
             if span == 1:
                 break
             pieces = _bounded(group).mapInArrow(joined(r, False), f"{head}, f int, theta array<double>, g long, flat array<double>")
-        best = cut_lineage(_bounded(group).mapInArrow(joined(r, True), f"{head}, f int, theta array<double>, sse double, state array<double>"))
+        best = store(_bounded(group).mapInArrow(joined(r, True), f"{head}, f int, theta array<double>, sse double, state array<double>"))
 
     free = {i: FORMS[f].free(season) for i, f in enumerate(names)}
     score = F.udf(lambda f, sse, n, scale: aicc(sse, n, free[f], scale), "double")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from chronoweave.operators.baselines import MODEL, YHAT
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans.blocks import _bounded, ordered_ranks
-from chronoweave.session import cut_lineage
+from chronoweave.session import store
 
 CELLS = 1 << 21
 #: relative slack of the bounds against rounding
@@ -140,19 +140,19 @@ def knn_regression(train: DataFrame, test: DataFrame, features: Sequence[str], k
     whole = F.forall("_x", lambda v: v.isNotNull() & ~F.isnan(v))
     y = F.col(target).cast("double")
     tr = train.select(*row_cols, x.alias("_x"), y.alias("_y")).where(whole & F.col("_y").isNotNull() & ~F.isnan("_y"))
-    tr = cut_lineage(ordered_ranks(tr, list(row_cols), [], "_t").select("_t", "_x", "_y"))
-    asked = cut_lineage(test.select(*row_cols, x.alias("_x")).withColumn("_q", F.monotonically_increasing_id()))
+    tr = store(ordered_ranks(tr, list(row_cols), [], "_t").select("_t", "_x", "_y"))
+    asked = store(test.select(*row_cols, x.alias("_x")).withColumn("_q", F.monotonically_increasing_id()))
     names = [F.lit(f"{name}{j}") for j in ks]
 
     places = choose_pivots(tr, pivots)
     if len(places):
         cells = ordered_ranks(assign(tr, places), ["_r", "_t"], ["_c"], "_rank")
-        cells = cut_lineage(cells.withColumn("_k", F.floor(F.col("_rank") / chunk_rows)))
+        cells = store(cells.withColumn("_k", F.floor(F.col("_rank") / chunk_rows)))
         head = cells.where(F.col("_rank") < k).groupBy("_c").agg(F.array_sort(F.collect_list("_r")).alias("r")).collect()
         far = {r["_c"]: r["r"] for r in cells.groupBy("_c").agg(F.max("_r").alias("r")).collect()}
         nearest = {r["_c"]: np.array(r["r"]) for r in head}
         queries = ordered_ranks(assign(asked.where(whole).select("_q", "_x"), places), ["_c", "_r", "_q"], [], "_rank")
-        queries = cut_lineage(queries.select("_q", "_x", F.floor(F.col("_rank") / query_rows).alias("_b")))
+        queries = store(queries.select("_q", "_x", F.floor(F.col("_rank") / query_rows).alias("_b")))
         visits = _visits(queries, places, [nearest.get(c, np.zeros(0)) for c in range(len(places))],
                          np.array([far.get(c, -np.inf) for c in range(len(places))]), k)
         rings = cells.groupBy("_c", "_k").agg(F.min("_r").alias("lo"), F.max("_r").alias("hi")) \

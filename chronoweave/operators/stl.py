@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from chronoweave.panel import DS, ID, Y
 from chronoweave.plans.blocks import ARRAY_ROWS, gather, group_quantiles, map_blocks
 from chronoweave.plans.series import POS, _keys, positioned
-from chronoweave.session import cut_lineage
+from chronoweave.session import store
 
 CELLS = 1 << 21
 
@@ -139,7 +139,7 @@ def stl(df: DataFrame, value_col: str = Y, period: int = 7, seasonal: int = 7, t
         found = map_blocks(blocks, decompose, {"_v": "double", "_t": "double", "_s": "double"}, ["_v", "_t", "_w"], keys, POS, ["_n"])
         if k == outer:
             break
-        found = cut_lineage(found.withColumn("_e", F.abs(F.col("_v") - F.col("_t") - F.col("_s"))))
+        found = store(found.withColumn("_e", F.abs(F.col("_v") - F.col("_t") - F.col("_s"))))
         median = group_quantiles(found, "_e", {"_h": 0.5}, keys)
         u = F.try_divide(F.col("_e"), 6 * F.col("_h"))
         bisquare = F.when(F.col("_e") <= 0.001 * 6 * F.col("_h"), 1.0).when(u > 0.999, 0.0).otherwise(F.pow(1 - u * u, 2))
@@ -164,7 +164,7 @@ def mstl(df: DataFrame, value_col: str = Y, periods: Sequence[int] = (7, 30), it
             rest = sum((F.col(f"seasonal_{o}") for o in periods if o != p), F.lit(0.0))
             d = stl(x.drop("trend", "remainder").withColumn("_adj", F.col(value_col) - rest), "_adj", p, 11 + 4 * j, freq=freq, id_cols=keys,
                     block_rows=block_rows, digits=None)
-            x = cut_lineage(d.withColumn(f"seasonal_{p}", F.col("season")).drop("season", "_adj", "remainder"))
+            x = store(d.withColumn(f"seasonal_{p}", F.col("season")).drop("season", "_adj", "remainder"))
     seasons = sum((F.col(f"seasonal_{p}") for p in periods), F.lit(0.0))
     x = x.withColumn("remainder", F.col(value_col) - F.col("trend") - seasons)
     names = [*[f"seasonal_{p}" for p in periods], "trend", "remainder"]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.panel import ID
 from chronoweave.plans.series import POS, _keys
-from chronoweave.session import cut_lineage
+from chronoweave.session import store
 
 BLOCK = "_blk"
 #: rows of a block; its arrays are what a task holds at a time
@@ -130,7 +130,7 @@ def fold_blocks(blocks: DataFrame, fn: Fold, init: Callable[..., np.ndarray], ou
     keys = _keys(id_cols)
     kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
     key_schema = ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, BLOCK])
-    stored = cut_lineage(blocks)
+    stored = store(blocks)
 
     def inputs(b: pa.RecordBatch) -> tuple[list, list, list]:
         p, start, *rest = _block_inputs(b, ["_p", "_start", *cols, *scalars])
@@ -164,20 +164,58 @@ def fold_blocks(blocks: DataFrame, fn: Fold, init: Callable[..., np.ndarray], ou
     end_schema = f"{key_schema}, _start array<double>, _end array<double>"
     nothing = F.array().cast("array<double>")
     before = Window.partitionBy(*keys).orderBy(BLOCK)
-    state = cut_lineage(_bounded(stored.withColumn("_start", nothing)).mapInArrow(ends, end_schema))
+    state = store(_bounded(stored.withColumn("_start", nothing)).mapInArrow(ends, end_schema))
     while True:
         want = state.withColumn("_want", F.coalesce(F.lag("_end").over(before), nothing))
         # array equality counts NaN as equal to NaN
-        stale = cut_lineage(want.where(F.col("_want") != F.col("_start")).select(*keys, BLOCK, F.col("_want").alias("_start")))
+        stale = store(want.where(F.col("_want") != F.col("_start")).select(*keys, BLOCK, F.col("_want").alias("_start")))
         if stale.isEmpty():
             break
         redone = _bounded(stored.join(stale, [*keys, BLOCK])).mapInArrow(ends, end_schema)
-        state = cut_lineage(state.join(stale, [*keys, BLOCK], "left_anti").unionByName(redone))
+        state = store(state.join(stale, [*keys, BLOCK], "left_anti").unionByName(redone))
     final = stored.join(state.select(*keys, BLOCK, "_start"), [*keys, BLOCK])
     schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + [f"`{pos_col}` long"] + [f"`{n}` {t}" for n, t in out.items()])
     return _bounded(final).mapInArrow(rows, schema)
 
 
+def fold_summaries(blocks: DataFrame, fn: Callable[..., tuple[np.ndarray, np.ndarray]], init: Callable[..., np.ndarray], cols: Sequence[str],
+                   id_cols: str | Sequence[str], scalars: Sequence[str] = ()) -> DataFrame:
+    """One row (series, block, ``_sum``, ``_end``) per block of a recursion: ``fn(p, state, *cols, **scalars)`` returns what the
+    block adds (an array of doubles) and its end state.  Rounds as in :func:`fold_blocks`; nothing is returned by row."""
+    keys = _keys(id_cols)
+    kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, BLOCK]) + ", _start array<double>, _end array<double>, _sum array<double>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many = pa.list_(pa.float64())
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            p, start, *rest = _block_inputs(b, ["_p", "_start", *cols, *scalars])
+            ends, sums = [], []
+            for i in range(b.num_rows):
+                args = [r[i] for r in rest]
+                named = dict(zip(scalars, args[len(cols):]))
+                state = np.array(init(**named) if len(start[i]) == 0 else start[i], float)
+                add, end = fn(p[i], state, *args[:len(cols)], **named)
+                ends.append(end.tolist())
+                sums.append(add.tolist())
+            yield pa.RecordBatch.from_arrays([b.column(k) for k in [*keys, BLOCK]] + [b.column("_start"), pa.array(ends, many), pa.array(sums, many)],
+                                             [*keys, BLOCK, "_start", "_end", "_sum"])
+
+    nothing = F.array().cast("array<double>")
+    before = Window.partitionBy(*keys).orderBy(BLOCK)
+    state = store(_bounded(blocks.withColumn("_start", nothing)).mapInArrow(run, schema))
+    while True:
+        want = state.withColumn("_want", F.coalesce(F.lag("_end").over(before), nothing))
+        stale = want.where(F.col("_want") != F.col("_start")).select(*keys, BLOCK, F.col("_want").alias("_start"))
+        if stale.isEmpty():
+            return state.select(*keys, BLOCK, "_sum", "_end")
+        stale = store(stale)
+        redone = _bounded(blocks.join(stale, [*keys, BLOCK])).mapInArrow(run, schema)
+        state = store(state.join(stale, [*keys, BLOCK], "left_anti").unionByName(redone))
+
+
 def ordered_ranks(df: DataFrame, order_cols: Sequence[str], id_cols: str | Sequence[str] = ID, out: str = "_rank",
                   weight: str | None = None, cum: str = "_cum") -> DataFrame:
     """``out`` = 0-based rank of each row within its series by ``order_cols`` and, given ``weight``, ``cum`` =
@@ -188,7 +226,7 @@ def ordered_ranks(df: DataFrame, order_cols: Sequence[str], id_cols: str | Seque
     fills.  Rows with equal series and order meet in one partition, so pre-aggregate ties."""
     keys = _keys(id_cols)
     by = [F.col(c) for c in [*keys, *order_cols]]
-    x = cut_lineage(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id()))
+    x = store(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id()))
     x = x.withColumn("_part", F.shiftright("_row", 33))
     w = F.col(weight) if weight else F.lit(1)
     parts = x.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"), F.sum(w).alias("_w"))

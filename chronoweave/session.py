@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +62,29 @@ def cut_lineage(df):
     a lost executor) start from stored data instead of re-running the whole lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_STORED: list[tuple[SparkSession, str]] = []
+
+
+def store(df):
+    """Write ``df`` once as Parquet into the shared checkpoint folder and continue from the files.
+
+    Like :func:`cut_lineage`, but the plan runs once (a checkpoint runs its last stage twice, which
+    counts where that stage is Python code) and later steps read only the columns they use.  The files are
+    deleted when the driver program ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _STORED:
+        atexit.register(_delete_stored)
+    _STORED.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete_stored() -> None:
+    for spark, path in _STORED:
+        if spark.sparkContext._jsc is None:  # the session has ended already
+            return
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
