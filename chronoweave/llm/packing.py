@@ -115,6 +115,19 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
+def _gifts(mine: np.ndarray, n: np.ndarray) -> list[tuple[int, ...]]:
+    """The single documents and the pairs that a bin can give, one of each length or pair of lengths.
+
+    Documents of equal length are as good as each other, and a bin of 1,024 tokens holds at most 44 different lengths, so
+    this is every exchange, however many documents the bin has."""
+    of: dict[int, list[int]] = {}
+    for x in mine.tolist():
+        of.setdefault(int(n[x]), []).append(x)
+    first = [xs[0] for xs in of.values()]
+    pairs = [(x, y) for i, x in enumerate(first) for y in first[i + 1:]] + [(xs[0], xs[1]) for xs in of.values() if len(xs) > 1]
+    return [(x,) for x in first] + pairs
+
+
 def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
     """Empty underfull bins, least filled first.
 
@@ -153,9 +166,7 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[
                         best, step = int(gain[c]), ((x,), None, c)
             if step is None:
                 room = gap[home]
-                give = [(x,) for x in mine.tolist()]
-                give += [(x, y) for i, x in enumerate(mine.tolist()) for y in mine[i + 1:].tolist()] if len(mine) <= 32 else []
-                for xs in give:  # exchange for one document of another bin
+                for xs in _gifts(mine, n):  # exchange for one document of another bin
                     d = sum(int(n[x]) for x in xs) - n
                     ok = (d > 0) & (d <= room)
                     if ok.any():

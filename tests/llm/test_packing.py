@@ -88,3 +88,15 @@ def test_pieces_and_sequences(make_docs, odd):
 
 def test_empty_table(make_docs):
     assert packing.pack_documents(make_docs([]), JSON, RANKS).collect() == []
+
+
+def test_pairs_of_bins_with_many_documents():
+    """Every pair of lengths is offered, however many documents a bin holds."""
+    n = np.array([1] * 40 + [2] * 20 + [7, 9], np.int64)
+    gifts = {tuple(sorted(int(n[x]) for x in g)) for g in packing._gifts(np.arange(len(n)), n)}
+    assert gifts == {(1,), (2,), (7,), (9,), (1, 1), (1, 2), (1, 7), (1, 9), (2, 2), (2, 7), (2, 9), (7, 9)}
+    # 1 + 2 against a 3: only the exchange of two for one fills the other bin
+    lengths = np.array([1] * 39 + [2] * 30 + [47, 50, 3], np.int64)
+    bins = [list(range(69)), [69, 71], [70]]
+    out = packing.local_search(bins, lengths, 100)
+    assert sorted(d for b in out for d in b) == list(range(72)) and all(lengths[b].sum() <= 100 for b in out)
