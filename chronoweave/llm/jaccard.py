@@ -7,7 +7,10 @@ the set goes to the child named by (position, value), so similar sets keep meeti
 others part.  A node of at most ``limit`` sets is a leaf and is compared by brute force;
 larger ones are split again.  Runs are repeated until the estimated recall reaches the
 target: of the verified links, those met in one run only and in two runs only tell how many
-were met in none (Chao's estimator); while too many, the number of runs is doubled.
+were met in none (Chao's estimator).  Four bands of similarity are judged apart, so that thousands of easy
+links do not hide those near the threshold; while any band misses too many, the number of runs
+is doubled.  At ``max_runs`` (at most 1,024) the join fails and says which bands fall short: it never
+returns less than the recall asked for without a word.
 
 Exactness.  Equal texts form a class and only one of them travels.  In a leaf, pairs pass a
 size bound and a 128-byte sketch (five standard deviations below the threshold) and are then
@@ -38,7 +41,9 @@ SHINGLE = 5
 POSITIONS = 64  # signature positions that paths are chosen from; as many again are only compared
 _WORD = re.compile(r"\w+")
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-_RUN_BITS = 6
+_RUN_BITS = 10
+#: runs there is room for, and bands of similarity whose recall is estimated apart
+MAX_RUNS, BANDS = 1 << _RUN_BITS, 4
 _SEEDS = np.random.default_rng(9).integers(1, 1 << 62, 2 * POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BROADCAST_ROWS = 200_000
 NO_NODE = (1 << 63) - 1
@@ -291,20 +296,24 @@ def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
 
 def _runs_met(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """In how many runs each pair has a leaf in common."""
-    met = np.zeros(len(i), np.uint64)
+    run = np.where(nodes == NO_NODE, 0, nodes.view(np.uint64) & np.uint64((1 << _RUN_BITS) - 1))
+    words = int(run.max(initial=0)) // 64 + 1
+    out = np.zeros(len(i), np.int64)
     for at in range(0, len(i), 50_000):
-        a, b = nodes[i[at:at + 50_000]], nodes[j[at:at + 50_000]]
+        a, b, r = nodes[i[at:at + 50_000]], nodes[j[at:at + 50_000]], run[i[at:at + 50_000]]
+        met = np.zeros((len(a), words), np.uint64)
         for c in range(nodes.shape[1]):
             both = (b == a[:, c, None]).any(axis=1) & (a[:, c] != NO_NODE)
-            run = a[:, c].view(np.uint64) & np.uint64((1 << _RUN_BITS) - 1)
-            met[at:at + 50_000] |= both.astype(np.uint64) << run
-    return np.bitwise_count(met).astype(np.int64)
+            met[np.arange(len(a)), (r[:, c] >> np.uint64(6)).astype(np.int64)] |= both.astype(np.uint64) << (r[:, c] & np.uint64(63))
+        out[at:at + 50_000] = np.bitwise_count(met).sum(axis=1)
+    return out
 
 
 def _verify(threshold: float, emit_pairs: bool):
     """Exact verification: kind 0 links of a set in this leaf (value: how many), kind 1 an
     edge to the smallest set it is connected with in this leaf, kind 2 pairs (if asked for;
-    value: shared shingles), kind 3 how many links were met in ``other`` runs."""
+    value: shared shingles), kind 3 how many links of a band of similarity were met in how many runs (``other`` is
+    band * 2 MAX_RUNS + runs)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "node"):
             t, node, n, sketch, nodes = _sorted_rows(t)
@@ -335,7 +344,9 @@ def _verify(threshold: float, emit_pairs: bool):
                 if emit_pairs:
                     pairs.append((2, rid[a], rid[b], shared))
             out = [(0, rid[x], 0, c) for x, c in links.items()] + [(1, rid[x], rid[find(x)], 0) for x in links if find(x) != x]
-            out += pairs + [(3, 0, k, c) for k, c in enumerate(np.bincount(_runs_met(nodes, i, j)).tolist()) if c]
+            near = both / np.maximum(size[i] + size[j] - both, 1)
+            band = np.clip(((near - threshold) / max(1 - threshold, 1e-9) * BANDS).astype(np.int64), 0, BANDS - 1)
+            out += pairs + [(3, 0, k, c) for k, c in enumerate(np.bincount(_runs_met(nodes, i, j) + band * 2 * MAX_RUNS).tolist()) if c]
             if out:
                 cols = [np.array(c, np.int64) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "rid", "other", "value"])
@@ -378,6 +389,13 @@ def _text_key(text: str):
     return (F.xxhash64(text).alias("t1"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("t2"))
 
 
+def _reached(met: dict[int, int], recall: float) -> bool:
+    """Whether links met in 1, 2, .. runs (``met``) are ``recall`` of all, by Chao's estimate of those never met."""
+    seen, once, twice = sum(met.values()), met.get(1, 0), met.get(2, 0)
+    missed = once * (once - 1) / (2 * (twice + 1))
+    return missed <= (1 - recall) * (seen + missed)
+
+
 def classes(docs: DataFrame, threshold: float, recall: float, n_runs: int, max_runs: int, limit: int, depth: int,
             id_col: str, text_col: str, emit_pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Rows (id, t1, t2), one row per text (t1, t2, rid, n, copy_of, copies, class_id,
@@ -392,10 +410,11 @@ def classes(docs: DataFrame, threshold: float, recall: float, n_runs: int, max_r
     while True:
         found = _links(given, sets, n_runs, threshold, limit, depth, emit_pairs)
         met = {r["other"]: r["s"] for r in found.where("kind = 3").groupBy("other").agg(F.sum("value").alias("s")).collect()}
-        seen, once, twice = sum(met.values()), met.get(1, 0), met.get(2, 0)
-        missed = once * (once - 1) / (2 * (twice + 1))
-        if n_runs >= max_runs or missed <= (1 - recall) * (seen + missed):
+        short = [b for b in range(BANDS) if not _reached({k - b * 2 * MAX_RUNS: c for k, c in met.items() if k // (2 * MAX_RUNS) == b}, recall)]
+        if not short:
             break
+        if 2 * n_runs > min(max_runs, MAX_RUNS):
+            raise RuntimeError(f"{n_runs} runs leave the recall of links below {recall} in bands {short} of {BANDS} from similarity {threshold} to 1")
         n_runs *= 2
     links = found.where("kind = 0").groupBy("rid").agg(F.sum("value").alias("n_links"))
     comp = components(found.where("kind = 1").select("rid", "other"))
@@ -409,7 +428,7 @@ def classes(docs: DataFrame, threshold: float, recall: float, n_runs: int, max_r
     return rows.select("id", "t1", "t2"), materialize(texts, "near-texts"), found, given
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = 64,
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = MAX_RUNS,
                     limit: int = 2048, depth: int = 12, id_col: str = "doc_id", text_col: str = "text",
                     emit_pairs: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """(id, class_id, copy_of, n_links) for every row of ``docs``.
@@ -434,7 +453,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     return out, pairs
 
 
-def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = 64,
+def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, n_runs: int = 16, max_runs: int = MAX_RUNS,
                 limit: int = 2048, depth: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) with one row of each class: the one with the smallest id.
 

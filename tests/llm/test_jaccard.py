@@ -114,3 +114,21 @@ def test_every_pair_is_counted_once():
     nodes = np.array([[1, 2, J.NO_NODE]] * 6)  # the same three sets meet in both nodes
     i, j = J.close_pairs(node, np.full(6, 10), sketch, nodes, 0.8)
     assert sorted(zip(i.tolist(), j.tolist())) == [(0, 1), (0, 2), (1, 2)]
+
+
+def test_recall_is_judged_by_band_and_never_given_up_in_silence(spark, make_docs, monkeypatch):
+    # a thousand links met often do not hide three that were met once
+    assert J._reached({5: 1000, 1: 1}, 0.999) and not J._reached({1: 3}, 0.999) and J._reached({}, 0.999)
+    base = [f"w{i}" for i in range(60)]
+    docs = make_docs([(k, " ".join(base[:40 + k])) for k in range(12)])
+    monkeypatch.setattr(J, "_reached", lambda met, recall: False)
+    with pytest.raises(RuntimeError, match="recall"):
+        J.near_duplicates(docs, n_runs=2, max_runs=4).collect()
+
+
+def test_runs_met_beyond_64_runs():
+    rng = np.random.default_rng(0)
+    runs = rng.permutation(1000)[:300]
+    nodes = ((rng.integers(0, 2, (6, 300)).astype(np.uint64) << np.uint64(J._RUN_BITS)) | runs.astype(np.uint64)).view(np.int64)
+    i, j = np.triu_indices(6, 1)
+    assert J._runs_met(nodes, i, j).tolist() == [int((nodes[a] == nodes[b]).sum()) for a, b in zip(i, j)]
