@@ -122,12 +122,14 @@ def sarima(train: DataFrame, h: int, m: int = 7, order: tuple[int, int, int, int
                 if best is None or aic < best[1]:
                     d_, D_ = int(r["_nd"]), int(r["_ns"])
                     best = (f"SARIMA({p},{d_},{q})({P},{D_},{Q})[{m}]", aic, coef.tolist())
-            if best is not None:
-                out.append({**{kk: r[kk] for kk in keys}, "order": best[0], "aic": best[1], "coef": best[2],
-                            "_nd": int(r["_nd"]), "_ns": int(r["_ns"]), "_mu": float(r["_mu"])})
+            if best is None:  # an exact fit, or too few rows: the differences alone
+                best = (f"SARIMA(0,{int(r['_nd'])},0)(0,{int(r['_ns'])},0)[{m}]", None, [0.0] * k)
+            out.append({**{kk: r[kk] for kk in keys}, "order": best[0], "aic": best[1], "coef": best[2],
+                        "_nd": int(r["_nd"]), "_ns": int(r["_ns"]), "_mu": float(r["_mu"])})
         return pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
-    fits = sums.groupBy(*keys).applyInPandas(fit, schema)
+    # one row a series and some dozen numbers: batches of series, no shuffle
+    fits = sums.mapInPandas(lambda pdfs: (fit(p) for p in pdfs if len(p)), schema)
     # stage-2 innovations on the tail rows, then the recursion
     last = x.groupBy(*keys).agg(F.max(DS).alias("_T"))
     tail = x.drop("_mu", "_nd", "_ns").join(last, keys).where(steps_between(F.col(DS), F.col("_T"), freq) <= m) \

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -58,36 +58,33 @@ def acf(df: DataFrame, value_col: str = Y, max_lag: int = 28, freq: str | None =
 
 
 def pacf(acf_df: DataFrame, id_cols: str | Sequence[str] = ID) -> DataFrame:
-    """Partial autocorrelations from an ACF table by Durbin-Levinson.  Each group is
-    the (max_lag + 1)-row ACF of one series, never the series itself."""
+    """Partial autocorrelations from an ACF table by Durbin-Levinson, a batch of series at a
+    time; what a series contributes is its max_lag + 1 autocorrelations."""
     keys = _keys(id_cols)
 
-    def dl(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.sort_values("lag")["acf"].to_numpy(dtype=float)
+    def partial(r: np.ndarray) -> list[float]:
         L = len(r) - 1
         out = np.full(L + 1, np.nan)
         out[0] = 1.0
-        phi_prev = np.array([])
-        v = 1.0
+        phi = np.array([])
         for k in range(1, L + 1):
             if k == 1:
                 phi_kk = r[1]
-                phi = np.array([phi_kk])
             else:
-                num = r[k] - np.dot(phi_prev, r[1:k][::-1])
-                den = 1.0 - np.dot(phi_prev, r[1:k])
-                phi_kk = num / den if den != 0 else np.nan
-                phi = np.append(phi_prev - phi_kk * phi_prev[::-1], phi_kk)
+                den = 1.0 - np.dot(phi, r[1:k])
+                phi_kk = (r[k] - np.dot(phi, r[1:k][::-1])) / den if den != 0 else np.nan
+            phi = np.append(phi - phi_kk * phi[::-1], phi_kk)
             out[k] = phi_kk
-            phi_prev = phi
-        res = pdf[keys].iloc[:1].copy()
-        res = res.loc[res.index.repeat(L + 1)].reset_index(drop=True)
-        res["lag"] = np.arange(L + 1)
-        res["pacf"] = np.round(out, 6)
-        return res
-
-    schema = ", ".join([f"{k} string" for k in keys] + ["lag int", "pacf double"])
-    return acf_df.groupBy(*keys).applyInPandas(dl, schema)
+        return np.round(out, 6).tolist()
+
+    def dl(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            if len(pdf):
+                yield pdf[keys].assign(_p=[partial(np.array(r, float)) for r in pdf["_r"]])
+
+    rows = acf_df.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda s: s["acf"]).alias("_r"))
+    schema = ", ".join(f"{k} string" for k in keys) + ", _p array<double>"
+    return rows.mapInPandas(dl, schema).select(*keys, F.posexplode("_p").alias("lag", "pacf"))
 
 
 def ccf(df: DataFrame, target: str, regressors: Sequence[str], max_lag: int = 14, freq: str | None = None, id_cols: str | Sequence[str] = ID,

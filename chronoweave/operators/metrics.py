@@ -51,6 +51,31 @@ def naive_scale(train: DataFrame, season: int = 1, id_cols: str | Sequence[str]
     return d.groupBy(*keys).agg(F.avg(F.abs("_d")).alias("scale_mae"), F.avg(F.col("_d") * F.col("_d")).alias("scale_mse"))
 
 
+def naive_scale_by_season(train: DataFrame, season_col: str = "season", id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """:func:`naive_scale` where every series has its own season, in rows of the series (no calendar is needed, so series of
+    any frequencies go together).  Each distinct season is one lag of the same block pass."""
+    from chronoweave.plans.series import halo_window, with_positions
+    keys = _keys(id_cols)
+    seasons = sorted(r[0] for r in train.select(season_col).distinct().collect() if r[0] is not None)
+    x = with_positions(train, keys)
+    if not seasons:
+        x = x.withColumn("_d", F.lit(None).cast("double"))
+    else:
+        x = halo_window(x, max(seasons), 0, lambda w: {f"_s{m}": F.lag(Y, m).over(w) for m in seasons}, keys)
+        x = x.withColumn("_d", F.col(Y) - F.coalesce(*[F.when(F.col(season_col) == m, F.col(f"_s{m}")) for m in seasons]))
+    return x.groupBy(*keys).agg(F.avg(F.abs("_d")).alias("scale_mae"), F.avg(F.col("_d") * F.col("_d")).alias("scale_mse"))
+
+
+def own_horizon_split(panel: DataFrame, horizon_col: str = "horizon", id_cols: str | Sequence[str] = ID) -> DataFrame:
+    """``panel`` with ``step``, a row's place in its series' own horizon: 1 .. horizon for the last rows (the test set),
+    0 and less before (the training set)."""
+    from chronoweave.plans.series import POS, with_positions
+    keys = _keys(id_cols)
+    x = with_positions(panel, keys)
+    last = x.groupBy(*keys).agg(F.max(POS).alias("_last"))
+    return x.join(last, keys).withColumn("step", F.col(POS) - F.col("_last") + F.col(horizon_col)).drop(POS, "_last")
+
+
 def r_metrics(scored: DataFrame, scale: DataFrame, by: Sequence[str] = (ID, MODEL), digits: int = 6) -> DataFrame:
     """Mae, mape (%), mase, smape (%), rmse, rsq = squared Pearson correlation."""
     keys = [k for k in by if k != MODEL]

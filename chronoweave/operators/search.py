@@ -7,10 +7,13 @@ folds; what reaches the driver is its parameters and one score."""
 
 from __future__ import annotations
 
+import itertools
+import math
 import random
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from chronoweave.operators import backtest, metrics
@@ -30,6 +33,59 @@ def check_resampling(kind: str, resampling: str) -> None:
         raise ValueError("a sequential model needs time-ordered folds: shuffled folds train it on the future")
 
 
+@dataclass(frozen=True)
+class Range:
+    """A parameter's range; on a log scale equal steps multiply, integers are rounded."""
+
+    low: float
+    high: float
+    log: bool = False
+    integer: bool = False
+
+    def at(self, u: float) -> float:
+        """The value at ``u`` in 0 .. 1."""
+        if self.log:
+            v = math.exp(math.log(self.low) + u * (math.log(self.high) - math.log(self.low)))
+        else:
+            v = self.low + u * (self.high - self.low)
+        return int(min(max(round(v), math.ceil(self.low)), math.floor(self.high))) if self.integer else min(max(v, self.low), self.high)
+
+
+def design(kind: str, space: Mapping[str, Range], size: int, seed: int = 123) -> list[dict]:
+    """At most ``size`` different parameter sets: 'regular' (``size`` levels of each, all combinations), 'random',
+    'latin_hypercube' (one value in each of ``size`` strata of every parameter) or 'max_entropy' (the sets of a large
+    Latin hypercube whose correlation matrix under a Gaussian kernel has, step by step, the largest determinant: they spread as far as
+    they can).  Sets that rounding makes equal are one."""
+    rng, names = np.random.default_rng(seed), list(space)
+
+    def hypercube(n: int) -> np.ndarray:
+        return np.column_stack([(rng.permutation(n) + rng.random(n)) / n for _ in names]) if names else np.zeros((n, 0))
+    if kind == "regular":
+        steps = [i / (size - 1) for i in range(size)] if size > 1 else [0.5]
+        unit = np.array(list(itertools.product(steps, repeat=len(names))))
+    elif kind == "random":
+        unit = rng.random((size, len(names)))
+    elif kind == "latin_hypercube":
+        unit = hypercube(size)
+    elif kind == "max_entropy":
+        pool = hypercube(max(20 * size, 200))
+        near = np.exp(-((pool[:, None] - pool[None]) ** 2).sum(axis=2) / (2 * 0.25 ** 2))
+        chosen: list[int] = []
+        left, rows = np.diag(near).copy(), np.zeros((0, len(pool)))
+        for _ in range(min(size, len(pool))):
+            # the determinant grows by the variance that the chosen ones leave
+            i = int(left.argmax())
+            row = (near[i] - rows.T @ rows[:, i]) / math.sqrt(left[i])
+            chosen.append(i)
+            rows, left = np.r_[rows, row[None]], left - row ** 2
+            left[i] = -1.0
+        unit = pool[chosen]
+    else:
+        raise ValueError(f"unknown design {kind!r}")
+    sets = [{n: space[n].at(float(u)) for n, u in zip(names, row)} for row in unit]
+    return [dict(t) for t in dict.fromkeys(tuple(s.items()) for s in sets)]
+
+
 @dataclass(frozen=True)
 class Folds:
     h: int

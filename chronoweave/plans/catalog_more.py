@@ -157,6 +157,10 @@ def o04(spark, sf):
               "SES": lambda t, h, **kw: smoothing.ses(t, h, 0.3, **kw), "Theta": lambda t, h, **kw: smoothing.theta(t, h, 0.3, **kw)}
     fc = backtest.forecast(tr, models, H, "D")
     m = metrics.point_metrics(metrics.score_frame(fc, te))
-    rep = m.withColumn("error", F.when(F.col("rmse").isNull() | F.isnan("rmse"), F.lit("no score")).otherwise(F.lit(None).cast("string")))
+    # every series has a row for every model, also where the model returned nothing for it
+    asked = te.select(ID).distinct().select(ID, F.explode(F.array(*[F.lit(k) for k in models])).alias(MODEL))
+    rows = asked.join(fc.groupBy(ID, MODEL).agg(F.count(F.lit(1)).alias("n_forecast")), [ID, MODEL], "left").join(m, [ID, MODEL], "left")
+    reason = F.when(F.col("n_forecast").isNull(), "no forecast").when(F.col("rmse").isNull() | F.isnan("rmse"), "no score")
+    rep = rows.withColumn("error", reason).fillna({"n_forecast": 0})
     best = metrics.best_model(m, "rmse", by=[ID]).select(ID, MODEL, F.lit(1).alias("is_best"))
     return rep.join(best, [ID, MODEL], "left").fillna({"is_best": 0})

@@ -2,13 +2,13 @@
 
 ``X'X`` and ``X'y`` are sums over rows, so they are partial aggregates grouped by the
 model key (series, fold, parameter set ...).  Only the k x k systems, one row per key,
-reach Python, where numpy solves them inside ``applyInPandas`` (a group is a single
-row of sums, never a series).
+reach Python, where numpy solves a batch of keys at a time as one stack of systems
+(``mapInPandas``: no shuffle, no call per key).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -43,30 +43,50 @@ def solve(sums: DataFrame, keys: Sequence[str], design: Sequence[str], ridge: fl
     schema = T.StructType(key_fields + [T.StructField("n", T.LongType()), T.StructField("sse", T.DoubleType()),
                                         T.StructField("coef", T.ArrayType(T.DoubleType()))])
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            xx = np.zeros((k, k))
-            xy = np.zeros(k)
-            for i in range(k):
-                xy[i] = r[f"_xy_{i}"]
-                for j in range(i, k):
-                    xx[i, j] = xx[j, i] = r[f"_xx_{i}_{j}"]
+    def fit(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            if len(pdf) == 0:
+                continue
+            xx, xy = stacked(pdf, k)
             if ridge:
                 pen = np.eye(k) * ridge
                 if ridge_skip_first and design and design[0] == "_one":
                     pen[0, 0] = 0.0
                 xx = xx + pen
+            beta = solve_each(xx, xy)
+            sse = pdf["_yy"].to_numpy(float) - 2 * (beta * xy).sum(axis=1) + np.einsum("ni,nij,nj->n", beta, xx, beta)
+            bad = np.isnan(beta).any(axis=1)
+            out = pdf[[f.name for f in key_fields]].copy()
+            out["n"] = pdf["_n"].astype("int64")
+            out["sse"] = np.where(bad, None, sse)
+            out["coef"] = [None if f else b.tolist() for f, b in zip(bad, beta)]
+            yield out[[f.name for f in schema.fields]]
+
+    return sums.mapInPandas(fit, schema)
+
+
+def stacked(pdf: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, k, k) of ``X'X`` and (rows, k) of ``X'y`` from the columns of :func:`normal_equations`."""
+    xx, xy = np.zeros((len(pdf), k, k)), np.zeros((len(pdf), k))
+    for i in range(k):
+        xy[:, i] = pdf[f"_xy_{i}"].to_numpy(float)
+        for j in range(i, k):
+            xx[:, i, j] = xx[:, j, i] = pdf[f"_xx_{i}_{j}"].to_numpy(float)
+    return xx, xy
+
+
+def solve_each(xx: np.ndarray, xy: np.ndarray) -> np.ndarray:
+    """Solutions of a stack of systems; NaN for a singular one."""
+    try:
+        return np.linalg.solve(xx, xy[:, :, None])[:, :, 0]
+    except np.linalg.LinAlgError:
+        out = np.full(xy.shape, np.nan)
+        for i in range(len(xx)):
             try:
-                beta = np.linalg.solve(xx, xy)
-                sse = float(r["_yy"] - 2 * beta @ xy + beta @ (xx @ beta))
-                coef = [float(b) for b in beta]
+                out[i] = np.linalg.solve(xx[i], xy[i])
             except np.linalg.LinAlgError:
-                beta, sse, coef = None, None, None
-            rows.append({**{kk: r[kk] for kk in keys}, "n": int(r["_n"]), "sse": sse, "coef": coef})
-        return pd.DataFrame(rows, columns=[f.name for f in schema.fields])
-
-    return sums.groupBy(*keys).applyInPandas(fit, schema)
+                pass
+        return out
 
 
 def fit_ols(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str,
