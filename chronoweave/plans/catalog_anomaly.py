@@ -46,13 +46,13 @@ def j01(spark, sf):
 
 
 #: revenue with a narrow fence (factor 1) and a cap of 2 %: flags, the cap and cleaning all take effect
-NARROW = (TWITTER + FENCE).replace(padded(ORDERS_DAILY), padded(ORDERS_DAILY.replace("count(*)::double as y, sum(o_totalprice) as rev", "sum(o_totalprice) / 1000 as y"))) \
+NARROW = (TWITTER + FENCE).replace(padded(ORDERS_DAILY), padded(ORDERS_DAILY.replace("count(*)::double as y, sum(o_totalprice) as rev", "round(sum(o_totalprice) / 1000, 2) as y"))) \
     .replace("3.0 * (q3 - q1)", "1.0 * (q3 - q1)").replace("floor(n * 0.2)", "floor(n * 0.02)")
 
 
 @register("J01_anomalize_narrow_fence", NARROW, ids=("J01",))
 def j01n(spark, sf):
-    d = panels.orders_daily(spark, sf).select(ID, DS, (F.col("rev") / 1000).alias(Y))
+    d = panels.orders_daily(spark, sf).select(ID, DS, F.round(F.col("rev") / 1000, 2).alias(Y))
     return anomaly.anomalize(timegrid.pad_by_time(d, "D", fill={Y: 0.0}), Y, 7, 91, 0.15, 0.02, "twitter", freq="D")
 
 
