@@ -104,5 +104,53 @@ def test_concatenated_hosts_over_the_words_of_real_pages(spark):
         assert r["host_words"].split()[:2] == want and r["verdict"] == "block", r
 
 
+def test_ordinary_hosts_stay_whole(spark):
+    from pyspark.sql import functions as F
+    given = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select(*PAGE.names)
+    got = urls.filter_urls(given, rules=()).select("host", "host_words", "verdict").distinct().collect()
+    for r in got:
+        words = r["host_words"].split()
+        assert words == [w for w in r["host"].replace("-", ".").split(".") if w], r  # every label of these hosts is one word
+        assert (r["verdict"] == "block") == any(w in urls.SEEDS for w in words), r
+    assert {r["verdict"] for r in got} == {"allow", "block"}
+    n = given.count()
+    assert urls.filter_urls(given, rules=()).where(F.col("page_id").isNotNull()).count() == n
+
+
+def test_the_company_of_seeds_is_learned(spark):
+    """Hosts without any seed are told apart by the words that stood next to seeds in others."""
+    bad, good = ["jackpot", "meds", "lottery", "poker"], ["garden", "school", "museum", "library"]
+    text = "jackpot meds lottery poker garden school museum library palace house corner city " * 3
+    rows = [(i, f"https://{s}-{b}.net/{i}", text) for i, (s, b) in enumerate(itertools.product(["casino", "cheap", "free"], bad))]
+    rows += [(100 + i, f"https://{a}-{b}.net/{i}", text) for i, (a, b) in enumerate(itertools.product(["city", "old"], good))]
+    rows += [(200 + i, f"https://{w}{x}.net/{i}", "") for i, (w, x) in enumerate(itertools.product(bad, ["palace", "corner"]))]
+    rows += [(300 + i, f"https://{w}{x}.net/{i}", "") for i, (w, x) in enumerate(itertools.product(good, ["palace", "corner"]))]
+    got = {r["page_id"]: r for r in urls.filter_urls(pages(spark, rows), rules=()).collect()}
+    held_bad, held_good = [got[200 + i]["score"] for i in range(8)], [got[300 + i]["score"] for i in range(8)]
+    assert min(held_bad) > max(held_good)
+    assert got[200]["host_words"] == "jackpot palace net"
+
+
+def test_words_of_a_page():
+    html = "<style>p{x}</style><script>var t=1</script><p>Caf\u00e9 AT&amp;T see www.spam.example.com now</p>"
+    assert urls.page_words("https://host.com/News/Item-7?ref=x", html) == ["news", "item", "ref", "x", "at", "t", "see", "now"]
+    assert urls.page_words("", "") == []
+
+
+def test_unknown_words_against_formula():
+    u = urls.UnknownWords.fit(2, 10, {3: 2, 5: 1}, {"a": 4, "b": 7})
+    want = math.log(3 / 12) + math.log(3 / (3 + 63)) + 2 * math.log(5 / 37) + math.log(1 / 37)
+    assert abs(u.log("aaz") - want) < 1e-12
+    counts, total, more = {"ab": 5, "a": 3, "b": 2}, 10, math.log(0.1)
+    for label in ("abba", "aab", "zzz", "abab"):
+        def price(words):
+            return sum(math.log(counts[w]) - math.log(total + 1) if w in counts else u.log(w) for w in words) + more * (len(words) - 1)
+        splits = [[label[a:b] for a, b in zip((0, *cut), (*cut, len(label)))]
+                  for k in range(len(label)) for cut in itertools.combinations(range(1, len(label)), k)]
+        known = {(i, n): counts[label[i:i + n]] for i in range(len(label)) for n in range(1, len(label) - i + 1) if label[i:i + n] in counts}
+        got = urls.segment(label, known, total, u.log, more)
+        assert abs(price(got) - max(map(price, splits))) < 1e-9
+
+
 def test_empty_table(spark):
     assert urls.filter_urls(pages(spark, [])).collect() == []
