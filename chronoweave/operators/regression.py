@@ -128,6 +128,16 @@ def _prophet_design(df: DataFrame, n_changepoints: int, cp_range: float, weekly:
     return x, feats
 
 
+def prophet_fitted(train: DataFrame, id_cols: str | Sequence[str] = ID, n_changepoints: int = 10, cp_range: float = 0.9,
+                   weekly: int = 3, yearly: int = 5, ridge: float = 1.0) -> DataFrame:
+    """``(keys, ds, y, fitted)``: the model of :func:`prophet_like` on its train rows."""
+    keys = _keys(id_cols)
+    span = train.groupBy(*keys).agg(F.min(DS).alias("_t0"), F.max(DS).alias("_t1"))
+    x, feats = _prophet_design(train.join(span, keys), n_changepoints, cp_range, weekly, yearly)
+    coefs, design = ols.fit_ols(x, keys, feats, Y, ridge=ridge)
+    return ols.predict(x, coefs, keys, design, "fitted").select(*keys, DS, Y, "fitted")
+
+
 def prophet_like(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str] = ID,
                  n_changepoints: int = 10, cp_range: float = 0.9, weekly: int = 3, yearly: int = 5,
                  ridge: float = 1.0, components: bool = False) -> DataFrame:
