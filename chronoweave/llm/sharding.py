@@ -8,8 +8,9 @@ Scale.  The greedy rule is sequential, so it runs at two levels:
 
 * *heavy* groups have at least ``1/heavy_parts`` of a shard's capacity in some dimension.
   By that definition there are at most ``3 * shards * heavy_parts`` of them whatever the
-  size of the corpus; they are packed first.  A heavy group larger than a quarter of a
-  shard is split by a hash of the row into parts of about a sixteenth of a shard.
+  size of the corpus; they are packed first, largest first, and stay whole wherever a shard
+  has room for them.  Only a group that no shard has room for is split, by a hash of the row,
+  into parts of about a sixteenth of a shard, which are packed after the whole ones.
 * *light* groups are dealt by hash into cells of about ``cell_groups`` groups; every cell
   packs its groups into its own share of the residual capacities.  Light groups are small
   against a shard and a cell ends within one small group of its share, so the shares add
@@ -46,6 +47,20 @@ def dot_product_fit(items: np.ndarray, residual: np.ndarray) -> np.ndarray:
     return out
 
 
+def whole_fit(items: np.ndarray, residual: np.ndarray) -> np.ndarray:
+    """Shard of every item by the same rule among the shards with room for it in every
+    dimension, -1 for an item that no shard has room for."""
+    out = np.full(len(items), -1, np.int32)
+    left = residual.copy()
+    for i in np.argsort(-items.max(axis=1), kind="stable"):
+        score = np.where((left >= items[i] - 1e-12).all(axis=1), left @ items[i], -np.inf)
+        s = int(np.argmax(score))
+        if score[s] > -np.inf:
+            left[s] -= items[i]
+            out[i] = s
+    return out
+
+
 def pack_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 24,
                 overhead: int = 8, tokens: Column | None = None, heavy_parts: int = 64,
                 cell_groups: int = 5_000, block_rows: int = 10_000) -> DataFrame:
@@ -80,15 +95,19 @@ def pack_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = groups.withColumn("share", share)
 
     # heavy groups: at most 3 * shards * heavy_parts rows
-    heavy = groups.where(F.col("share") >= 1.0 / heavy_parts).withColumn(
-        "parts", F.when((F.col("share") > 0.25) & (F.col("n") > 1),
-                        F.least(F.col("n"), F.ceil(F.col("share") * 16))).otherwise(F.lit(1)).cast("int"))
-    h = heavy.select(*key, *DIMS, "parts").toPandas().sort_values(key, ignore_index=True)
+    heavy = groups.where(F.col("share") >= 1.0 / heavy_parts)
+    h = heavy.select(*key, *DIMS, "n", "share").toPandas().sort_values(key, ignore_index=True)
     h["g"] = np.arange(len(h))
+    residual = np.full((shards, 3), 1.0 / shards)
+    vec = h[list(DIMS)].to_numpy(float).reshape(-1, 3) / total
+    h["shard"] = whole_fit(vec, residual)
+    whole = h["shard"].to_numpy() >= 0
+    np.subtract.at(residual, h["shard"].to_numpy()[whole], vec[whole])
+    h["parts"] = np.where(whole, 1, np.minimum(h["n"], np.ceil(h["share"] * 16))).astype(int)
     h_schema = "h long, crc long, size long, tok long, parts int, g int"
     part = F.pmod(F.xxhash64("id", "crc"), F.col("parts")).cast("int")
     split = h[h.parts > 1]
-    pieces = h[h.parts == 1][["g", *DIMS]].assign(part=0)
+    pieces = h[~whole & (h.parts == 1)][["g", *DIMS]].assign(part=0)
     if len(split):
         cut = spark.createDataFrame(split[[*key, "parts", "g"]], h_schema)
         measured = (thin.join(F.broadcast(cut), key).groupBy("g", part.alias("part"))
@@ -97,10 +116,10 @@ def pack_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pieces = pd.concat([pieces, measured], ignore_index=True)
     pieces = pieces.sort_values(["g", "part"], ignore_index=True)
     vec = pieces[list(DIMS)].to_numpy(float).reshape(-1, 3) / total
-    pieces["shard"] = dot_product_fit(vec, np.full((shards, 3), 1.0 / shards))
-    residual = np.full((shards, 3), 1.0 / shards)
+    pieces["shard"] = dot_product_fit(vec, residual)
     np.subtract.at(residual, pieces["shard"].to_numpy(), vec)
     residual = np.maximum(residual, 0)
+    pieces = pd.concat([pieces, h[whole][["g", "shard"]].assign(part=0)], ignore_index=True)
     to = pd.DataFrame({"shard": pieces["shard"].to_numpy(int)}).groupby(pieces["g"].to_numpy())["shard"]
     by_part = {int(g): dict(zip(pieces.loc[x.index, "part"].astype(int), x.astype(int))) for g, x in to}
     heavy_to = [(int(r.h), int(r.crc), int(r.size_), int(r.tok), int(r.parts),

@@ -56,3 +56,35 @@ def test_balance_copies_together_and_hot_group_split(make_docs):
     assert max(by_rows.values()) < 1.1 * np.mean(list(by_rows.values()))
     assert len(where.pop("hot copy of one text")) == 8
     assert all(len(s) == 1 for s in where.values())
+
+
+def test_whole_fit_against_plain_loops():
+    rng = np.random.default_rng(3)
+    items = rng.random((30, 3)) ** 3 * [[0.2, 0.15, 0.2]]
+    left = np.full((4, 3), 0.25)
+    got = sharding.whole_fit(items, left).tolist()
+    want = [-1] * 30
+    for i in sorted(range(30), key=lambda i: (-max(items[i]), i)):
+        room = [s for s in range(4) if all(left[s] >= items[i] - 1e-12)]
+        if room:
+            want[i] = max(room, key=lambda s: (float(np.dot(left[s], items[i])), -s))
+            left[want[i]] -= items[i]
+    assert got == want and -1 in got and (left >= -1e-9).all()
+
+
+def test_groups_stay_whole_where_a_shard_has_room(make_docs):
+    """Four groups of over a quarter of a shard, one of nine tenths, one of nearly three shards."""
+    rows = [(i, f"single text number {i}") for i in range(400)]
+    sizes = {f"group {c} {'x ' * 6}": n for c, n in (("a", 30), ("b", 45), ("c", 60), ("d", 80), ("e", 280))}
+    for k, (t, n) in enumerate(sizes.items()):
+        rows += [(1000 * (k + 1) + i, t) for i in range(n)]
+    out = sharding.pack_shards(make_docs(rows), shards=8, cell_groups=100, block_rows=50).collect()
+    check(out, rows, 8)
+    text, where, counts, size = dict(rows), defaultdict(set), defaultdict(int), defaultdict(int)
+    for r in out:
+        where[text[r["doc_id"]]].add(r["shard"])
+        counts[r["shard"]] += 1
+        size[r["shard"]] += r["size"]
+    spread = [len(where[t]) for t in sizes]
+    assert spread[:4] == [1, 1, 1, 1] and spread[4] > 1
+    assert max(size.values()) < 1.05 * np.mean(list(size.values()))
