@@ -8,14 +8,16 @@ trees and ensembles), so neither the panel nor a series is gathered anywhere.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoweave.operators import metrics
 from chronoweave.operators.baselines import MODEL, YHAT
 from chronoweave.panel import DS, ID, Y
 
@@ -69,3 +71,49 @@ def coefficients_table(spark, model: PipelineModel, features: Sequence[str]) ->
         return spark.createDataFrame(rows, "term string, estimate double")
     imp = est.featureImportances.toArray()
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "term string, importance double")
+
+
+# ---- leaderboards over many candidates (N10) ------------------------------------------
+
+class Candidate(NamedTuple):
+    name: str
+    algorithm: str
+    estimator: object
+
+
+def candidates(seed: int = 0) -> list[Candidate]:
+    """Candidates in the order they are tried: one default per algorithm first, then variants."""
+    zoo = estimators(seed)
+    out = [Candidate("GLM_1", "GLM", zoo["Ridge"]), Candidate("DRF_1", "DRF", zoo["RandomForest"]), Candidate("GBM_1", "GBM", zoo["GBM"]),
+           Candidate("Tree_1", "Tree", zoo["DecisionTree"])]
+    out += [Candidate(f"GLM_{i}", "GLM", zoo[n]) for i, n in enumerate(("Lasso", "ElasticNet", "LinearRegression"), 2)]
+    out.append(Candidate("DRF_2", "DRF", zoo["Bagging"]))
+    out += [Candidate(f"GBM_{i}", "GBM", GBTRegressor(maxIter=n, maxDepth=d, stepSize=s, subsamplingRate=0.8, seed=seed))
+            for i, (n, d, s) in enumerate(((20, 3, 0.2), (50, 2, 0.1)), 2)]
+    return out
+
+
+def automl(train: DataFrame, holdout: DataFrame, features: Sequence[str], tried: Sequence[Candidate], max_models: int | None = None,
+           include: Sequence[str] = (), exclude: Sequence[str] = (), sort: str = "rmse") -> tuple[DataFrame, dict[str, PipelineModel]]:
+    """Fit the first ``max_models`` candidates of the allowed algorithms and rank them by ``sort`` on the
+    ``holdout`` rows: (model, algorithm, metrics, rank, rank_in_algorithm) and the fitted pipelines."""
+    chosen = [c for c in tried if (not include or c.algorithm in include) and c.algorithm not in exclude][:max_models]
+    if not chosen:
+        raise ValueError("no candidate left")
+    fc, fitted = fit_predict(train, holdout, features, {c.name: c.estimator for c in chosen})
+    scored = metrics.point_metrics(metrics.score_frame(fc, holdout), by=[MODEL])
+    algorithm = F.create_map(*[F.lit(x) for c in chosen for x in (c.name, c.algorithm)])
+    board = scored.withColumn("algorithm", F.element_at(algorithm, F.col(MODEL)))
+    order = F.abs(F.col(sort)) if sort == "bias" else F.col(sort)
+    for by, out in (([], "rank"), (["algorithm"], "rank_in_algorithm")):  # one row a model
+        board = board.withColumn(out, F.row_number().over(Window.partitionBy(*by or [F.lit(1)]).orderBy(order, MODEL)))
+    return board, fitted
+
+
+def best_model(board: DataFrame, criterion: str = "rmse", algorithm: str | None = None) -> str:
+    """Name of the best model of a leaderboard by any of its metrics, of one algorithm if named."""
+    rows = board if algorithm is None else board.where(F.col("algorithm") == algorithm)
+    first = rows.orderBy(F.abs(F.col(criterion)) if criterion == "bias" else F.col(criterion), MODEL).first()
+    if first is None:
+        raise ValueError(f"no model of {algorithm}")
+    return first[MODEL]

@@ -72,3 +72,13 @@ def m25_prophet(spark, sf):
     """Changepoint trend and Fourier seasons per series, boosted trees on the residuals."""
     tr, _ = holdout(spark, sf)
     return r6(hybrid.boosted(regression.prophet_fitted(tr), regression.prophet_like(tr, H), ml.estimators()["GBM"], name="Prophet+GBM"))
+
+
+@register("N10_automl_capped", None, ids=("N10", "K15", "P02"))
+def n10_capped(spark, sf):
+    """At most six models on the predictors of the recipe, sorted by MAE on the holdout rows."""
+    tr, te = holdout(spark, sf)
+    prepared, baked = recipe.prep(FORECAST_RECIPE, tr)
+    board, _ = ml.automl(cut_lineage(baked), cut_lineage(recipe.bake(prepared, te, history=tr)), recipe.predictors(prepared, baked),
+                         ml.candidates(), max_models=6, exclude=("Tree",), sort="mae")
+    return board.select(MODEL, "algorithm", *[F.round(c, 6).alias(c) for c in ("bias", "mae", "rmse")], "rank", "rank_in_algorithm")
