@@ -78,3 +78,109 @@ def test_table_of_pages(spark):
     got = sorted(((r["page_id"], r["text"], r["n_chars"]) for r in extract(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert got == sorted([(1, "", 0), (2, "", 0), (None, "x", 1), (1, "x", 1)], key=str)
     assert extract(spark.createDataFrame([], schema)).collect() == []
+
+
+# ---- an independent renderer: recursion over random trees, blocks as lists of lines -------
+
+def random_tree(rng, depth, lists=0):
+    """Children of a block: words, inline elements and blocks, as nested tuples (tag, children)."""
+    out = []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.choice(["w", "w", "b", "hide"] + (["div", "section", "p", "h2", "quote", "ul", "ol", "table"] if depth else []))
+        word = lambda: f"w{rng.randint(0, 999)}"
+        if kind == "w":
+            out.append(word())
+        elif kind == "b":
+            out.append(("b", [word(), ("i", [word()])][:rng.randint(1, 2)]))
+        elif kind == "hide":
+            out.append((rng.choice(["script", "template", "gone"]), ["hidden"]))
+        elif kind in ("p", "h2"):
+            out.append((kind, [word() for _ in range(rng.randint(0, 3))]))
+        elif kind in ("ul", "ol"):
+            out.append((kind, [("li", [word(), *random_tree(rng, depth - 1, lists + 1)]) for _ in range(rng.randint(1, 3))]))
+        elif kind == "table":
+            out.append((kind, [[word() + "x" * rng.randint(0, 5) for _ in range(3)] for _ in range(rng.randint(1, 3))]))
+        else:
+            out.append((kind, random_tree(rng, depth - 1, lists)))
+    return out
+
+
+def markup(nodes, rng):
+    out = []
+    for n in nodes:
+        space = rng.choice([" ", "\n", "  \t"])
+        if isinstance(n, str):
+            out.append(n + space)
+            continue
+        tag, kids = n
+        if tag == "table":
+            end = rng.random() < 0.5  # cells and rows with and without end tags
+            rows = "".join("<tr>" + "".join(f"<td>{c}" + "</td>" * end for c in r) + "</tr>" * end for r in kids)
+            out.append(f"<table>{rows}</table>{space}")
+            continue
+        inner = markup(kids, rng)
+        begin = {"quote": "<blockquote>", "gone": "<div style='display: none'>"}.get(tag, f"<{tag}>")
+        done = {"quote": "</blockquote>", "gone": "</div>", "li": rng.choice(["</li>", ""])}.get(tag, f"</{tag}>")
+        out.append(f"{begin}{rng.choice(['', ' '])}{inner}{done}{space}")
+    return "".join(out)
+
+
+def plain_words(nodes):
+    return [w for n in nodes for w in ([n] if isinstance(n, str) else plain_words(n[1]))]
+
+
+def expected(nodes, lists=0):
+    """Lines of a block, with the empty lines that must stand between them as numbers."""
+    out, words = [], []
+
+    def flush():
+        if words:
+            out.append(" ".join(words))
+            words.clear()
+
+    for n in nodes:
+        if isinstance(n, str):
+            words.append(n)
+        elif n[0] == "b":
+            words.extend(plain_words([n]))
+        elif n[0] in ("script", "template", "gone"):
+            pass
+        else:
+            flush()
+            tag, kids = n
+            gap = 1 if tag in ("div", "section") or (tag in ("ul", "ol") and lists) else 2
+            out.append(gap)
+            if tag in ("ul", "ol"):
+                for k, (_, item) in enumerate(kids, 1):
+                    lines, mark = expected(item, lists + 1), f"{k}. " if tag == "ol" else "- "
+                    first = next(i for i, x in enumerate(lines) if isinstance(x, str))
+                    out += [1, *[x if isinstance(x, int) else (mark if i == first else " " * len(mark)) + x for i, x in enumerate(lines)], 1]
+            elif tag == "table":
+                width = [max(len(r[c]) for r in kids) for c in range(3)]
+                out += ["  ".join(x.ljust(w) for x, w in zip(r, width)).rstrip() for r in kids]
+            elif tag == "quote":
+                out += [x if isinstance(x, int) else "  " + x for x in expected(kids, lists)]
+            else:
+                out += expected(kids, lists)
+            out.append(gap)
+    flush()
+    return out
+
+
+def assembled(lines):
+    out, gap = [], 0
+    for x in lines:
+        if isinstance(x, int):
+            gap = max(gap, x)
+        else:
+            out += [""] * (gap > 1 and bool(out)) + [x]
+            gap = 0
+    return "\n".join(out)
+
+
+def test_random_trees_against_an_independent_renderer():
+    rng = random.Random(11)
+    for _ in range(1500):
+        tree = random_tree(rng, 3)
+        html = markup(tree, rng)
+        assert text(html) == assembled(expected(tree)), html
