@@ -12,15 +12,20 @@ Input: training panel ``(*keys, ds, y)``; output: ``(*keys, ds, model, y_hat)``.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.operators.baselines import MODEL, STEP, YHAT, horizon
 from chronoweave.panel import DS, ID, Y
 from chronoweave.functions.timekeys import steps_between
-from chronoweave.plans.series import POS, _keys, carry_last, decay_scan, forward_scan, prefix_sums, regular_positions, with_positions
+from chronoweave.plans.blocks import ARRAY_ROWS, BLOCK, _bounded
+from chronoweave.plans.series import (EPOCH, POS, _keys, carry_last, decay_block, decay_carries, decay_scan, forward_scan, prefix_sums,
+                                      regular_positions, with_positions)
+from chronoweave.session import store
 
 ALPHA_GRID = [round(0.05 * i, 2) for i in range(1, 20)]        # 0.05 .. 0.95
 CROSTON_GRID = [round(0.1 + 0.01 * i, 2) for i in range(21)]     # 0.10 .. 0.30
@@ -145,6 +150,155 @@ def theta(train: DataFrame, h: int, alpha: float | None = 0.5, freq: str = "D",
 
 # ---- intermittent demand -----------------------------------------------------------
 
+def _known(keys: list[str]) -> Column:
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return known
+
+
+def _packed(train: DataFrame, keys: list[str], freq: str) -> tuple[DataFrame, DataFrame | None]:
+    """``(packed, rest)``.  ``packed`` has one row ``(*keys, _T, _n, _nd, _at, _v)`` per series: its ``_nd`` demands' steps
+    since the series start and their sizes, in order.  ``rest`` are the rows of the series that do not
+    fit (more than two blocks of ``ARRAY_ROWS`` steps, or NULL values), None without such series.
+
+    Zeros are counted where they are; only demands are shuffled, and stored once.  A NULL key has no demand."""
+    x = regular_positions(train.select(*keys, DS, Y), freq).withColumn(BLOCK, F.floor(F.col(POS) / ARRAY_ROWS))
+    demand = F.when((F.col(Y) != 0) & _known(keys), F.struct(F.col(POS).alias("p"), F.col(Y).cast("double").alias("y")))
+    b = store(x.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.count(Y).alias("_ny"), F.min(DS).alias("_t0"),
+                                          F.max(DS).alias("_T"), F.collect_list(demand).alias("_d")))
+    s = b.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_ny").alias("_ny"), F.min("_t0").alias("_t0"), F.max("_T").alias("_T"),
+                             F.count(F.lit(1)).alias("_nb"), F.min_by("_d", BLOCK).alias("_d0"), F.max_by("_d", BLOCK).alias("_d1"))
+    regular = ~_known(keys) | (steps_between(F.col("_t0"), F.col("_T"), freq) + 1 == F.col("_n"))
+    gap = F.raise_error(F.concat(F.lit("irregular series, pad it by time first: "), F.to_json(F.struct(*keys)))).cast("long")
+    s = s.withColumn("_n", F.when(regular, F.col("_n")).otherwise(gap))
+    fits = ~_known(keys) | ((F.col("_nb") <= 2) & (F.col("_ny") == F.col("_n")))
+    long = s.where(~fits).select(*keys)
+    rest = None if long.isEmpty() else train.join(long, keys, "left_semi")
+    first = steps_between(F.lit(EPOCH).cast("timestamp_ntz"), F.col("_t0"), freq)
+    d = F.array_sort(F.when(F.col("_nb") == 1, F.col("_d0")).otherwise(F.concat("_d0", "_d1")))
+    p = s.where(fits).select(*keys, "_T", "_n", d.alias("_d"), first.alias("_first"))
+    return p.select(*keys, "_T", "_n", F.size("_d").alias("_nd"), F.transform("_d", lambda e: e["p"] - F.col("_first")).alias("_at"),
+                    F.transform("_d", lambda e: e["y"]).alias("_v")), rest
+
+
+def _with_rest(packed: DataFrame, rest: DataFrame | None, rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return packed if rest is None else packed.unionByName(rows(rest))
+
+
+def _intervals(at: str) -> Column:
+    """Steps since the previous demand; the first counts from one step before the series start."""
+    return F.transform(at, lambda e, i: (e - F.when(i == 0, F.lit(-1).cast("long")).otherwise(F.get(at, i - 1))).cast("double"))
+
+
+def _ses_level(values: Column, alpha: float) -> Column:
+    """Final SES level of an array, NULL if it is empty."""
+    return F.aggregate(F.slice(values, 2, F.size(values)), F.get(values, 0), lambda level, v: level * (1.0 - alpha) + v * alpha)
+
+
+#: series searched together in a task
+SEARCH_ROWS = 1024
+
+
+def _search_plan(spark: SparkSession, grid: Sequence[float]) -> tuple:
+    """Alphas in rising order with the powers and carries of :func:`decay_scan` (the same doubles: Spark's own powers)."""
+    grid = sorted(grid)
+    betas = [1.0 - a for a in grid]
+    length = decay_block(betas)
+    length = min(length, 2 * ARRAY_ROWS)
+    t = spark.range(length).coalesce(1).select(F.array(*[F.pow(F.lit(b), -F.col("id")) for b in betas]), F.array(*[F.pow(F.lit(b), F.col("id")) for b in betas]))
+    rows = t.collect()
+    return np.array(grid), np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [decay_carries(b, length) for b in betas]
+
+
+def _ses_search(v: np.ndarray, size: np.ndarray, plan: tuple) -> np.ndarray:
+    """Level of the smallest-SSE alpha of each column of ``v`` (steps x series, ``size`` steps each, longest first).
+
+    Step for step the arithmetic of :func:`ses_sse`, so that both settle near-ties alike."""
+    grid, down, up, carries = plan
+    a, b = grid[:, None], (1.0 - grid)[:, None]
+    level, sse, total, start = (np.zeros((len(grid), v.shape[1])) for _ in range(4))
+    live = np.searchsorted(-size, -np.arange(len(v)))
+    sums: list[np.ndarray] = []
+    for j in range(len(v)):
+        o = j % len(down)
+        if j and o == 0:
+            sums.insert(0, total)
+            total = np.zeros_like(total)
+            start = np.array([sum((f * s[i] for f, s in zip(fs, sums)), np.zeros(v.shape[1])) for i, fs in enumerate(carries)])
+        n = live[j]
+        y = v[j, :n]
+        ay = a * y if j else np.broadcast_to(y, (len(grid), n))
+        total[:, :n] += down[o][:, None] * ay
+        now = up[o][:, None] * (start[:, :n] + total[:, :n])
+        level[:, :n] = now
+        if j:
+            e = y - (now - ay) / b
+            sse[:, :n] += e * e
+    pick = np.where(np.isnan(sse), np.inf, sse).argmin(axis=0)
+    return level[pick, np.arange(v.shape[1])]
+
+
+def _ragged(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and their offsets."""
+    at = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]], at - at[0]
+
+
+def _map_packed(packed: DataFrame, keys: list[str], out: Sequence[str], fn: Callable[..., Sequence[np.ndarray]],
+                scalars: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(*keys, _T, *out)``: ``fn(row, at, v, **scalars)`` gets the demands of up to ``SEARCH_ROWS`` series, ``row``
+    numbering them, and returns arrays of doubles with a value per series (NaN from no value is NULL)."""
+    kinds = {f.name: f.dataType.simpleString() for f in packed.schema}
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in [*keys, "_T"]] + [f"`{o}` double" for o in out])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, SEARCH_ROWS):
+                b = whole.slice(i, SEARCH_ROWS)
+                (at, off), (v, _) = _ragged(b.column("_at")), _ragged(b.column("_v"))
+                row = np.repeat(np.arange(b.num_rows), np.diff(off))
+                got = fn(row, at, v, *[b.column(s).to_numpy(zero_copy_only=False) for s in scalars], b.num_rows)
+                yield pa.RecordBatch.from_arrays([b.column(k) for k in [*keys, "_T"]] + [pa.array(g, pa.float64()) for g in got], [*keys, "_T", *out])
+
+    return _bounded(packed.select(*keys, "_T", "_at", "_v", *scalars)).mapInArrow(work, schema)
+
+
+def _search_demands(plan: tuple) -> Callable[..., Sequence[pa.Array]]:
+    def levels(row: np.ndarray, at: np.ndarray, v: np.ndarray, count: int) -> list[pa.Array]:
+        size = np.bincount(row, minlength=count)
+        order = np.argsort(-size, kind="stable")
+        place = np.empty(count, np.int64)
+        place[order] = np.arange(count)
+        j = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+        gaps = at - np.where(j == 0, -1, np.concatenate([[0], at[:-1]])) if len(at) else at
+        out = []
+        for values in (v, gaps.astype(float)):
+            m = np.zeros((size.max(initial=0), count))
+            m[j, place[row]] = values
+            out.append(pa.array(_ses_search(m, size[order], plan)[place], mask=size == 0))
+        return out
+    return levels
+
+
+def _search_buckets(plan: tuple, all_levels: bool) -> Callable[..., Sequence[np.ndarray]]:
+    """Mean over the levels ``k`` (``all_levels``: and all below) of the searched SES level of the sums of ``k`` steps, over ``k``."""
+    def levels(row: np.ndarray, at: np.ndarray, v: np.ndarray, n: np.ndarray, k: np.ndarray, count: int) -> list[np.ndarray]:
+        total = np.zeros(count)
+        order = np.argsort(-n, kind="stable")
+        for level in range(1, k.max() + 1) if all_levels else np.unique(k):
+            sel = order[(k[order] >= level) if all_levels else (k[order] == level)]
+            place = np.full(count, -1)
+            place[sel] = np.arange(len(sel))
+            size = n[sel] // level
+            bucket = at // level
+            use = (place[row] >= 0) & (bucket < (n // level)[row])
+            m = np.bincount(bucket[use] * len(sel) + place[row[use]], weights=v[use], minlength=int(size[0]) * len(sel))
+            total[sel] += _ses_search(m.reshape(-1, len(sel)), size, plan) / level
+        return [total / k if all_levels else total]
+    return levels
+
+
 def _demand_rows(train: DataFrame, keys: list[str], freq: str | None) -> DataFrame:
     """Non-zero rows with ``interval`` = steps since the previous demand (the first demand
     counts from one step before the series start) and, for SES over the demands,
@@ -168,6 +322,20 @@ def croston(train: DataFrame, h: int, variant: str = "classic", alpha: float = 0
     """Croston ``classic`` (SES a=0.1 on sizes and intervals, forecast size/interval),
     ``sba`` (times 1 - a/2) or ``optimized`` (each SES alpha by SSE on 0.10..0.30)."""
     keys = _keys(id_cols)
+    packed, rest = _packed(train, keys, freq)
+    if variant == "optimized":
+        lv = _map_packed(packed, keys, ["_z", "_p"], _search_demands(_search_plan(train.sparkSession, CROSTON_GRID)))
+        factor, name = 1.0, "CrostonOptimized"
+    else:
+        lv = packed.withColumn("_iv", _intervals("_at")).select(*keys, "_T", _ses_level(F.col("_v"), alpha).alias("_z"),
+                                                                _ses_level(F.col("_iv"), alpha).alias("_p"))
+        factor, name = (1.0 - alpha / 2, "CrostonSBA") if variant == "sba" else (1.0, "CrostonClassic")
+    out = _emit(lv, keys, h, freq, name, F.coalesce(F.lit(factor) * F.col("_z") / F.col("_p"), F.lit(0.0)))
+    return _with_rest(out, rest, lambda x: _croston_rows(x, h, variant, alpha, freq, keys))
+
+
+def _croston_rows(train: DataFrame, h: int, variant: str, alpha: float, freq: str, keys: list[str]) -> DataFrame:
+    """:func:`croston` by row plans, for series of any length."""
     last = train.groupBy(*keys).agg(F.max(DS).alias("_T"))
     dp = _demand_rows(train, keys, freq)
     if variant == "optimized":
@@ -188,6 +356,17 @@ def tsb(train: DataFrame, h: int, alpha_d: float = 0.2, alpha_p: float = 0.2, fr
     """Teunter-Syntetos-Babai: SES(alpha_p) of the demand indicator over all rows times
     SES(alpha_d) of the demand sizes."""
     keys = _keys(id_cols)
+    packed, rest = _packed(train, keys, freq)
+    after = lambda e: (F.col("_n") - 1 - e).cast("double")
+    weight = lambda e: F.pow(F.lit(1.0 - alpha_p), after(e)) * F.when(e == 0, F.lit(1.0)).otherwise(F.lit(float(alpha_p)))
+    lv = packed.where(_known(keys)).select(*keys, "_T", F.aggregate("_at", F.lit(0.0), lambda p, e: p + weight(e)).alias("_p"),
+                                           _ses_level(F.col("_v"), alpha_d).alias("_z"))
+    out = _emit(lv, keys, h, freq, "TSB", F.coalesce(F.col("_p") * F.col("_z"), F.lit(0.0)))
+    return _with_rest(out, rest, lambda x: _tsb_rows(x, h, alpha_d, alpha_p, freq, keys))
+
+
+def _tsb_rows(train: DataFrame, h: int, alpha_d: float, alpha_p: float, freq: str, keys: list[str]) -> DataFrame:
+    """:func:`tsb` by row plans, for series of any length."""
     allp = _positions(train, keys, freq)
     p = allp.groupBy(*keys).agg(F.max("_T").alias("_T"),
                                 F.sum(ses_weight(alpha_p) * (F.col(Y) != 0).cast("double")).alias("_p"))
@@ -204,12 +383,31 @@ def _agg_level(train: DataFrame, keys: list[str], freq: str | None = None) -> Da
     return train.select(*keys).distinct().join(d, keys, "left").withColumn("_k", F.coalesce("_k", F.lit(1)))
 
 
+def _aggregated(train: DataFrame, h: int, freq: str, keys: list[str], grid: Sequence[float], name: str,
+                rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """ADIDA (IMAPA: the mean over all levels up to its own) of packed series."""
+    if not all(0.0 < a < 1.0 for a in grid):
+        return rows(train)
+    packed, rest = _packed(train, keys, freq)
+    # the intervals of a series sum up to its last demand's step, counted from 1
+    k = F.when(F.col("_nd") > 0, F.bround((F.get("_at", F.col("_nd") - 1) + 1) / F.col("_nd"), 0).cast("int")).otherwise(F.lit(1))
+    lv = _map_packed(packed.where(_known(keys)).withColumn("_k", k), keys, [YHAT], _search_buckets(_search_plan(train.sparkSession, grid), name == "IMAPA"), ["_n", "_k"])
+    return _with_rest(_emit(lv, keys, h, freq, name, F.col(YHAT)), rest, rows)
+
+
 def adida(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str] = ID,
           grid: Sequence[float] = ALPHA_GRID, levels: DataFrame | None = None, name: str = "ADIDA") -> DataFrame:
     """M23 ADIDA: sum non-overlapping buckets of ``k`` = mean interval steps (from the
     series start, the incomplete last bucket dropped), optimised SES on the bucket sums,
     forecast = level / k per step."""
     keys = _keys(id_cols)
+    if levels is not None:
+        return _adida_rows(train, h, freq, keys, grid, levels, name)
+    return _aggregated(train, h, freq, keys, grid, name, lambda x: _adida_rows(x, h, freq, keys, grid, None, name))
+
+
+def _adida_rows(train: DataFrame, h: int, freq: str, keys: list[str], grid: Sequence[float], levels: DataFrame | None, name: str) -> DataFrame:
+    """:func:`adida` by row plans, for series of any length."""
     k = levels if levels is not None else _agg_level(train, keys, freq)
     x = _positions(train, keys, freq).join(k, keys).where(F.col("_k") >= 1)
     since_start = F.col("_n") - 1 - F.col("_r")
@@ -229,11 +427,15 @@ def imapa(train: DataFrame, h: int, freq: str = "D", id_cols: str | Sequence[str
     """M23 IMAPA: mean of the ADIDA forecasts at every level 1..k (k = mean interval).  A
     series without demand forecasts 0."""
     keys = _keys(id_cols)
+    return _aggregated(train, h, freq, keys, grid, "IMAPA", lambda x: _imapa_rows(x, h, freq, keys, grid))
+
+
+def _imapa_rows(train: DataFrame, h: int, freq: str, keys: list[str], grid: Sequence[float]) -> DataFrame:
+    """:func:`imapa` by row plans, for series of any length."""
     k = _agg_level(train, keys, freq)
     lv = k.select(*keys, F.explode(F.sequence(F.lit(1), F.greatest(F.col("_k"), F.lit(1)))).alias("_k"))
     lv = lv.withColumn("_lvl", F.col("_k"))
-    fc = adida(train.join(lv.select(*keys, "_lvl"), keys), h, freq, [*keys, "_lvl"], grid,
-               levels=lv, name="IMAPA")
+    fc = _adida_rows(train.join(lv.select(*keys, "_lvl"), keys), h, freq, [*keys, "_lvl"], grid, lv, "IMAPA")
     return fc.groupBy(*keys, DS, MODEL).agg(F.avg(YHAT).alias(YHAT))
 
 

@@ -57,12 +57,40 @@ def pad_by_time(df: DataFrame, freq: str = "D", id_cols: str | Sequence[str] = I
 
 def common_grid(df: DataFrame, freq: str = "D", id_cols: str | Sequence[str] = ID,
                 fill: dict[str, object] | None = None) -> DataFrame:
-    """One grid from the global first to the global last time for every series."""
+    """One grid from the global first to the global last time for every series.
+
+    The grid is never shuffled or joined: the data rows and one mark for each ``(series, chunk)`` of
+    ``CHUNK_STEPS`` steps are sorted inside their chunk, and each row fills the steps up to the next one."""
     keys = _keys(id_cols)
-    lo, hi = df.agg(F.min(DS)).scalar(), df.agg(F.max(DS)).scalar()
-    bounds = df.groupBy(*keys).count().select(*keys, lo.alias("_lo"), hi.alias("_hi"))
-    grid = _grid(bounds, keys, "_lo", "_hi", freq)
-    out = grid.join(df, [*keys, DS], "left")
+    span = df.agg(F.struct(F.min(DS).alias("lo"), F.max(DS).alias("hi")).alias("_s")).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
+
+    def at(k: Column) -> Column:
+        c = F.floor(k / CHUNK_STEPS) * CHUNK_STEPS
+        return add_steps(add_steps(lo, c, freq), k - c, freq)
+
+    def place(ds: Column) -> Column:
+        """Step of a time on the grid, NULL off it (whole steps fall one short at clamped month ends)."""
+        k = steps_between(lo, ds, freq)
+        return F.when(at(k) == ds, k).when(at(k + 1) == ds, k + 1)
+
+    whole = steps_between(lo, hi, freq)
+    last = F.when(at(whole + 1) <= hi, whole + 1).otherwise(whole)
+    others = [c for c in df.columns if c not in (*keys, DS)]
+    data = df.select(*keys, *others, place(F.col(DS)).alias("_k"), F.lit(1).alias("_data"))
+    for c in ("_k", *keys):  # a NULL key has a grid without data
+        data = data.where(F.col(c).isNotNull())
+    marks = (df.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.floor(last / CHUNK_STEPS).cast("int"))).alias("_c"))
+               .select(*keys, (F.col("_c") * F.lit(CHUNK_STEPS).cast("long")).alias("_k"), F.lit(0).alias("_data")))
+    # an explicit partition count, as in _grid: the rows are few before they are filled
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = (data.unionByName(marks, allowMissingColumns=True).withColumn("_c", F.floor(F.col("_k") / CHUNK_STEPS))
+             .repartition(n_parts, *keys, "_c"))
+    following = F.lead("_k").over(Window.partitionBy(*keys, "_c").orderBy("_k", "_data"))
+    until = F.coalesce(following, F.least((F.col("_c") + 1) * CHUNK_STEPS, last + 1)) - 1
+    x = x.withColumn("_to", F.when(F.col("_data") == 1, F.greatest(until, F.col("_k"))).otherwise(until))
+    x = x.withColumn("_i", F.explode(F.when(F.col("_to") >= F.col("_k"), F.sequence("_k", "_to"))))
+    out = x.select(*keys, at(F.col("_i")).alias(DS), *[F.when(F.col("_i") == F.col("_k"), F.col(c)).alias(c) for c in others])
     if fill:
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
     return out.select(*df.columns)

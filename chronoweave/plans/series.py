@@ -104,6 +104,17 @@ def halo_window(df: DataFrame, back: int, ahead: int, build: Callable[[WindowSpe
     return x.withColumns(build(w)).where(F.col("_blk") == F.col("_own")).drop("_blk", "_own")
 
 
+def decay_block(betas: Sequence[float], block_rows: int = DEFAULT_BLOCK_ROWS) -> int:
+    """Block length of :func:`decay_scan`: ``beta^-off`` stays below e^300 for every beta."""
+    return max(1, min(int(block_rows), min(int(300.0 / -math.log(b)) for b in betas)))
+
+
+def decay_carries(beta: float, length: int) -> list[float]:
+    """Weights of the previous blocks' sums, newest first, in the state entering a block of :func:`decay_scan`."""
+    k_max = 1 + math.ceil(83.0 / (length * -math.log(beta)))
+    return [f for k in range(1, k_max + 1) if (f := beta ** (k * length)) > 0.0]
+
+
 def decay_scan(df: DataFrame, value: Column | dict[str, tuple[Column, float]], beta: float | None = None,
                out: str | None = None, id_cols: str | Sequence[str] = ID, pos_col: str = POS,
                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -125,8 +136,7 @@ def decay_scan(df: DataFrame, value: Column | dict[str, tuple[Column, float]], b
             del specs[o]
     if not specs:
         return x
-    lnbs = {o: -math.log(b) for o, (_, b) in specs.items()}
-    L = max(1, min(int(block_rows), min(int(300.0 / l) for l in lnbs.values())))
+    L = decay_block([b for _, b in specs.values()], block_rows)
     x = (x.withColumn("_sb", F.floor(F.col(pos_col) / L))
           .withColumn("_so", F.col(pos_col) - F.col("_sb") * L))
     names = list(specs)
@@ -137,9 +147,7 @@ def decay_scan(df: DataFrame, value: Column | dict[str, tuple[Column, float]], b
     over = f"over (partition by {', '.join(f'`{k}`' for k in keys)}, _blk order by _sb)"
     carries, reach = {}, 1
     for i, o in enumerate(names):
-        b = specs[o][1]
-        k_max = 1 + math.ceil(83.0 / (L * lnbs[o]))
-        terms = [f"{f!r}D * coalesce(lag(_sT{i}, {k}) {over}, 0.0D)" for k in range(1, k_max + 1) if (f := b ** (k * L)) > 0.0]
+        terms = [f"{f!r}D * coalesce(lag(_sT{i}, {k}) {over}, 0.0D)" for k, f in enumerate(decay_carries(specs[o][1], L), 1)]
         carries[f"_sS{i}"] = F.expr(" + ".join(["0.0D", *terms]))
         reach = max(reach, len(terms))
     # the carry looks a few blocks back only, so the block table is split with a halo, too
